@@ -105,6 +105,20 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
     }[type(dt)]
 
 
+def dense_rows(df: DataFrame, positions: str, values: Sequence[str], length: int, keep: Sequence[str]) -> DataFrame:
+    """(positions, values) array pairs to full arrays of ``length`` with zeros elsewhere."""
+
+    def place(block):
+        rows = np.arange(len(block[positions]))[:, None]
+        out = {}
+        for v in values:
+            out[v] = np.zeros((len(rows), length))
+            out[v][rows, block[positions]] = block[v]
+        return out
+
+    return map_arrays(df, place, (positions, *values), ", ".join(f"{v} array<double>" for v in values), keep)
+
+
 # ---------------------------------------------------------------- JVM-side
 
 
@@ -152,7 +166,7 @@ def crop_plane(values: Column, ny: int, nz: int, my: int, mz: int) -> Column:
 def dyadic(n: Column) -> Column:
     """Smallest power of two that is at least n (2 or more)."""
     bits = F.length(F.bin(F.greatest(n, F.lit(2)).cast("bigint") - 1))
-    return F.shiftleft(F.lit(1), bits.cast("int"))
+    return F.pow(F.lit(2), bits).cast("int")
 
 
 def planes(a: np.ndarray, ny: int, nz: int) -> np.ndarray:

@@ -148,13 +148,9 @@ def merge_samples(parts: DataFrame, keys: Sequence[str], axis: str, values: Sequ
     """
     keys = list(keys)
     unique = parts.groupBy(*keys, axis).agg(*[F.sum(v).alias(v) for v in values])
-    bundle = F.map_from_entries(F.collect_list(F.struct(axis, F.struct(*values))))
-    grouped = unique.groupBy(*keys).agg(bundle.alias("_cells"))
-    grid = F.sequence(F.lit(0), F.lit(length - 1))
-    return grouped.select(*keys, *[
-        F.transform(grid, lambda p, v=v: F.coalesce(F.try_element_at("_cells", p.cast(parts.schema[axis].dataType))[v],
-                                                    F.lit(0.0))).alias(v)
-        for v in values])
+    grouped = unique.groupBy(*keys).agg(F.collect_list(F.struct(axis, *values)).alias("_c")).select(
+        *keys, F.col(f"_c.{axis}").alias("_at"), *[F.col(f"_c.{v}").alias(v) for v in values])
+    return arrays.dense_rows(grouped, "_at", values, length, keys)
 
 
 def decode_blocks(blocks: DataFrame, samples: str = "samples", keys: Sequence[str] = ("volume", "trace")) -> DataFrame:
