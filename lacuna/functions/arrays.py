@@ -60,11 +60,13 @@ def map_arrays(
     inputs: Sequence[str],
     outputs: str,
     keep: Sequence[str] = (),
+    ragged: bool = False,
 ) -> DataFrame:
     """Apply ``kernel`` to blocks of rows.
 
     ``inputs`` name scalar or array columns; ``outputs`` is a DDL string of the
-    columns the kernel returns; ``keep`` are carried through unchanged.
+    columns the kernel returns; ``keep`` are carried through unchanged.  A kernel
+    gets 2-D blocks of equal-length rows, or with ``ragged`` lists of vectors.
     """
     keep, inputs = list(keep), list(inputs)
     out_type = T.StructType.fromDDL(outputs)
@@ -80,9 +82,11 @@ def map_arrays(
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
                 cols = {c: _rows_as_numpy(part.column(c)) for c in inputs}
-                for rows in _length_runs(cols):
+                if ragged:
+                    cols = {c: list(v) if isinstance(v, np.ndarray) and v.ndim == 2 else v for c, v in cols.items()}
+                for rows in ([np.arange(part.num_rows)] if ragged else _length_runs(cols)):
                     whole = len(rows) == part.num_rows
-                    block = {c: v if whole and not isinstance(v, list) else
+                    block = cols if ragged else {c: v if whole and not isinstance(v, list) else
                              (np.stack([v[i] for i in rows]) if isinstance(v, list) else v[rows])
                              for c, v in cols.items()}
                     result = kernel(block)

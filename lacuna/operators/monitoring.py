@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lacuna.functions import skew, text
+from lacuna.functions.arrays import map_arrays
 
 METRICS = tuple(text.LOG_PATTERNS)  # bit i of a seen-set is METRICS[i]
 
@@ -53,54 +52,62 @@ def _resets(codes: np.ndarray, state: int) -> tuple[np.ndarray, int]:
 
 
 def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric: str = "metric",
-                    chunk: int = 1 << 18) -> DataFrame:
+                    chunk: int = skew.CHUNK) -> DataFrame:
     """Adds ``attempt``: a metric already seen in the current attempt starts the next.
 
     A key's lines are cut into ranges of ``order``.  Each range is summarised by
     what it does to every possible seen-set; the summaries are chained per key,
     and then each range numbers its own lines.  No task holds all lines of a key.
     """
-    keys = list(keys)
-    code = F.array_position(F.array(*[F.lit(m) for m in METRICS]), F.col(metric)) - 1
-    rows = metrics.withColumns({"_chunk": F.floor(F.col(order) / chunk), "_code": code.cast("int")})
+    keys, sets = list(keys), 1 << len(METRICS)
     group = keys + ["_chunk"]
-    key_fields = [rows.schema[k] for k in group]
-
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        codes = pdf.sort_values(order)["_code"].to_numpy()
-        outcomes = [_resets(codes, s) for s in range(1 << len(METRICS))]
-        out = pdf.iloc[:1][group].copy()
-        out["_after"] = [[seen for _, seen in outcomes]]
-        out["_resets"] = [[len(starts) for starts, _ in outcomes]]
-        return out
-
-    summary_type = T.StructType(key_fields + [
-        T.StructField("_after", T.ArrayType(T.IntegerType())), T.StructField("_resets", T.ArrayType(T.IntegerType()))])
-    summaries = rows.select(*group, order, "_code").groupBy(*group).applyInPandas(summarise, summary_type)
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_chunk")
-        state, attempt, states, attempts = 0, 1, [], []
-        for after, resets in zip(pdf["_after"], pdf["_resets"]):
-            states.append(state)
-            attempts.append(attempt)
-            attempt += int(resets[state])
-            state = int(after[state])
-        return pdf[group].assign(_state=states, _base=attempts)
-
-    chain_type = T.StructType(key_fields + [T.StructField("_state", T.IntegerType()), T.StructField("_base", T.IntegerType())])
-    carried = summaries.groupBy(*keys).applyInPandas(chain, chain_type)
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        starts, _ = _resets(pdf["_code"].to_numpy(), int(pdf["_state"].iloc[0]))
-        step = np.zeros(len(pdf), dtype=int)
-        step[starts] = 1
-        pdf["attempt"] = int(pdf["_base"].iloc[0]) + np.cumsum(step)
-        return pdf[out_type.names]
-
-    out_type = T.StructType(metrics.schema.fields + [T.StructField("attempt", T.IntegerType())])
-    return rows.join(carried, group).groupBy(*group).applyInPandas(assign, out_type)
+    others = [c for c in metrics.columns if c not in keys]
+    code = (F.array_position(F.array(*[F.lit(m) for m in METRICS]), F.col(metric)) - 1).cast("int")
+    cut = metrics.withColumns({"_chunk": F.floor(F.col(order) / chunk), "_code": code})
+    lines = F.array_sort(F.collect_list(F.struct(order, "_code", *[c for c in others if c != order])))
+    ranges = cut.groupBy(*group).agg(lines.alias("_lines")).withColumn("_codes", F.col("_lines._code"))
+
+    def summarise(block):
+        outcomes = [[_resets(codes, s) for s in range(sets)] for codes in block["_codes"]]
+        return {"_after": [[seen for _, seen in row] for row in outcomes],
+                "_resets": [[len(starts) for starts, _ in row] for row in outcomes]}
+
+    effects = map_arrays(ranges, summarise, ("_codes",), "_after array<int>, _resets array<int>", group, ragged=True)
+    chained = effects.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_after", "_resets"))).alias("_e"))
+    chained = chained.select(*keys, F.col("_e._chunk").alias("_chunks"), F.flatten("_e._after").alias("_after"),
+                             F.flatten("_e._resets").alias("_resets"))
+
+    def chain(block):
+        states, bases = [], []
+        for chunks, after, resets in zip(block["_chunks"], block["_after"], block["_resets"]):
+            state, attempt = 0, 1
+            row_states, row_bases = np.empty(len(chunks), dtype=int), np.empty(len(chunks), dtype=int)
+            for i in range(len(chunks)):
+                row_states[i], row_bases[i] = state, attempt
+                attempt += resets[i * sets + state]
+                state = after[i * sets + state]
+            states.append(row_states)
+            bases.append(row_bases)
+        return {"_states": states, "_bases": bases}
+
+    carried = map_arrays(chained, chain, ("_chunks", "_after", "_resets"), "_states array<int>, _bases array<int>",
+                         (*keys, "_chunks"), ragged=True)
+    carried = carried.select(*keys, F.explode(F.arrays_zip("_chunks", "_states", "_bases")).alias("_c")).select(
+        *keys, F.col("_c._chunks").alias("_chunk"), F.col("_c._states").alias("_state"), F.col("_c._bases").alias("_base"))
+
+    def assign(block):
+        out = []
+        for codes, state, base in zip(block["_codes"], block["_state"], block["_base"]):
+            step = np.zeros(len(codes), dtype=int)
+            step[_resets(codes, int(state))[0]] = 1
+            out.append(base + np.cumsum(step))
+        return {"attempt": out}
+
+    placed = map_arrays(ranges.join(carried, group), assign, ("_codes", "_state", "_base"), "attempt array<int>",
+                        (*keys, "_lines"), ragged=True)
+    rows = placed.select(*keys, F.explode(F.arrays_zip("_lines", "attempt")).alias("_r"))
+    return rows.select(*[F.col(c) if c in keys else F.col(f"_r._lines.{c}").alias(c) for c in metrics.columns],
+                       F.col("_r.attempt").alias("attempt"))
 
 
 def last_attempts(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from lacuna.plans import acquisition, masks, monitoring, scaling, transforms  # noqa: F401
+from lacuna.plans import acquisition, echoes, masks, monitoring, scaling, texts, transforms  # noqa: F401
 from lacuna.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
