@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lacuna.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -18,10 +21,16 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if fn.__name__ in QUERIES:
             raise ValueError(f"query {fn.__name__} is registered twice")
-        QUERIES[fn.__name__] = fn
+
+        @wraps(fn)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, folder)
+
+        QUERIES[fn.__name__] = run
         if sql:
             SQL[fn.__name__] = sql
-        return fn
+        return run
 
     return register
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -40,3 +42,21 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="lacuna-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def ship(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, once per application.
+
+    The same as ``--py-files`` on submit; a session that already ships it, or has
+    it installed on the executors, loses nothing.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_lacuna_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="lacuna-ship-")) / "lacuna.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._lacuna_shipped = True

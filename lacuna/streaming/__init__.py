@@ -1,0 +1 @@
+"""Structured Streaming jobs: readiness, status and exactly-once output."""
