@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lacuna.functions import kernels
+
 # A kernel works on at most this much input at a time, whatever the batch size.
 BLOCK_BYTES = 64 << 20
 
@@ -150,14 +152,11 @@ def shifted_index(i: Column, n: int, inverse: bool = False) -> Column:
     return F.pmod(i + ((n + 1) // 2 if inverse else n // 2), F.lit(n))
 
 
-def pad_plane(values: Column, ny: int, nz: int, my: int, mz: int, fill: float = 0.0) -> Column:
-    """Centre an ny x nz column-major plane in my x mz."""
-    y0, z0 = my // 2 - ny // 2, mz // 2 - nz // 2
-    inside = lambda p: ((p % my >= y0) & (p % my < y0 + ny)
-                        & (F.floor(p / my) >= z0) & (F.floor(p / my) < z0 + nz))
-    source = lambda p: (p % my - y0 + ny * (F.floor(p / my) - z0)).cast("int")
-    return F.transform(F.sequence(F.lit(0), F.lit(my * mz - 1)),
-                       lambda p: F.when(inside(p), F.get(values, source(p))).otherwise(F.lit(fill)))
+def pad_planes(df: DataFrame, values: str, shape: tuple[int, int], target: tuple[int, int], keep: Sequence[str],
+               fill: float = 0.0) -> DataFrame:
+    """Centre column-major planes in a larger grid."""
+    pad = lambda b: {values: vectors(kernels.pad_centre(planes(b[values], *shape), *target, fill))}
+    return map_arrays(df, pad, (values,), f"{values} array<double>", keep)
 
 
 def crop_plane(values: Column, ny: int, nz: int, my: int, mz: int) -> Column:

@@ -50,8 +50,8 @@ def unsigned(data: Column, start: int, size: int) -> Column:
 
 
 def signed(data: Column, start: int, size: int) -> Column:
-    value = unsigned(data, start, size)
-    return F.when(value >= 2 ** (8 * size - 1), value - 2 ** (8 * size)).otherwise(value)
+    half = 2 ** (8 * size - 1)
+    return (unsigned(data, start, size) + half) % (2 * half) - half
 
 
 def float32(data: Column, start: int) -> Column:

@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lacuna.functions.joins import measured_join, settle
+
 CHUNK = 1 << 20
 
 
@@ -29,7 +31,7 @@ def with_position(
     of that column on the key's first row is added as ``first_<name>``.
     """
     keys = list(keys)
-    cut = df.withColumn("_chunk", F.floor(F.col(order) / chunk))
+    cut = df.withColumn("_chunk", F.col(order) - F.pmod(F.col(order), F.lit(chunk)))
     aggs = [F.count(F.lit(1)).alias("_n")]
     if first_of:
         aggs.append(F.min_by(first_of, order).alias("_first"))
@@ -77,45 +79,43 @@ def order_statistic(
     out: str = "order_value",
     bins: int = 4096,
 ) -> DataFrame:
-    """Exact value at a rank per key, without sorting the rows of a key.
-
-    ``rank`` maps the row count to a 1-based rank.  Equal values are counted
-    first.  A coarse pass bins by magnitude (64 bins per octave), a second pass
-    cuts the bin that holds the rank into ``bins`` equal parts, and only the
-    distinct values of that one part are ranked.  Both passes are plain counts
-    with map-side combine.  Values are expected to be >= 0; NULL and NaN are left
-    out.
+    """Exact value at a rank per key, without sorting or shuffling the rows.
+
+    ``rank`` maps the row count to a 1-based rank.  Three narrow scans: counts
+    per magnitude bin (64 bins an octave), counts in ``bins`` equal parts of the
+    bin that holds the rank, and counts per distinct value of the one part left.
+    All are aggregations with map-side combine, so ties and hot keys collapse
+    before the shuffle.  Only one small row per key goes from scan to scan.
+    Values are expected to be >= 0; NULL and NaN are left out.
     """
     keys = list(keys)
     group = keys or ["_all"]
-    rows = df if keys else df.withColumn("_all", F.lit(0))
-    usable = rows.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    counts = usable.groupBy(*group, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    v = F.col(value).cast("double")
+    usable = df.where(v.isNotNull() & ~F.isnan(v)).select(
+        *keys, *([] if keys else [F.lit(0).alias("_all")]), F.col(value).alias("_v"))
     coarse = F.when(F.col("_v") > 0, F.floor(F.log2(F.col("_v").cast("double")) * 64)).otherwise(F.lit(-10 ** 6))
-    counts = counts.withColumn("_bin", coarse)
+    rows = usable.withColumn("_bin", coarse)
+    count = F.count(F.lit(1)).alias("_m")
 
     def pick(binned: DataFrame, column: str, carried: list[str]) -> DataFrame:
-        """The bin that holds the rank, with the rows before it."""
+        """The bin that holds the rank, with the rank counted from its start."""
         w = Window.partitionBy(*group).orderBy(column)
+        before = F.col("_cum") - F.col("_m")
         return (binned.withColumn("_cum", F.sum("_m").over(w))
-                .where((F.col("_cum") >= F.col("_rank")) & (F.col("_cum") - F.col("_m") < F.col("_rank")))
-                .withColumn("_before", F.col("_cum") - F.col("_m"))
-                .select(*group, column, "_rank", "_before", *carried))
+                .where((F.col("_cum") >= F.col("_rank")) & (before < F.col("_rank")))
+                .select(*group, column, (F.col("_rank") - before).alias("_rank"), *carried))
 
-    first = counts.groupBy(*group, "_bin").agg(
-        F.sum("_n").alias("_m"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    first = rows.groupBy(*group, "_bin").agg(count, F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     first = first.withColumn("_rank", rank(F.sum("_m").over(Window.partitionBy(*group))))
-    target = pick(first, "_bin", ["_lo", "_hi"])
+    target = settle(pick(first, "_bin", ["_lo", "_hi"]))
 
     width = (F.col("_hi") - F.col("_lo")).cast("double")
-    fine = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1))
-                  ).otherwise(F.lit(0))
-    inside = (counts.join(target.withColumnRenamed("_before", "_base"), group + ["_bin"])
-              .withColumn("_fine", fine).withColumn("_rank", F.col("_rank") - F.col("_base")))
-    second = inside.groupBy(*group, "_fine").agg(F.sum("_n").alias("_m"), F.first("_rank").alias("_rank"))
-    chosen = pick(second, "_fine", [])
-    last = inside.drop("_rank").join(chosen, group + ["_fine"])
-    ranked = last.withColumn("_cum", F.col("_before") + F.sum("_n").over(
-        Window.partitionBy(*group, "_fine").orderBy("_v")))
-    hit = ranked.where((F.col("_cum") >= F.col("_rank")) & (F.col("_cum") - F.col("_n") < F.col("_rank")))
-    return hit.select(*keys, F.col("_v").alias(out))
+    part = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width * bins), F.lit(bins - 1))).otherwise(F.lit(0))
+    carried = ["_bin", "_lo", "_hi"]
+    second = measured_join(rows, target, group + ["_bin"]).withColumn("_part", part).groupBy(*group, "_part").agg(
+        count, *[F.first(c).alias(c) for c in ("_rank", *carried)])
+    chosen = settle(pick(second, "_part", carried))
+
+    last = measured_join(rows, chosen.withColumnRenamed("_part", "_wanted"), group + ["_bin"])
+    values = last.where(part == F.col("_wanted")).groupBy(*group, "_v").agg(count, F.first("_rank").alias("_rank"))
+    return pick(values, "_v", []).select(*keys, F.col("_v").alias(out))

@@ -49,10 +49,12 @@ def expand_ranges(text: Column) -> Column:
 
 def compact_ranges(numbers: Column) -> Column:
     """Sorted distinct list to range text; only stride-1 runs are joined."""
-    n = F.size(numbers)
-    at = lambda i: F.element_at(numbers, i)
-    starts = F.filter(numbers, lambda v, i: (i == 0) | (F.get(numbers, i - 1) != v - 1))
-    ends = F.filter(numbers, lambda v, i: (i == n - 1) | (F.get(numbers, i + 1) != v + 1))
+    none = F.array(F.lit(None).cast("bigint"))
+    before = F.concat(none, F.slice(numbers, F.lit(1), F.greatest(F.size(numbers) - 1, F.lit(0))))
+    after = F.concat(F.slice(numbers, F.lit(2), F.size(numbers)), none)
+    edge = lambda other, step: F.filter(
+        F.zip_with(numbers, other, lambda v, o: F.when(o.isNull() | (o != v + step), v)), lambda v: v.isNotNull())
+    starts, ends = edge(before, -1), edge(after, 1)
     text = lambda a, b: F.when(a == b, a.cast("string")).otherwise(
         F.concat(a.cast("string"), F.lit("_to_"), b.cast("string")))
     return F.array_join(F.zip_with(starts, ends, text), "_")
@@ -110,25 +112,34 @@ def duration(seconds: Column) -> Column:
                     F.lit("."), F.lpad((millis % 1000).cast("bigint").cast("string"), 3, "0"))
 
 
-def log_metric(line: Column) -> Column:
-    """struct(slice, metric, value) of a recovery log line, NULL for other lines."""
-    found = None
-    for metric, pattern in LOG_PATTERNS.items():
-        hit = F.struct(F.regexp_extract(line, pattern, 1).cast("bigint").alias("slice"), F.lit(metric).alias("metric"),
-                       F.regexp_extract(line, pattern, 2).cast("double").alias("value"))
-        test = line.rlike(pattern)
-        found = F.when(test, hit) if found is None else found.when(test, hit)
-    return found
+def is_metric(line: Column) -> Column:
+    """Whether a line fits one of the log patterns; a cheap test goes first."""
+    return F.startswith(F.lower(line), F.lit("slice")) & line.rlike("|".join(f"(?:{p})" for p in LOG_PATTERNS.values()))
+
+
+def metric_name(line: Column) -> Column:
+    """Pattern name of a line that fits one of them."""
+    low = F.lower(line)
+    return (F.when(low.rlike(r"time\sto\sload\ssparse\sdata\s*:"), "time_load").when(low.rlike(r"time\sto\sset\sup\srecon\s*:"), "time_setup")
+            .when(low.rlike(r"time\sto\srec[a-z]+\sdata[^:]*:"), "time_recon").otherwise("iterations"))
+
+
+def metric_slice(line: Column) -> Column:
+    return F.regexp_extract(line, r"^\S+\s+([0-9]+)", 1).cast("bigint")
+
+
+def metric_value(line: Column) -> Column:
+    quoted = F.regexp_extract(line, rf'"({NUMBER})"', 1)
+    timed = F.regexp_extract(line, rf"(?i):\s+({NUMBER})\sseconds[.]", 1)
+    return F.when(metric_name(line) == "iterations", quoted).otherwise(timed).cast("double")
 
 
 def options(tokens: Column) -> Column:
     """``key=value`` tokens to a map; a bare token maps to 'true', the last one wins."""
-    pairs = F.transform(F.filter(tokens, lambda t: t != ""), lambda t: F.struct(
-        F.substring_index(t, "=", 1).alias("k"),
-        F.when(F.contains(t, F.lit("=")), F.substring(t, F.locate("=", t) + 1, F.length(t))).otherwise(F.lit("true")).alias("v")))
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))),
-                                                  lambda q: q.k == p.k))
-    return F.map_from_entries(last)
+    key = lambda t: F.substring_index(t, "=", 1)
+    value = lambda t: F.when(F.contains(t, F.lit("=")), F.substring(t, F.locate("=", t) + 1, F.length(t))).otherwise(F.lit("true"))
+    put = lambda m, t: F.map_concat(F.map_filter(m, lambda k, _: k != key(t)), F.create_map(key(t), value(t)))
+    return F.aggregate(F.filter(tokens, lambda t: t != ""), F.create_map().cast("map<string,string>"), put)
 
 
 # Defaults of the recovery options.

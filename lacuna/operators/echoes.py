@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.functions import cplx
+from lacuna.functions.joins import measured_join
 
 
 def root_sum_of_squares(rows: DataFrame, keys: Sequence[str], value: str, out: str = "rss") -> DataFrame:
@@ -22,7 +23,7 @@ def echo_phase(rows: DataFrame) -> DataFrame:
 
 def echo_frequency(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
     """Phase times its echo's coefficient; the coefficient table is the caller's."""
-    return rows.join(coefficients.select("echo", "coefficient"), "echo").withColumn(
+    return measured_join(rows, coefficients.select("echo", "coefficient"), ["echo"]).withColumn(
         "frequency", F.col("phase") * F.col("coefficient"))
 
 

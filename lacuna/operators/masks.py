@@ -37,8 +37,8 @@ def repair(mask_text: Column, ny: Column, nz: Column) -> Column:
 
 def mask_positions(repaired: Column) -> Column:
     """0-based column-major positions of the acquired cells, in order."""
-    cells = F.sequence(F.lit(0), F.length(repaired) - 1)
-    return F.filter(cells, lambda p: F.substr(repaired, p + 1, F.lit(1)) == "1")
+    marked = F.transform(F.split(repaired, ""), lambda mark, p: F.when(mark == "1", p))
+    return F.filter(marked, lambda p: p.isNotNull())
 
 
 def acquired_cells(masks: DataFrame, keys: Sequence[str], repaired: str = "mask", ny: str = "ny") -> DataFrame:
@@ -50,10 +50,12 @@ def acquired_cells(masks: DataFrame, keys: Sequence[str], repaired: str = "mask"
 
 def decode_name(name: Column) -> list[Column]:
     """Grid, acceleration and profile exponents spelled in a mask name (NULL if none)."""
-    part = lambda i: F.regexp_extract(name, text.MASK_NAME, i)
-    number = lambda c: F.when(c != "", c.cast("double"))
+    # one pass of the pattern: its five parts after a control character each
+    parts = F.split(F.regexp_replace(name, f"(?s)^.*?{text.MASK_NAME}.*$", "\u0001$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")
+    number = lambda c: c.try_cast("double")
+    part = lambda i: F.get(parts, i)
     ny = number(part(1))
-    nz = F.when(part(2) != "", F.substring(part(2), 2, 9).cast("double")).otherwise(ny)
+    nz = F.coalesce(number(F.substring(part(2), 2, 9)), ny)
     return [ny.cast("int").alias("ny"), nz.cast("int").alias("nz"), number(part(3)).alias("acceleration"),
             (number(part(4)) / 10).alias("pa"), (number(part(5)) / 10).alias("pb")]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -25,35 +26,48 @@ CORES_A, CORES_B = tuple(range(16, 97, 16)), tuple(range(20, 81, 20))
 
 def scan_log(lines: DataFrame, keep: Sequence[str] = ("volume", "line_no"), line: str = "line") -> DataFrame:
     """Typed metric rows of a recovery log; other lines are left out."""
-    found = lines.select(*keep, text.log_metric(F.col(line)).alias("_m")).where(F.col("_m").isNotNull())
-    return found.select(*keep, "_m.slice", "_m.metric", "_m.value")
-
-
-def _resets(codes: np.ndarray, state: int) -> tuple[np.ndarray, int]:
-    """Positions that start a new attempt, given the metrics seen before, and the seen-set after."""
-    n = len(codes)
-    following = np.full(n, n)  # next position of the same metric
-    first = {}
-    for code in np.unique(codes):
-        at = np.flatnonzero(codes == code)
-        following[at[:-1]] = at[1:]
-        first[int(code)] = int(at[0])
-    # earliest repeat of anything logged at or after a position
-    repeat = np.minimum.accumulate(following[::-1])[::-1].tolist() + [n]
-    at = min([repeat[0]] + [p for code, p in first.items() if state >> code & 1])
-    starts = []
-    while at < n:
-        starts.append(at)
-        at = repeat[at]
-    seen = 0 if starts else state
-    for code in np.unique(codes[starts[-1]:] if starts else codes):
-        seen |= 1 << int(code)
-    return np.array(starts, dtype=int), seen
+    c = F.col(line)
+    return lines.where(text.is_metric(c)).select(
+        *keep, text.metric_slice(c).alias("slice"), text.metric_name(c).alias("metric"), text.metric_value(c).alias("value"))
+
+
+class _Range:
+    """Attempt starts within consecutive lines, for any set of metrics seen before."""
+
+    def __init__(self, codes: np.ndarray):
+        n = len(codes)
+        following = np.full(n, n)  # next line of the same metric
+        self.codes, self.first = codes, {}
+        for code in range(len(METRICS)):
+            at = np.flatnonzero(codes == code)
+            if len(at):
+                following[at[:-1]] = at[1:]
+                self.first[code] = int(at[0])
+        # earliest repeat of anything logged at or after a line
+        self.repeat = np.minimum.accumulate(following[::-1])[::-1].tolist() + [n]
+        self.present = sum(1 << code for code in self.first)
+        self.known: dict[int, list[int]] = {}
+
+    def starts(self, state: int) -> list[int]:
+        at = min([self.repeat[0]] + [p for code, p in self.first.items() if state >> code & 1])
+        if at not in self.known:
+            chain, p = [], at
+            while p < len(self.codes):
+                chain.append(p)
+                p = self.repeat[p]
+            self.known[at] = chain
+        return self.known[at]
+
+    def seen_after(self, state: int) -> int:
+        starts = self.starts(state)
+        if not starts:
+            return state | self.present
+        return sum(1 << int(code) for code in set(self.codes[starts[-1]:].tolist()))
 
 
 def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric: str = "metric",
                     chunk: int = skew.CHUNK) -> DataFrame:
-    """Adds ``attempt``: a metric already seen in the current attempt starts the next.
+    """Adds ``attempt`` and the key's total ``attempts``: a metric already seen starts the next attempt.
 
     A key's lines are cut into ranges of ``order``.  Each range is summarised by
     what it does to every possible seen-set; the summaries are chained per key,
@@ -63,14 +77,14 @@ def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric:
     group = keys + ["_chunk"]
     others = [c for c in metrics.columns if c not in keys]
     code = (F.array_position(F.array(*[F.lit(m) for m in METRICS]), F.col(metric)) - 1).cast("int")
-    cut = metrics.withColumns({"_chunk": F.floor(F.col(order) / chunk), "_code": code})
+    cut = metrics.withColumns({"_chunk": F.col(order) - F.pmod(F.col(order), F.lit(chunk)), "_code": code})
     lines = F.array_sort(F.collect_list(F.struct(order, "_code", *[c for c in others if c != order])))
     ranges = cut.groupBy(*group).agg(lines.alias("_lines")).withColumn("_codes", F.col("_lines._code"))
 
     def summarise(block):
-        outcomes = [[_resets(codes, s) for s in range(sets)] for codes in block["_codes"]]
-        return {"_after": [[seen for _, seen in row] for row in outcomes],
-                "_resets": [[len(starts) for starts, _ in row] for row in outcomes]}
+        ranges = [_Range(codes) for codes in block["_codes"]]
+        return {"_after": [[r.seen_after(s) for s in range(sets)] for r in ranges],
+                "_resets": [[len(r.starts(s)) for s in range(sets)] for r in ranges]}
 
     effects = map_arrays(ranges, summarise, ("_codes",), "_after array<int>, _resets array<int>", group, ragged=True)
     chained = effects.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_chunk", "_after", "_resets"))).alias("_e"))
@@ -78,7 +92,7 @@ def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric:
                              F.flatten("_e._resets").alias("_resets"))
 
     def chain(block):
-        states, bases = [], []
+        states, bases, totals = [], [], []
         for chunks, after, resets in zip(block["_chunks"], block["_after"], block["_resets"]):
             state, attempt = 0, 1
             row_states, row_bases = np.empty(len(chunks), dtype=int), np.empty(len(chunks), dtype=int)
@@ -88,40 +102,39 @@ def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric:
                 state = after[i * sets + state]
             states.append(row_states)
             bases.append(row_bases)
-        return {"_states": states, "_bases": bases}
+            totals.append(attempt)
+        return {"_states": states, "_bases": bases, "_total": totals}
 
-    carried = map_arrays(chained, chain, ("_chunks", "_after", "_resets"), "_states array<int>, _bases array<int>",
+    carried = map_arrays(chained, chain, ("_chunks", "_after", "_resets"), "_states array<int>, _bases array<int>, _total int",
                          (*keys, "_chunks"), ragged=True)
-    carried = carried.select(*keys, F.explode(F.arrays_zip("_chunks", "_states", "_bases")).alias("_c")).select(
-        *keys, F.col("_c._chunks").alias("_chunk"), F.col("_c._states").alias("_state"), F.col("_c._bases").alias("_base"))
+    carried = carried.select(*keys, "_total", F.explode(F.arrays_zip("_chunks", "_states", "_bases")).alias("_c")).select(
+        *keys, "_total", F.col("_c._chunks").alias("_chunk"), F.col("_c._states").alias("_state"), F.col("_c._bases").alias("_base"))
 
     def assign(block):
         out = []
         for codes, state, base in zip(block["_codes"], block["_state"], block["_base"]):
             step = np.zeros(len(codes), dtype=int)
-            step[_resets(codes, int(state))[0]] = 1
+            step[_Range(codes).starts(int(state))] = 1
             out.append(base + np.cumsum(step))
         return {"attempt": out}
 
-    placed = map_arrays(ranges.join(carried, group), assign, ("_codes", "_state", "_base"), "attempt array<int>",
-                        (*keys, "_lines"), ragged=True)
-    rows = placed.select(*keys, F.explode(F.arrays_zip("_lines", "attempt")).alias("_r"))
+    # a left join keeps both uses of the ranges alike, so that their shuffle is reused
+    placed = map_arrays(ranges.join(carried, group, "left"), assign, ("_codes", "_state", "_base"), "attempt array<int>",
+                        (*keys, "_lines", "_total"), ragged=True)
+    rows = placed.select(*keys, "_total", F.explode(F.arrays_zip("_lines", "attempt")).alias("_r"))
     return rows.select(*[F.col(c) if c in keys else F.col(f"_r._lines.{c}").alias(c) for c in metrics.columns],
-                       F.col("_r.attempt").alias("attempt"))
+                       F.col("_r.attempt").alias("attempt"), F.col("_total").alias("attempts"))
 
 
 def last_attempts(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key with the metrics of its last attempt, missing ones NULL."""
-    per = numbered.groupBy(*keys, "attempt").agg(*[
-        F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in METRICS])
-    newest = F.max_by(F.struct(*METRICS), "attempt")
-    return per.groupBy(*keys).agg(F.max("attempt").alias("attempts"), newest.alias("_v")).select(*keys, "attempts", "_v.*")
+    return numbered.where(F.col("attempt") == F.col("attempts")).groupBy(*keys).agg(
+        F.max("attempts").alias("attempts"), *[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in METRICS])
 
 
-def failed_attempts(numbered: DataFrame, keys: Sequence[str]) -> DataFrame:
+def failed_attempts(numbered: DataFrame) -> DataFrame:
     """Metrics of every attempt that a later attempt replaced."""
-    last = numbered.groupBy(*keys).agg(F.max("attempt").alias("_last"))
-    return numbered.join(last, list(keys)).where(F.col("attempt") < F.col("_last")).drop("_last")
+    return numbered.where(F.col("attempt") < F.col("attempts")).drop("attempts")
 
 
 def timing_summary(timing: DataFrame, keys: Sequence[str], time: str = "time_recon") -> DataFrame:
@@ -214,12 +227,12 @@ def unfinished(volumes: DataFrame, finished: DataFrame, on: Sequence[str]) -> Da
 def next_admitted(candidates: DataFrame, begun: DataFrame, queued: DataFrame, finished: DataFrame, run: str, volume: str,
                   limit: int, skipped: int = 0) -> DataFrame:
     """In-flight count per run and the next volume to start while it is under the limit."""
-    on = [run, volume]
-    flags = lambda df, name: df.select(*on).distinct().withColumn(name, F.lit(1))
-    marked = (candidates.select(*on).distinct().join(flags(begun, "_s"), on, "left")
-              .join(flags(queued, "_q"), on, "left").join(flags(finished, "_f"), on, "left"))
-    flight = F.count("_s") - F.count(F.when(F.col("_s") == 1, F.col("_f"))) + F.count(F.when(F.col("_s").isNull(), F.col("_q")))
-    free = F.min(F.when(F.col("_s").isNull() & F.col("_q").isNull() & (F.col(volume) >= skipped), F.col(volume)))
+    facts = {"_c": candidates, "_s": begun, "_q": queued, "_f": finished}
+    tagged = [df.select(run, volume, *[F.lit(n == name).alias(n) for n in facts]) for name, df in facts.items()]
+    marked = reduce(DataFrame.union, tagged).groupBy(run, volume).agg(*[F.bool_or(n).alias(n) for n in facts]).where("_c")
+    s, q, f = F.col("_s"), F.col("_q"), F.col("_f")
+    flight = F.count_if(s) - F.count_if(s & f) + F.count_if(~s & q)
+    free = F.min(F.when(~s & ~q & (F.col(volume) >= skipped), F.col(volume)))
     counted = marked.groupBy(run).agg(flight.alias("in_progress"), free.alias("_next"))
     return counted.select(run, "in_progress", F.when(F.col("in_progress") < limit, F.col("_next")).alias("next_volume"))
 

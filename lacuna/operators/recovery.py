@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions import kernels, linops
 from lacuna.functions.arrays import map_arrays, planes, vectors
+from lacuna.functions.joins import measured_join
 
 
 @dataclass(frozen=True)
@@ -214,6 +215,12 @@ def recover_block(block: dict[str, np.ndarray], options: RecoveryOptions) -> dic
     }
 
 
+def with_mask(samples: DataFrame, masks: DataFrame, options: RecoveryOptions) -> DataFrame:
+    """Each slice with its mask and density; a mask's size follows from the grid."""
+    return measured_join(samples, masks.select("mask_id", "positions", "density"), ["mask_id"],
+                         row_bytes=12 * options.ny * options.nz)
+
+
 def recover(samples: DataFrame, masks: DataFrame, options: RecoveryOptions, state: DataFrame | None = None,
             chunk: int = 30, slices: int | None = None) -> DataFrame:
     """Recover every slice that has not reached the requested iterations.
@@ -224,7 +231,7 @@ def recover(samples: DataFrame, masks: DataFrame, options: RecoveryOptions, stat
     When the slice count is known the work is spread at ``chunk`` slices a task,
     because AQE sizes tasks by bytes and not by solver time.
     """
-    rows = samples.join(masks.select("mask_id", "positions", "density"), "mask_id")
+    rows = with_mask(samples, masks, options)
     empty = F.array().cast("array<double>")
     if state is None:
         rows = rows.withColumns({"completed": F.lit(0), "start_re": empty, "start_im": empty})
@@ -266,7 +273,7 @@ def finish(recovered: DataFrame, options: RecoveryOptions, volume_scale: str | N
 def quality(recovered: DataFrame, samples: DataFrame, masks: DataFrame, options: RecoveryOptions) -> DataFrame:
     """Residual energy and gradient plus coefficient L1 of each recovered slice."""
     o, n = options, options.padded
-    truth = samples.join(masks.select("mask_id", "positions", "density"), "mask_id").select(
+    truth = with_mask(samples, masks, options).select(
         "volume", "slice", "positions", "density", F.col("re").alias("dre"), F.col("im").alias("dim"))
     rows = recovered.join(truth, ["volume", "slice"])
 

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lacuna.functions.arrays import map_arrays
+from lacuna.functions.joins import measured_join, settle
 from lacuna.functions.skew import order_statistic
 
 # 16-bit output range, share of voxels kept in range, histogram
@@ -154,13 +157,18 @@ def keep_largest(df: DataFrame, keys: Sequence[str], value: str, fraction: float
     """Values under the one at rank floor(n * fraction) from the top become 0; ties stay."""
     size = F.abs(F.col(value))
     rank = lambda n: n - F.greatest(F.floor(n * fraction), F.lit(1)) + 1
-    limits = order_statistic(df.withColumn("_size", size), keys, "_size", rank, "_limit")
-    return (df.join(limits, list(keys))
+    limits = settle(order_statistic(df.withColumn("_size", size), keys, "_size", rank, "_limit"))
+    return (measured_join(df, limits, keys)
             .withColumn(value, F.when(size < F.col("_limit"), 0.0).otherwise(F.col(value))).drop("_limit"))
 
 
-def keep_largest_in(values: Column, fraction: float) -> Column:
-    """The same inside one array column."""
-    sizes = F.sort_array(F.transform(values, F.abs), asc=False)
-    limit = F.element_at(sizes, F.greatest(F.floor(F.size(values) * fraction), F.lit(1)).cast("int"))
-    return F.transform(values, lambda v: F.when(F.abs(v) < limit, 0.0).otherwise(v))
+def keep_largest_in(slices: DataFrame, values: str, fraction: float, keep: Sequence[str]) -> DataFrame:
+    """The same inside each array of a column; no shuffle."""
+
+    def cut(block):
+        v = block[values]
+        rank = max(int(np.floor(v.shape[1] * fraction)), 1)
+        limit = -np.partition(-np.abs(v), rank - 1, axis=1)[:, rank - 1:rank]
+        return {values: np.where(np.abs(v) < limit, 0.0, v)}
+
+    return map_arrays(slices, cut, (values,), f"{values} array<double>", keep)

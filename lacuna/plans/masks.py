@@ -230,8 +230,8 @@ def lowest_radius(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""SELECT slice, CAST(my AS INTEGER) AS y, CAST(mz AS INTEGER) AS z, coalesce(re, 0) AS re FROM (SELECT vec_id AS slice, my, mz FROM embeddings, (SELECT unnest(range(12)) AS my), (SELECT unnest(range(16)) AS mz)) g
   LEFT JOIN (SELECT slice AS s, y + 2 AS ay, z + 4 AS az, re FROM {ad.VOXEL_SQL}) v ON slice = s AND my = ay AND mz = az""")
 def zero_pad(spark: SparkSession, folder: str) -> DataFrame:
-    padded = ad.slices(spark, folder).select("slice", arrays.pad_plane(F.col("re"), 8, 8, 12, 16).alias("v"))
-    return padded.select("slice", F.posexplode("v").alias("p", "re")).select(
+    padded = arrays.pad_planes(ad.slices(spark, folder), "re", (8, 8), (12, 16), ("slice",))
+    return padded.select("slice", F.posexplode("re").alias("p", "re")).select(
         "slice", (F.col("p") % 12).alias("y"), F.floor(F.col("p") / 12).cast("int").alias("z"), "re")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +51,7 @@ def numbered(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT * FROM {ATTEMPT_SQL}")
 def attempt_numbers(spark: SparkSession, folder: str) -> DataFrame:
-    return numbered(spark, folder)
+    return numbered(spark, folder).drop("attempts")
 
 
 TIMING_SQL = f"""(WITH a AS (SELECT * FROM {ATTEMPT_SQL}), l AS (SELECT slice, max(attempt) AS attempts FROM a GROUP BY slice)
@@ -66,7 +68,7 @@ def slice_timing(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""WITH a AS (SELECT * FROM {ATTEMPT_SQL}), l AS (SELECT slice, max(attempt) AS n FROM a GROUP BY slice)
 SELECT a.* FROM a JOIN l ON a.slice = l.slice WHERE attempt < n""")
 def failed_attempts(spark: SparkSession, folder: str) -> DataFrame:
-    return mo.failed_attempts(numbered(spark, folder), ["slice"])
+    return mo.failed_attempts(numbered(spark, folder))
 
 
 SUMMARY_SQL = f"""(SELECT slice % 10 AS run, count(time_recon) AS slices, avg(time_recon) AS mean_time, sum(time_recon) AS total_time,
@@ -324,16 +326,15 @@ def active_runs(spark: SparkSession, folder: str) -> DataFrame:
     return mo.active_runs(queue_lines(spark, folder))
 
 
-@query(f"""SELECT job_id, state, state = 'PENDING' AS is_pending, state = 'RUNNING' AS is_running, state <> 'RUNNING' AS to_cancel FROM {JOB_SQL} WHERE lower(name) LIKE 's0001%'""")
+@query(f"""WITH j AS (SELECT * FROM {JOB_SQL} WHERE lower(name) LIKE 's0001%')
+SELECT 'all' AS list, job_id FROM j UNION ALL SELECT 'pending', job_id FROM j WHERE state = 'PENDING'
+UNION ALL SELECT 'running', job_id FROM j WHERE state = 'RUNNING' UNION ALL SELECT 'cancel', job_id FROM j WHERE state <> 'RUNNING'""")
 def jobs_of_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Jobs of the runs that match a pattern, with their pending, running and cancel lists."""
+    """Jobs of the runs that match a pattern: all, pending, running and to be cancelled."""
     j, pattern = jobs(spark, folder), "^S0001"
-    mark = lambda df, name: df.select("job_id", F.lit(True).alias(name))
-    out = mo.jobs_of(j, pattern).select("job_id", "state")
-    for name, rows in (("is_pending", mo.jobs_of(j, pattern, "PENDING")), ("is_running", mo.jobs_of(j, pattern, "RUNNING")),
-                       ("to_cancel", mo.to_cancel(j, pattern))):
-        out = out.join(mark(rows, name), "job_id", "left").withColumn(name, F.coalesce(name, F.lit(False)))
-    return out
+    lists = {"all": mo.jobs_of(j, pattern), "pending": mo.jobs_of(j, pattern, "PENDING"),
+             "running": mo.jobs_of(j, pattern, "RUNNING"), "cancel": mo.to_cancel(j, pattern)}
+    return reduce(DataFrame.union, [rows.select(F.lit(n).alias("list"), "job_id") for n, rows in lists.items()])
 
 
 @query(f"""SELECT j.job_id, name, concat('/logs/', o_orderkey, '.log') AS log FROM {JOB_SQL} j JOIN orders ON o_orderkey = j.job_id WHERE regexp_matches(user, 'user[1-3]') AND partition = 'high' AND regexp_matches(name, '_m[0-5]')""")

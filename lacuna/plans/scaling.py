@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions import kernels
 from lacuna.functions.arrays import map_arrays
+from lacuna.functions.joins import measured_join, settle
 from lacuna.operators import acquisition as acq
 from lacuna.operators import scaling as sc
 from lacuna.plans import adapters as ad
@@ -141,8 +142,8 @@ HIST_SQL = f"""(SELECT volume, top, CAST(least(floor(magnitude / (top / 255.0::D
 def _topped(spark: SparkSession, folder: str) -> DataFrame:
     """A scale under the volume maximum, so that some voxels are out of range."""
     voxels = cents(spark, folder)
-    tops = voxels.groupBy("volume").agg(F.floor(F.max("magnitude") * 9 / 10).alias("top"))
-    return voxels.join(tops, "volume")
+    tops = settle(voxels.groupBy("volume").agg(F.floor(F.max("magnitude") * 9 / 10).alias("top")))
+    return measured_join(voxels, tops, ["volume"])
 
 
 @query(f"SELECT * FROM {HIST_SQL}")
@@ -200,8 +201,8 @@ def largest_fraction(spark: SparkSession, folder: str) -> DataFrame:
   t AS (SELECT slice, max(abs(re)) FILTER (WHERE r = 19) AS t FROM r GROUP BY slice)
 SELECT r.slice, pos, CASE WHEN abs(re) < t THEN 0 ELSE re END AS value FROM r JOIN t ON r.slice = t.slice""")
 def largest_fraction_slices(spark: SparkSession, folder: str) -> DataFrame:
-    kept = ad.slices(spark, folder).select("slice", sc.keep_largest_in(F.col("re"), 0.3).alias("v"))
-    return kept.select("slice", F.posexplode("v").alias("pos", "value"))
+    kept = sc.keep_largest_in(ad.slices(spark, folder), "re", 0.3, ("slice",))
+    return kept.select("slice", F.posexplode("re").alias("pos", "value"))
 
 
 @query(f"""WITH a AS (SELECT volume, slice, y + 32 * z AS pos, CAST(sum(magnitude) AS DOUBLE) AS v FROM {CENTS_SQL} WHERE acquired GROUP BY 1, 2, 3),

@@ -31,17 +31,23 @@ def build_session(app: str = "lacuna", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only where it is unset,
-    as in local tests, a temporary folder is chosen and set.
+    Only where it is unset, as in local tests, a temporary folder is chosen.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="lacuna-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(base)
+    return base
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
 def ship(spark: SparkSession) -> None:
