@@ -48,10 +48,18 @@ def acquired_cells(masks: DataFrame, keys: Sequence[str], repaired: str = "mask"
                          F.floor(F.col("pos") / F.col(ny)).cast("int").alias("z"))
 
 
-def decode_name(name: Column) -> list[Column]:
-    """Grid, acceleration and profile exponents spelled in a mask name (NULL if none)."""
-    # one pass of the pattern: its five parts after a control character each
-    parts = F.split(F.regexp_replace(name, f"(?s)^.*?{text.MASK_NAME}.*$", "\u0001$1\u0001$2\u0001$3\u0001$4\u0001$5"), "\u0001")
+def decode_names(names: DataFrame, name: str = "name") -> DataFrame:
+    """Grid, acceleration and profile exponents spelled in a mask name (NULL if none).
+
+    The pattern runs once a row; the generator keeps later filters from being
+    pushed below it and running it again.
+    """
+    spelled = F.regexp_replace(name, f"(?s)^.*?{text.MASK_NAME}.*$", "\u0001$1\u0001$2\u0001$3\u0001$4\u0001$5")
+    split = names.withColumn("_parts", F.split(spelled, "\u0001"))
+    return split.select("*", F.inline(F.array(F.struct(*_name_fields(F.col("_parts")))))).drop("_parts")
+
+
+def _name_fields(parts: Column) -> list[Column]:
     number = lambda c: c.try_cast("double")
     part = lambda i: F.get(parts, i)
     ny = number(part(1))
@@ -62,7 +70,7 @@ def decode_name(name: Column) -> list[Column]:
 
 def candidate_masks(names: DataFrame, ntraces: Column, pa: float, pb: float, name: str = "name") -> DataFrame:
     """Masks whose name fits the trace count; the default exponents sort last."""
-    decoded = names.select("*", *decode_name(F.col(name)))
+    decoded = decode_names(names, name)
     fits = F.col("ny") * F.col("nz") / F.col("acceleration") == ntraces
     return decoded.where(F.col("ny").isNotNull() & fits).withColumn(
         "is_default", (F.col("pa") == pa) & (F.col("pb") == pb))

@@ -178,10 +178,22 @@ def block_cosine(slices: DataFrame, ny: int, nz: int, block: int = 8, overlap: i
         *keep, "shift", F.slice("planes", F.col("shift") * cells + 1, cells).alias("coef"))
 
 
-def preview_planes(voxels: DataFrame, nx: int, ny: int, nz: int, whole: bool = False) -> DataFrame:
-    """Centre planes of a long volume (or all of it)."""
-    centre = (F.col("x") == nx // 2) | (F.col("y") == ny // 2) | (F.col("z") == nz // 2)
-    return voxels if whole else voxels.where(centre)
+def centre_planes(voxels: DataFrame, nx: int, ny: int, nz: int) -> DataFrame:
+    """Rows of the three centre planes of a long volume."""
+    y, z = F.col("pos") % ny, F.floor(F.col("pos") / ny)
+    return voxels.where((F.col("x") == nx // 2) | (y == ny // 2) | (z == nz // 2))
+
+
+def preview(kspace: DataFrame, nx: int, ny: int, nz: int, whole: bool = False) -> DataFrame:
+    """K-space, image and fully populated k-space of a volume: centre planes or everything."""
+    ax = (-2, -1)
+    image = per_slice(kspace, lambda a: kernels.shift(np.fft.ifft2(kernels.shift(a, ax)), ax), ny, nz, ("volume", "x"))
+    rows = lambda df: df.select("volume", "x", F.posexplode(F.arrays_zip("re", "im")).alias("pos", "_p")).select(
+        "volume", "x", "pos", "_p.re", "_p.im")
+    parts = {"kspace": rows(kspace), "image": rows(image), "inverse": volume_fft(image, nx, ny, nz, inverse=True)}
+    keep = (lambda df: df) if whole else (lambda df: centre_planes(df, nx, ny, nz))
+    tagged = [keep(df).select(F.lit(kind).alias("kind"), "volume", "x", "pos", "re", "im") for kind, df in parts.items()]
+    return tagged[0].union(tagged[1]).union(tagged[2])
 
 
 # ---------------------------------------------------------------- reports

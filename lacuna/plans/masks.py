@@ -71,7 +71,7 @@ def mask_names(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT * FROM {DECODED_SQL}")
 def mask_name(spark: SparkSession, folder: str) -> DataFrame:
-    return mask_names(spark, folder).select("o_orderkey", "name", *mk.decode_name(F.col("name")))
+    return mk.decode_names(mask_names(spark, folder))
 
 
 @query(f"""SELECT DISTINCT name, ny, nz, acceleration, pa, pb, pa = 1.8::DOUBLE AND pb = 5.4::DOUBLE AS is_default FROM {DECODED_SQL}
@@ -169,6 +169,24 @@ def calibrate_prob(spark: SparkSession, folder: str) -> DataFrame:
     return d.select("mask_id", "y", "z", F.round("c", 8).alias("c"), F.round(p, 8).alias("p"))
 
 
+@query("""WITH g AS (SELECT s_suppkey AS mask_id, p AS pos, 20.0::DOUBLE + s_suppkey % 40 AS target, greatest(abs(-1 + 2 * (p % 10) / 9.0::DOUBLE), abs(-1 + 2 * (p // 10) / 9.0::DOUBLE)) AS r FROM supplier, (SELECT unnest(range(100)) AS p)),
+  f AS (SELECT *, CASE WHEN r < 0.2 THEN 1.0 ELSE pow(greatest(1 - r, 0), 3) END AS f FROM g),
+  t AS (SELECT mask_id, sum(f) AS total, max(target) AS target FROM f GROUP BY 1),
+  c AS (SELECT f.mask_id, f.f AS lim, sum(least(o.f + 1 - f.f, 1)) AS at_lim FROM (SELECT DISTINCT mask_id, f FROM f) f JOIN f o ON o.mask_id = f.mask_id GROUP BY 1, 2),
+  k AS (SELECT c.mask_id, max(lim) FILTER (WHERE at_lim > target) AS open_top FROM c JOIN t ON t.mask_id = c.mask_id GROUP BY 1),
+  s AS (SELECT f.mask_id, (max(target) - count(*) FILTER (WHERE f.f > open_top) - sum(CASE WHEN f.f <= open_top THEN f.f ELSE 0 END)) / count(*) FILTER (WHERE f.f <= open_top) AS c FROM f JOIN k ON f.mask_id = k.mask_id GROUP BY 1)
+SELECT f.mask_id, CAST(pos AS BIGINT) AS pos, round(least(f.f + s.c, 1.0), 8) AS p FROM f JOIN s ON s.mask_id = f.mask_id JOIN t ON t.mask_id = f.mask_id WHERE floor(total) <= floor(t.target)""")
+def calibrate_polynomial(spark: SparkSession, folder: str) -> DataFrame:
+    """Polynomial profile with a full centre, calibrated; the twin searches the saturation limit."""
+    k = F.col("s_suppkey")
+    designs = table(spark, folder, "supplier").select(k.alias("mask_id"), F.lit(10).alias("n"), (20.0 + k % 40).alias("target"))
+    cells = mk.grid(designs, F.col("n"), F.col("n"))
+    r = mk.unit_radius(F.col("y"), F.col("z"), 10, 10, "max")
+    weighted = cells.withColumn("f", mk.polynomial_profile(r, F.lit(3), 0.2))
+    solved = mk.calibrate(weighted, ["mask_id"], "f", "target", ["pos"]).where("c IS NOT NULL")
+    return solved.select("mask_id", "pos", F.round("p", 8).alias("p"))
+
+
 TRIES = 6
 
 

@@ -160,10 +160,15 @@ def complex_columns(spark: SparkSession, folder: str) -> DataFrame:
                     (F.col("re") / 2).alias("half_re"))
 
 
-@query(f"SELECT volume, slice, pos, re, im FROM {V} WHERE slice % 8 = 4 OR y = 4 OR z = 4")
+IMAGE2_SQL = f"(SELECT CAST(slice // 8 AS INTEGER) AS volume, CAST(slice % 8 AS INTEGER) AS x, ky AS y, kz AS z, re / 8 AS re, im / 8 AS im FROM {dft2_sql(V, 1)})"
+PREVIEW_SQL = f"""(SELECT 'kspace' AS kind, * FROM {STACK_SQL} UNION ALL SELECT 'image', * FROM {IMAGE2_SQL}
+  UNION ALL SELECT 'inverse', volume, x, y, z, re, im FROM {idft3_sql(f"(SELECT volume, x AS kx, y AS ky, z AS kz, re, im FROM {IMAGE2_SQL})", 8)})"""
+
+
+@query(rounded(f"(SELECT * FROM {PREVIEW_SQL} WHERE x = 4 OR y = 4 OR z = 4)", "kind, volume, x, y + 8 * z AS pos", 7))
 def preview_planes(spark: SparkSession, folder: str) -> DataFrame:
-    v = voxels(spark, folder).withColumn("x", F.col("slice") % 8)
-    return tf.preview_planes(v, 8, 8, 8).select("volume", "slice", "pos", "re", "im")
+    out = tf.preview(stacked(spark, folder), 8, 8, 8)
+    return out.select("kind", "volume", "x", "pos", (F.round("re", 7) + 0.0).alias("re"), (F.round("im", 7) + 0.0).alias("im"))
 
 
 # ---------------------------------------------------------------- masked Fourier, gradient, wavelet, cosine
@@ -292,6 +297,24 @@ def recover_slices(spark: SparkSession, folder: str) -> DataFrame:
                       F.size(F.filter("re", lambda v: F.abs(v) > 1e-3)).alias("coefficients"))
 
 
+@query()
+def recover_volume(spark: SparkSession, folder: str) -> DataFrame:
+    """64 slices of 128 x 128, each with its own mask: line items as k-space samples."""
+    cell = (F.col("l_partkey") % 128 + 128 * (F.col("l_suppkey") * 31 % 128)).cast("int")
+    samples = table(spark, folder, "lineitem").groupBy(
+        (F.col("l_orderkey") % 64).alias("slice"), cell.alias("pos")).agg(F.sum(F.col("l_extendedprice") / 1e5).alias("v"))
+    cells = F.array_sort(F.collect_list(F.struct("pos", "v")))
+    rows = samples.groupBy("slice").agg(cells.alias("c"))  # at most 128 * 128 distinct cells a slice
+    slices = rows.select(F.lit(0).alias("volume"), "slice", F.col("slice").alias("mask_id"), F.col("c.v").alias("re"),
+                         F.transform("c.v", lambda v: v * 0).alias("im"))
+    masks = rows.select(F.col("slice").alias("mask_id"), F.col("c.pos").alias("positions"),
+                        F.array_repeat(F.size("c") / 16384.0, 16384).alias("density"))
+    options = rc.RecoveryOptions(128, 128, passes=((10, 0.0012, 0.006),), transform=linops.Wavelet("Daubechies", 4, 4))
+    out = rc.recover(slices, masks, options, chunk=4, slices=64)
+    return out.select("volume", "slice", "iterations", F.round(F.element_at("objective", 1), 4).alias("objective_first"),
+                      F.round(F.element_at("objective", -1), 4).alias("objective_last"))
+
+
 @query()
 def resume_slices(spark: SparkSession, folder: str) -> DataFrame:
     """Half the plan, its state kept as Parquet, then the rest from that state."""
