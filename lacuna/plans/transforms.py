@@ -326,17 +326,39 @@ def resume_slices(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("volume", "slice", "iterations", F.round(F.element_at("objective", -1), 6).alias("objective"))
 
 
-@query()
+CROP_SQL = f"(SELECT slice, ky - 1 AS y, kz - 1 AS z, re, im FROM {dft2_sql(V, -1)} WHERE ky BETWEEN 1 AND 6 AND kz BETWEEN 1 AND 6)"
+
+
+@query(f"SELECT slice, CAST(ky + 6 * kz AS INTEGER) AS pos, round(sqrt(re * re + im * im) * (slice % 7 + 1) / 6 * 2, {DIGITS}) AS magnitude FROM {dft2_sql(CROP_SQL, 1, n=6)}")
 def finish_slices(spark: SparkSession, folder: str) -> DataFrame:
-    samples, masks = undersampled(spark, folder)
-    images = rc.finish(rc.recover(samples, masks, OPTIONS), OPTIONS)
-    return images.select("volume", "slice", F.posexplode("magnitude").alias("pos", "magnitude"))
+    """Padded slices scaled back and cropped in k-space from 8 x 8 to 6 x 6."""
+    iterate = ad.complex_slices(spark, folder).withColumn("volume_scale", (F.col("slice") % 7 + 1).cast("double"))
+    images = rc.finish(iterate, rc.RecoveryOptions(6, 6), "volume_scale", scale=2.0)
+    return images.select("slice", F.posexplode("magnitude").alias("pos", "magnitude")).withColumn("magnitude", F.round("magnitude", DIGITS))
 
 
-@query()
+HAMMING = "(0.54 - 0.46 * cos(2 * pi() * {} / 7))"
+DATA_SQL = f"(SELECT slice, y, z, (y * 3 + z * 5) % 4 <> 0 AS m, CASE WHEN (y * 3 + z * 5) % 4 <> 0 THEN im ELSE 0 END AS re, CASE WHEN (y * 3 + z * 5) % 4 <> 0 THEN re ELSE 0 END AS im FROM {V})"
+LOW_SQL = f"(SELECT slice, y, z, re * w AS re, im * w AS im FROM (SELECT *, {HAMMING.format('y')} * {HAMMING.format('z')} AS w FROM {DATA_SQL}))"
+TURNED_SQL = f"""(SELECT v.slice, v.y, v.z, v.re * cos(a) - v.im * sin(a) AS re, v.re * sin(a) + v.im * cos(a) AS im FROM {V} v
+  JOIN (SELECT slice, ky, kz, atan2(im, re) AS a FROM {dft2_sql(LOW_SQL, 1)}) p ON p.slice = v.slice AND p.ky = v.y AND p.kz = v.z)"""
+
+
+@query(f"""WITH r AS (SELECT d.slice, sum(pow(f.re - d.re, 2) + pow(f.im - d.im, 2)) AS residual FROM {dft2_sql(TURNED_SQL, -1)} f JOIN {DATA_SQL} d ON d.slice = f.slice AND d.y = f.ky AND d.z = f.kz WHERE m GROUP BY 1),
+  g AS (SELECT slice, sqrt(re * re + im * im) AS x, coalesce(sqrt(pow(lead(re) OVER wy - re, 2) + pow(lead(im) OVER wy - im, 2)), 0) AS gy, coalesce(sqrt(pow(lead(re) OVER wz - re, 2) + pow(lead(im) OVER wz - im, 2)), 0) AS gz
+    FROM {V} WINDOW wy AS (PARTITION BY slice, z ORDER BY y), wz AS (PARTITION BY slice, y ORDER BY z)),
+  l AS (SELECT slice, sum(x + gy + gz) AS l1 FROM g GROUP BY 1)
+SELECT r.slice, round(residual, 7) AS residual, round(l1, 7) AS l1 FROM r JOIN l ON r.slice = l.slice""")
 def recovery_quality(spark: SparkSession, folder: str) -> DataFrame:
-    samples, masks = undersampled(spark, folder)
-    return rc.quality(rc.recover(samples, masks, OPTIONS), samples, masks, OPTIONS)
+    """Residual and L1 of an iterate against data sampled by one mask, phase from the low frequencies."""
+    rule = lambda p: (p % 8 * 3 + F.floor(p / 8) * 5) % 4 != 0
+    masks = spark.range(1).select(F.lit(0).alias("mask_id"), F.filter(F.sequence(F.lit(0), F.lit(63)), rule).alias("positions"),
+                                  F.array_repeat(F.lit(0.75), 64).alias("density"))
+    iterate = ad.complex_slices(spark, folder).withColumn("iterations", F.lit(0))
+    kept = lambda c: F.filter(c, lambda _, p: rule(p))
+    samples = iterate.select("volume", "slice", F.lit(0).alias("mask_id"), kept("im").alias("re"), kept("re").alias("im"))
+    out = rc.quality(iterate, samples, masks, rc.RecoveryOptions(8, 8))
+    return out.select("slice", F.round("residual", 7).alias("residual"), F.round("l1", 7).alias("l1"))
 
 
 @query("""SELECT e.label AS volume, CAST(count(*) AS BIGINT) AS pending FROM embeddings e

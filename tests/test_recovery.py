@@ -105,6 +105,18 @@ def test_non_square_slices_are_padded_and_cropped(spark):
     assert {len(r["magnitude"]) for r in rc.finish(rec, opts).collect()} == {60}
 
 
+def test_gradient_is_the_slope_of_the_objective():
+    mask, phase = (rng.random((8, 8)) < 0.6).astype(float), np.exp(1j * rng.random((1, 8, 8)))
+    c = lambda: rng.normal(size=(1, 8, 8)) + 1j * rng.normal(size=(1, 8, 8))
+    opts = rc.RecoveryOptions(8, 8, transform=linops.Wavelet("Daubechies", 4, 1), smooth=1e-3)
+    solver = rc.SliceSolver(c() * mask, linops.MaskedFourier(mask, phase), opts)
+    x, d, row = c(), c(), np.array([0])
+    f = solver.line(x, d, 0.3, 0.2)
+    at = lambda t: f(row, np.array([t]))[0]
+    slope = np.real(np.vdot(solver.gradient(x, 0.3, 0.2), d))
+    assert np.isclose((at(1e-6) - at(-1e-6)) / 2e-6, slope, rtol=1e-6)
+
+
 def test_weights():
     assert rc.spread_weights(10, 3, [0.1], [0.2, 0.3, 0.4]) == ((10, 0.1, 0.2), (10, 0.1, 0.3), (10, 0.1, 0.4))
     with pytest.raises(ValueError):
