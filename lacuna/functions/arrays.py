@@ -111,15 +111,56 @@ def _arrow_type(dt: T.DataType) -> pa.DataType:
     }[type(dt)]
 
 
+def transposed(df: DataFrame, keys: Sequence[str], row: str, axis: str, values: Sequence[str] = ("re", "im")) -> DataFrame:
+    """Rows of arrays turned within each Arrow batch: (keys, axis, [row], [values]).
+
+    A batch holds many rows of a key, so what is shuffled afterwards are short
+    vectors per axis position instead of single samples.  Rows of a key that
+    repeat within a batch are added here already.
+    """
+    keys, values = list(keys), list(values)
+    schema = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(
+        f"{axis} int, {row} array<int>, " + ", ".join(f"{v} array<double>" for v in values)).fields)
+    names = [f.name for f in schema.fields]
+    types = [_arrow_type(f.dataType) for f in schema.fields]
+
+    def turn(part: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key_rows = np.stack([part[k] for k in keys], axis=1)
+        found, group = np.unique(key_rows, axis=0, return_inverse=True)
+        for g, key in enumerate(found):
+            mine = np.flatnonzero(group.ravel() == g)
+            at, slot = np.unique(part[row][mine], return_inverse=True)
+            n = part[values[0]].shape[1]
+            blocks = []
+            for v in values:
+                total = np.zeros((len(at), n))
+                np.add.at(total, slot, part[v][mine])
+                blocks.append(total.T)
+            columns = [np.full(n, k) for k in key] + [np.arange(n), np.tile(at, (n, 1)), *blocks]
+            yield pa.RecordBatch.from_arrays([_to_arrow(c, t) for c, t in zip(columns, types)], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, int(BLOCK_BYTES * batch.num_rows // max(batch.nbytes, 1)))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                cols = {c: _rows_as_numpy(part.column(c)) for c in [*keys, row, *values]}
+                for rows in _length_runs(cols):
+                    yield from turn({c: np.stack([v[i] for i in rows]) if isinstance(v, list) else v[rows]
+                                     for c, v in cols.items()})
+
+    return df.select(*keys, row, *values).mapInArrow(run, schema)
+
+
 def dense_rows(df: DataFrame, positions: str, values: Sequence[str], length: int, keep: Sequence[str]) -> DataFrame:
-    """(positions, values) array pairs to full arrays of ``length`` with zeros elsewhere."""
+    """(positions, values) array pairs to full arrays of ``length``; repeats add up, gaps are 0."""
 
     def place(block):
         rows = np.arange(len(block[positions]))[:, None]
         out = {}
         for v in values:
             out[v] = np.zeros((len(rows), length))
-            out[v][rows, block[positions]] = block[v]
+            np.add.at(out[v], (rows, block[positions]), block[v])
         return out
 
     return map_arrays(df, place, (positions, *values), ", ".join(f"{v} array<double>" for v in values), keep)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions import cplx, kernels, linops
-from lacuna.functions.arrays import map_arrays, planes, vectors
+from lacuna.functions.arrays import dense_rows, map_arrays, planes, transposed, vectors
 from lacuna.operators.acquisition import merge_samples
 
 COMPLEX = "re array<double>, im array<double>"
@@ -42,11 +42,22 @@ def readout_ifft(traces: DataFrame, keep: Sequence[str] = ("volume", "trace")) -
 
 
 def traces_to_slices(traces: DataFrame, length: int, keys: Sequence[str] = ("volume",), trace: str = "trace",
-                     axis: str = "x") -> DataFrame:
-    """One row per readout position with the values of all traces, in trace order."""
-    points = traces.select(*keys, trace, F.posexplode(F.arrays_zip("re", "im")).alias(axis, "_p")).select(
-        *keys, axis, trace, "_p.re", "_p.im")
-    return merge_samples(points, [*keys, axis], trace, ("re", "im"), length)
+                     axis: str = "x", repeats: bool = False) -> DataFrame:
+    """One row per readout position with the values of all traces, in trace order.
+
+    The one big shuffle.  A trace is read once, so a group holds ``length``
+    values; it travels in blocks turned where they were read.  Where a trace
+    number may come many times, ``repeats`` adds single samples before the
+    shuffle instead.
+    """
+    if repeats:
+        points = traces.select(*keys, trace, F.posexplode(F.arrays_zip("re", "im")).alias(axis, "_p")).select(
+            *keys, axis, trace, "_p.re", "_p.im")
+        return merge_samples(points, [*keys, axis], trace, ("re", "im"), length)
+    blocks = transposed(traces, keys, trace, axis)
+    pieces = blocks.groupBy(*keys, axis).agg(F.collect_list(F.struct(trace, "re", "im")).alias("_b"))
+    flat = pieces.select(*keys, axis, *[F.flatten(F.col(f"_b.{c}")).alias(c) for c in (trace, "re", "im")])
+    return dense_rows(flat, trace, ("re", "im"), length, [*keys, axis])
 
 
 def slice_fft(slices: DataFrame, ny: int, nz: int, inverse: bool = False,

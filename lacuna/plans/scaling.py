@@ -31,14 +31,14 @@ IMAGE_SQL = f"""(SELECT volume, trace, k AS x, round(sqrt(sre * sre + sim * sim)
   FROM {ad.POINT_SQL}, (SELECT unnest(range(32)) AS k) GROUP BY volume, trace, k))"""
 
 
-def readout_image(spark: SparkSession, folder: str) -> DataFrame:
+def readout_image(traces: DataFrame) -> DataFrame:
     """Magnitude after the inverse FFT along the sampled axis, one row per point."""
 
     def invert(block):
         out = kernels.readout_ifft(block["re"] + 1j * block["im"])
         return {"magnitude": abs(out)}
 
-    images = map_arrays(ad.traces(spark, folder), invert, ("re", "im"), "magnitude array<double>", ("volume", "trace"))
+    images = map_arrays(traces, invert, ("re", "im"), "magnitude array<double>", ("volume", "trace"))
     return (images.select("volume", "trace", F.posexplode("magnitude").alias("x", "magnitude"))
             .withColumn("magnitude", F.round("magnitude", 6)))
 
@@ -52,11 +52,11 @@ def readout_image(spark: SparkSession, folder: str) -> DataFrame:
 SELECT volume, trace, x, CAST(least(floor(magnitude * scale + 0.5), 65535) AS INTEGER) AS value FROM img, cut""")
 def output_scale(spark: SparkSession, folder: str) -> DataFrame:
     """16-bit output of all volumes, scaled by the first volume's histogram cut-off."""
-    image = readout_image(spark, folder)
-    first = image.where(F.col("volume") == image.agg(F.min("volume")).scalar())
+    traces = ad.traces(spark, folder)
+    first = readout_image(traces.where(F.col("volume") == traces.agg(F.min("volume")).scalar()))
     topped = first.withColumn("top", first.agg(F.max("magnitude")).scalar())
     cut = sc.histogram_cutoff(sc.histogram(topped, [], "magnitude", "top"), [], "top")
-    return image.select("volume", "trace", "x",
+    return readout_image(traces).select("volume", "trace", "x",
                         sc.scaled(F.col("magnitude"), cut.select("scale").scalar()).alias("value"))
 
 

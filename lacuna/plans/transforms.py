@@ -338,7 +338,7 @@ def finish_slices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 HAMMING = "(0.54 - 0.46 * cos(2 * pi() * {} / 7))"
-DATA_SQL = f"(SELECT slice, y, z, (y * 3 + z * 5) % 4 <> 0 AS m, CASE WHEN (y * 3 + z * 5) % 4 <> 0 THEN im ELSE 0 END AS re, CASE WHEN (y * 3 + z * 5) % 4 <> 0 THEN re ELSE 0 END AS im FROM {V})"
+DATA_SQL = f"(SELECT slice, y, z, (y * 3 + z * 5 + slice % 3) % 4 <> 0 AS m, CASE WHEN (y * 3 + z * 5 + slice % 3) % 4 <> 0 THEN im ELSE 0 END AS re, CASE WHEN (y * 3 + z * 5 + slice % 3) % 4 <> 0 THEN re ELSE 0 END AS im FROM {V})"
 LOW_SQL = f"(SELECT slice, y, z, re * w AS re, im * w AS im FROM (SELECT *, {HAMMING.format('y')} * {HAMMING.format('z')} AS w FROM {DATA_SQL}))"
 TURNED_SQL = f"""(SELECT v.slice, v.y, v.z, v.re * cos(a) - v.im * sin(a) AS re, v.re * sin(a) + v.im * cos(a) AS im FROM {V} v
   JOIN (SELECT slice, ky, kz, atan2(im, re) AS a FROM {dft2_sql(LOW_SQL, 1)}) p ON p.slice = v.slice AND p.ky = v.y AND p.kz = v.z)"""
@@ -350,13 +350,14 @@ TURNED_SQL = f"""(SELECT v.slice, v.y, v.z, v.re * cos(a) - v.im * sin(a) AS re,
   l AS (SELECT slice, sum(x + gy + gz) AS l1 FROM g GROUP BY 1)
 SELECT r.slice, round(residual, 7) AS residual, round(l1, 7) AS l1 FROM r JOIN l ON r.slice = l.slice""")
 def recovery_quality(spark: SparkSession, folder: str) -> DataFrame:
-    """Residual and L1 of an iterate against data sampled by one mask, phase from the low frequencies."""
-    rule = lambda p: (p % 8 * 3 + F.floor(p / 8) * 5) % 4 != 0
-    masks = spark.range(1).select(F.lit(0).alias("mask_id"), F.filter(F.sequence(F.lit(0), F.lit(63)), rule).alias("positions"),
+    """Residual and L1 of an iterate against sampled data, phase from the low frequencies."""
+    rule = lambda kind: lambda p: (p % 8 * 3 + F.floor(p / 8) * 5 + kind) % 4 != 0
+    masks = spark.range(3).select(F.col("id").alias("mask_id"), F.filter(F.sequence(F.lit(0), F.lit(63)), rule(F.col("id"))).alias("positions"),
                                   F.array_repeat(F.lit(0.75), 64).alias("density"))
     iterate = ad.complex_slices(spark, folder).withColumn("iterations", F.lit(0))
-    kept = lambda c: F.filter(c, lambda _, p: rule(p))
-    samples = iterate.select("volume", "slice", F.lit(0).alias("mask_id"), kept("im").alias("re"), kept("re").alias("im"))
+    kind = F.col("slice") % 3
+    kept = lambda c: F.filter(c, lambda _, p: rule(kind)(p))
+    samples = iterate.select("volume", "slice", kind.alias("mask_id"), kept("im").alias("re"), kept("re").alias("im"))
     out = rc.quality(iterate, samples, masks, rc.RecoveryOptions(8, 8))
     return out.select("slice", F.round("residual", 7).alias("residual"), F.round("l1", 7).alias("l1"))
 

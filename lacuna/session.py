@@ -36,12 +36,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only where it is unset, as in local tests, a temporary folder is chosen.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_lacuna_folder", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="lacuna-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        base = context._lacuna_folder = tempfile.mkdtemp(prefix="lacuna-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(base)
     return base
 
 

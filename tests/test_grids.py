@@ -104,6 +104,17 @@ def test_merge_samples_adds_repeats_and_fills(spark):
     assert got == {0: [0, 0, 3, 0, 5, 0], 1: [1, 0, 0, 0, 0, 0]}
 
 
+def test_slices_from_turned_blocks_and_from_single_samples(spark):
+    rows = [(v, t, [float(10 * t + x + v) for x in range(5)], [float(-x) for x in range(5)]) for v in range(3) for t in range(7)]
+    rows += [(0, 2, [1.0] * 5, [0.5] * 5)] * 40  # a trace that comes many times
+    df = spark.createDataFrame(rows, "volume int, trace int, re array<double>, im array<double>").repartition(6)
+    run = lambda repeats: tf.traces_to_slices(df, 8, repeats=repeats).orderBy("volume", "x").collect()
+    a, b = run(False), run(True)
+    assert len(a) == 15 and [r.asDict() for r in a] == [r.asDict() for r in b]
+    first = a[0]
+    assert first["re"] == [0, 10, 20 + 40, 30, 40, 50, 60, 0]
+
+
 def test_downsample_matches_whole_volume_transform(spark):
     shape, target = (6, 8, 10), (4, 5, 6)
     x = rng.normal(size=(2, *shape)) + 1j * rng.normal(size=(2, *shape))
