@@ -33,7 +33,9 @@ class RecoveryOptions:
     smooth: float = 1e-15
     p_norm: float = 1.0
     window: int = 32
-    transform: linops.LinearOp = field(default_factory=linops.Wavelet)
+    transform: linops.LinearOp = field(default_factory=linops.Wavelet)  # sparsifying
+    variation: linops.LinearOp = field(default_factory=linops.Gradient)
+    real_only: bool = False
     stop: str = "iterations"  # or "metric", "grad_norm", "norm_change"
     tolerance: float = 1e-4
     metric_window: int = 10
@@ -63,6 +65,11 @@ def _energy(a: np.ndarray) -> np.ndarray:
     return _sum(a.real ** 2 + a.imag ** 2)
 
 
+def _parts(a: np.ndarray) -> np.ndarray:
+    """Planes of an operator that gives several per slice, else the one plane."""
+    return a if a.ndim == 4 else a[None]
+
+
 def _wide(v: np.ndarray) -> np.ndarray:
     return v[:, None, None]
 
@@ -72,7 +79,7 @@ class SliceSolver:
 
     def __init__(self, data: np.ndarray, fourier: linops.LinearOp, options: RecoveryOptions):
         self.data, self.ft, self.o = data, fourier, options
-        self.tv = linops.Gradient()
+        self.tv = options.variation
 
     def smoothed(self, w: np.ndarray) -> np.ndarray:
         return (w.real ** 2 + w.imag ** 2 + self.o.smooth) ** (self.o.p_norm / 2)
@@ -95,15 +102,13 @@ class SliceSolver:
         back = self.o.transform.adjoint
         image, step = back(x), back(dx)
         base, move = self.ft.forward(image) - self.data, self.ft.forward(step)
-        grad = (self.tv.forward(image), self.tv.forward(step)) if tv_weight else None
+        grad = list(zip(_parts(self.tv.forward(image)), _parts(self.tv.forward(step)))) if tv_weight else []
 
         def value(rows, t):
             t = _wide(t)
             total = _energy(base[rows] + t * move[rows])
-            if grad:
-                total = total + tv_weight * (
-                    _sum(self.smoothed(grad[0][0][rows] + t * grad[1][0][rows]))
-                    + _sum(self.smoothed(grad[0][1][rows] + t * grad[1][1][rows])))
+            for g, h in grad:
+                total = total + tv_weight * _sum(self.smoothed(g[rows] + t * h[rows]))
             if l1_weight:
                 total = total + l1_weight * _sum(self.smoothed(x[rows] + t * dx[rows]))
             return total
@@ -185,7 +190,7 @@ def start_estimate(data, density, mask, options):
     image = kernels.ifft2_centred(data / density)
     window = low_frequency_plane(options.padded, options.window)
     phase = np.exp(1j * np.angle(kernels.ifft2_centred(data * window)))
-    return options.transform.forward(image), linops.MaskedFourier(mask, phase)
+    return options.transform.forward(image), linops.MaskedFourier(mask, phase, real_only=options.real_only)
 
 
 def recover_block(block: dict[str, np.ndarray], options: RecoveryOptions) -> dict[str, object]:

@@ -87,7 +87,7 @@ class Span(InputPartition):
     size: int
 
 
-def _filesystem(path: str):
+def filesystem(path: str):
     from pyarrow import fs
 
     if "://" in path:
@@ -96,7 +96,7 @@ def _filesystem(path: str):
 
 
 def _open(path: str):
-    system, inner = _filesystem(path)
+    system, inner = filesystem(path)
     return system.open_input_file(inner)
 
 
@@ -104,7 +104,7 @@ def _list(path: str) -> list[tuple[str, int]]:
     """(path, size) of every block file a path names."""
     from pyarrow import fs
 
-    system, inner = _filesystem(path)
+    system, inner = filesystem(path)
     scheme = path[: len(path) - len(inner)] if path.endswith(inner) else ""
     if any(ch in inner for ch in "*?["):
         folder = inner

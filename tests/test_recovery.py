@@ -117,6 +117,13 @@ def test_gradient_is_the_slope_of_the_objective():
     assert np.isclose((at(1e-6) - at(-1e-6)) / 2e-6, slope, rtol=1e-6)
 
 
+@pytest.mark.parametrize("variation,real_only", [(linops.Identity(), False), (linops.BlockCosine(8, 4), False), (linops.Gradient(), True)])
+def test_other_operators(case, variation, real_only):
+    samples, masks = case[1]
+    out = rc.recover(samples, masks, options(((8, 0.002, 0.004),), variation=variation, real_only=real_only)).collect()
+    assert all(b <= a * (1 + 1e-9) for r in out for a, b in zip(r["objective"], r["objective"][1:]))
+
+
 def test_weights():
     assert rc.spread_weights(10, 3, [0.1], [0.2, 0.3, 0.4]) == ((10, 0.1, 0.2), (10, 0.1, 0.3), (10, 0.1, 0.4))
     with pytest.raises(ValueError):
