@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lacuna.functions import cplx
 from lacuna.functions.joins import measured_join
@@ -64,33 +67,45 @@ def apply_masks(rows: DataFrame, masks: Sequence[DataFrame], on: Sequence[str],
     return rows.withColumn("masked", F.col(value) * product).drop(*[f"_m{i}" for i in range(len(masks))])
 
 
-def close_mask(voxels: DataFrame, keys: Sequence[str], axes: dict[str, int], radius: int = 2) -> DataFrame:
+def close_mask(voxels: DataFrame, keys: Sequence[str], axes: dict[str, int], radius: int = 2, tile: int = 64) -> DataFrame:
     """Binary closing with a ball: grow, then shrink; outside the grid nothing blocks.
 
-    ``voxels`` holds the inside voxels only.  Each step sends a voxel to its
-    neighbours and combines them with a count, map-side first.
+    ``voxels`` holds the inside voxels only, with 0-based integer axes.  Space is
+    cut into tiles; a voxel goes to its tile and to the tiles whose border it is
+    near, so each tile is closed on its own as a small dense array.
     """
-    names = list(axes)
-    offsets = [[]]
-    for _ in names:
-        offsets = [o + [d] for o in offsets for d in range(-radius, radius + 1)]
-    ball = [o for o in offsets if sum(d * d for d in o) <= radius * radius]
-    steps = F.array(*[F.struct(*[F.lit(d).alias(n) for n, d in zip(names, o)]) for o in ball])
-
-    def spread(rows: DataFrame) -> DataFrame:
-        moved = rows.select(*keys, *names, F.explode(steps).alias("_o"))
-        at = {n: F.col(n) + F.col(f"_o.{n}") for n in names}
-        inside = F.lit(True)
-        for n, size in axes.items():
-            inside = inside & at[n].between(0, size - 1)
-        return moved.where(inside).select(*keys, *[at[n].alias(n) for n in names])
-
-    grown = spread(voxels).distinct()
-    reach = F.lit(0)
-    for o in ball:
-        ok = F.lit(True)
-        for (n, size), d in zip(axes.items(), o):
-            ok = ok & (F.col(n) + d).between(0, size - 1)
-        reach = reach + ok.cast("int")
-    hits = spread(grown).groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("_hits"))
-    return hits.where(F.col("_hits") == reach).drop("_hits")
+    names, reach = list(axes), 2 * radius
+    spread = voxels.select(*keys, *names).distinct()
+    for n in names:
+        near = F.sequence(F.floor((F.col(n) - reach) / tile).cast("int"), F.floor((F.col(n) + reach) / tile).cast("int"))
+        last = (axes[n] - 1) // tile
+        inside = F.filter(near, lambda t: t.between(0, last))
+        spread = spread.withColumn(f"_{n}", F.explode(inside))
+    tiles = [f"_{n}" for n in names]
+    schema = T.StructType([voxels.schema[c] for c in (*keys, *names)])
+    sizes = np.array([axes[n] for n in names])
+    span = np.arange(-radius, radius + 1)
+    ball = [o for o in np.stack(np.meshgrid(*[span] * len(names), indexing="ij"), -1).reshape(-1, len(names))
+            if (o * o).sum() <= radius * radius]
+
+    def neighbours(block: np.ndarray) -> Iterator[np.ndarray]:
+        """The block seen from each offset of the ball, ``radius`` cells smaller on every side."""
+        for o in ball:
+            yield block[tuple(slice(radius + d, n - radius + d) for d, n in zip(o, block.shape))]
+
+    def close(pdf: pd.DataFrame) -> pd.DataFrame:
+        origin = pdf[tiles].iloc[0].to_numpy().astype(int) * tile - reach
+        shape = np.minimum(tile, sizes - origin - reach) + 2 * reach
+        block = np.zeros(shape, dtype=bool)
+        block[tuple((pdf[names].to_numpy().astype(int) - origin).T)] = True
+        grown = np.logical_or.reduce(list(neighbours(block)))
+        at = np.indices(grown.shape).reshape(len(names), -1).T + origin + radius
+        outside = ((at < 0) | (at >= sizes)).any(axis=1).reshape(grown.shape)
+        closed = np.logical_and.reduce(list(neighbours(grown | outside)))
+        found = np.argwhere(closed) + origin + reach
+        out = pd.DataFrame(found, columns=names)
+        for k in keys:
+            out[k] = pdf[k].iloc[0]
+        return out[[*keys, *names]]
+
+    return spread.groupBy(*keys, *tiles).applyInPandas(close, schema)

@@ -57,10 +57,9 @@ def volume_scale(peak: Column, ny: int, nz: int, first: Column | None = None, sc
 
 def axis_profiles(samples: DataFrame, value: str = "magnitude", keys: Sequence[str] = ("volume",),
                   axes: Sequence[str] = ("slice", "y", "z")) -> DataFrame:
-    """Mean per position of each axis in one pass over the samples."""
-    cells = samples.groupBy(*keys, *axes).agg(F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    sets = cells.groupingSets([[*[F.col(k) for k in keys], F.col(a)] for a in axes],
-                              *keys, *axes).agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    """Mean per position of each axis in one pass; a task sends one row per position, not its samples."""
+    sets = samples.groupingSets([[*[F.col(k) for k in keys], F.col(a)] for a in axes], *keys, *axes).agg(
+        F.sum(value).alias("_s"), F.count(F.lit(1)).alias("_n"))
     name = F.coalesce(*[F.when(F.col(a).isNotNull(), F.lit(a)) for a in axes])
     return sets.select(*keys, name.alias("axis"), F.coalesce(*axes).alias("i"),
                        (F.col("_s") / F.col("_n")).alias("mean_value"))

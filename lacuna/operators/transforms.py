@@ -154,8 +154,13 @@ def masked_fourier(slices: DataFrame, ny: int, nz: int, adjoint: bool = False, p
 
 
 def gradient_rows(voxels: DataFrame, keys: Sequence[str], value: str = "re") -> DataFrame:
-    """Next minus current along y and z on long rows; 0 at the far edge."""
+    """Next minus current along y and z on long rows; 0 at the far edge.
+
+    Both windows run inside a slice, so one shuffle by slice serves them and the
+    adjoint after them.
+    """
     v = F.col(value)
+    voxels = voxels.repartition(*keys)
 
     def step(axis: str, other: str) -> Column:
         return F.coalesce(F.lead(v).over(Window.partitionBy(*keys, other).orderBy(axis)) - v, F.lit(0.0))
@@ -163,6 +168,16 @@ def gradient_rows(voxels: DataFrame, keys: Sequence[str], value: str = "re") ->
     return voxels.withColumns({"dy": step("y", "z"), "dz": step("z", "y")})
 
 
+def gradient_planes(slices: DataFrame, ny: int, nz: int, keep: Sequence[str] = ("volume", "slice")) -> DataFrame:
+    """The same on slice arrays, without any shuffle: real differences ``dy`` and ``dz``."""
+
+    def run(block):
+        gy, gz = kernels.gradient(planes(block["re"], ny, nz))
+        return {"dy": vectors(gy), "dz": vectors(gz)}
+
+    return map_arrays(slices, run, ("re",), "dy array<double>, dz array<double>", keep)
+
+
 def gradient_adjoint_rows(diffs: DataFrame, keys: Sequence[str], ny: int, nz: int) -> DataFrame:
     """Adjoint of ``gradient_rows``: previous minus current with both edges handled."""
 
@@ -226,11 +241,15 @@ def objective_terms(residual: DataFrame, keys: Sequence[str], eps: float = 1e-15
 
 
 def run_difference(left: DataFrame, right: DataFrame, on: Sequence[str], report: Sequence[str]) -> DataFrame:
-    """Two runs voxel by voxel: summed difference, summed |difference|, summed magnitudes."""
-    c = F.col
-    other = right.select(*on, c("re").alias("re2"), c("im").alias("im2"))
-    a, b = cplx.magnitude(c("re"), c("im")), cplx.magnitude(c("re2"), c("im2"))
-    gap = cplx.magnitude(c("re") - c("re2"), c("im") - c("im2"))
-    return left.join(other, list(on)).groupBy(*report).agg(
-        F.sum(a - b).alias("sum_diff"), F.sum(gap).alias("sum_abs_diff"),
-        F.sum(a).alias("sum_left"), F.sum(b).alias("sum_right"))
+    """Two runs slice by slice: summed difference, summed |difference|, summed magnitudes."""
+    other = right.select(*on, F.col("re").alias("re2"), F.col("im").alias("im2"))
+
+    def compare(block):
+        x, y = block["re"] + 1j * block["im"], block["re2"] + 1j * block["im2"]
+        a, b = np.abs(x), np.abs(y)
+        return {"sum_diff": (a - b).sum(1), "sum_abs_diff": np.abs(x - y).sum(1), "sum_left": a.sum(1), "sum_right": b.sum(1)}
+
+    sums = ("sum_diff", "sum_abs_diff", "sum_left", "sum_right")
+    per_slice = map_arrays(left.join(other, list(on)), compare, ("re", "im", "re2", "im2"),
+                           ", ".join(f"{s} double" for s in sums), list(dict.fromkeys([*on, *report])))
+    return per_slice.groupBy(*report).agg(*[F.sum(s).alias(s) for s in sums])

@@ -197,7 +197,9 @@ GRAD_SQL = f"""(SELECT slice, y, z, re, coalesce(lead(re) OVER (PARTITION BY sli
 
 @query(f"SELECT slice, y, z, dy, dz FROM {GRAD_SQL}")
 def tv_forward(spark: SparkSession, folder: str) -> DataFrame:
-    return tf.gradient_rows(voxels(spark, folder), ["slice"]).select("slice", "y", "z", "dy", "dz")
+    diffs = tf.gradient_planes(ad.slices(spark, folder), 8, 8, ("slice",))
+    return diffs.select("slice", F.posexplode(F.arrays_zip("dy", "dz")).alias("p", "d")).select(
+        "slice", (F.col("p") % 8).alias("y"), F.floor(F.col("p") / 8).cast("int").alias("z"), "d.dy", "d.dz")
 
 
 @query(f"""SELECT slice, y, z, round(ay + az, {DIGITS}) + 0.0 AS adjoint FROM (SELECT slice, y, z,
@@ -265,8 +267,8 @@ def objective_terms(spark: SparkSession, folder: str) -> DataFrame:
   round(sum(sqrt(pow(a.re - b.re, 2) + pow(a.im - b.re, 2))), 6) AS sum_abs_diff, round(sum(sqrt(a.re * a.re + a.im * a.im)), 6) AS sum_left,
   round(sum(abs(b.re) * sqrt(2)), 6) AS sum_right FROM {V} a JOIN {V} b ON a.slice = b.slice AND a.pos = b.pos GROUP BY 1""")
 def run_diff(spark: SparkSession, folder: str) -> DataFrame:
-    v = voxels(spark, folder)
-    report = tf.run_difference(v, v.withColumn("im", F.col("re")), ["slice", "pos"], ["volume"])
+    s = ad.complex_slices(spark, folder)
+    report = tf.run_difference(s, s.select("slice", "re", F.col("re").alias("im")), ["slice"], ["volume"])
     return report.select("volume", *[(F.round(c, 6) + 0.0).alias(c) for c in ("sum_diff", "sum_abs_diff", "sum_left", "sum_right")])
 
 

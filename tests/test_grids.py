@@ -171,8 +171,9 @@ def test_closing_in_three_dimensions(spark):
 
     want = step(step(inside, False, True), True, False)
     df = spark.createDataFrame([(0, *map(int, p)) for p in np.argwhere(inside)], "v int, x int, y int, z int")
-    got = {(r["x"], r["y"], r["z"]) for r in ec.close_mask(df, ["v"], {"x": 9, "y": 8, "z": 7}, r).collect()}
-    assert got == {tuple(map(int, p)) for p in np.argwhere(want)}
+    for tile in (3, 5, 64):
+        rows = [(q["x"], q["y"], q["z"]) for q in ec.close_mask(df, ["v"], {"x": 9, "y": 8, "z": 7}, r, tile).collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == {tuple(map(int, p)) for p in np.argwhere(want)}
 
 
 def test_decay_fit_recovers_the_constant(spark):
