@@ -82,7 +82,7 @@ def order_statistic(
     """Exact value at a rank per key, without sorting or shuffling the rows.
 
     ``rank`` maps the row count to a 1-based rank.  Three narrow scans: counts
-    per magnitude bin (64 bins an octave), counts in ``bins`` equal parts of the
+    per magnitude bin (16 bins an octave), counts in ``bins`` equal parts of the
     bin that holds the rank, and counts per distinct value of the one part left.
     All are aggregations with map-side combine, so ties and hot keys collapse
     before the shuffle.  Only one small row per key goes from scan to scan.
@@ -93,7 +93,7 @@ def order_statistic(
     v = F.col(value).cast("double")
     usable = df.where(v.isNotNull() & ~F.isnan(v)).select(
         *keys, *([] if keys else [F.lit(0).alias("_all")]), F.col(value).alias("_v"))
-    coarse = F.when(F.col("_v") > 0, F.floor(F.log2(F.col("_v").cast("double")) * 64)).otherwise(F.lit(-10 ** 6))
+    coarse = F.when(F.col("_v") > 0, F.floor(F.log2(F.col("_v").cast("double")) * 16)).otherwise(F.lit(-10 ** 6))
     rows = usable.withColumn("_bin", coarse)
     count = F.count(F.lit(1)).alias("_m")
 

@@ -75,10 +75,11 @@ def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric:
     """
     keys, sets = list(keys), 1 << len(METRICS)
     group = keys + ["_chunk"]
-    others = [c for c in metrics.columns if c not in keys]
-    code = (F.array_position(F.array(*[F.lit(m) for m in METRICS]), F.col(metric)) - 1).cast("int")
+    others = [c for c in metrics.columns if c not in (*keys, order, metric)]
+    names = F.array(*[F.lit(m) for m in METRICS])
+    code = (F.array_position(names, F.col(metric)) - 1).cast("int")
     cut = metrics.withColumns({"_chunk": F.col(order) - F.pmod(F.col(order), F.lit(chunk)), "_code": code})
-    lines = F.array_sort(F.collect_list(F.struct(order, "_code", *[c for c in others if c != order])))
+    lines = F.array_sort(F.collect_list(F.struct(order, "_code", *others)))
     ranges = cut.groupBy(*group).agg(lines.alias("_lines")).withColumn("_codes", F.col("_lines._code"))
 
     def summarise(block):
@@ -122,7 +123,8 @@ def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric:
     placed = map_arrays(ranges.join(carried, group, "left"), assign, ("_codes", "_state", "_base"), "attempt array<int>",
                         (*keys, "_lines", "_total"), ragged=True)
     rows = placed.select(*keys, "_total", F.explode(F.arrays_zip("_lines", "attempt")).alias("_r"))
-    return rows.select(*[F.col(c) if c in keys else F.col(f"_r._lines.{c}").alias(c) for c in metrics.columns],
+    named = {c: F.col(c) for c in keys} | {metric: F.element_at(names, F.col("_r._lines._code") + 1)}
+    return rows.select(*[(named[c] if c in named else F.col(f"_r._lines.{c}")).alias(c) for c in metrics.columns],
                        F.col("_r.attempt").alias("attempt"), F.col("_total").alias("attempts"))
 
 
