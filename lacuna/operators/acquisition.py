@@ -33,7 +33,7 @@ def split_echoes(traces: DataFrame, nechoes: int) -> DataFrame:
 
 def volume_count(nblocks: Column, ntraces: Column, sampled_lines: Column) -> Column:
     """One block holds echoes of one volume; otherwise every block is a volume."""
-    return F.when(nblocks == 1, F.round(ntraces / sampled_lines)).otherwise(nblocks).cast("bigint")
+    return F.when(nblocks == 1, F.round(F.try_divide(ntraces, sampled_lines))).otherwise(nblocks).cast("bigint")
 
 
 def expected_bytes(nblocks: Column, bytes_per_block: Column) -> Column:

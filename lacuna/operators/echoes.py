@@ -41,7 +41,7 @@ def combine(rows: DataFrame, keys: Sequence[str], value: str, weight: str, first
     good = v.isNotNull() & ~F.isnan(v)
     used = rows.where(F.col("echo") < first)
     top, bottom = F.sum(F.when(good, v * w)), F.sum(F.when(good, w))
-    return used.groupBy(*keys).agg((top / bottom).alias(out))
+    return used.groupBy(*keys).agg(F.try_divide(top, bottom).alias(out))
 
 
 def decay_fit(rows: DataFrame, keys: Sequence[str], value: str, te: str) -> DataFrame:

@@ -71,7 +71,7 @@ def _name_fields(parts: Column) -> list[Column]:
 def candidate_masks(names: DataFrame, ntraces: Column, pa: float, pb: float, name: str = "name") -> DataFrame:
     """Masks whose name fits the trace count; the default exponents sort last."""
     decoded = decode_names(names, name)
-    fits = F.col("ny") * F.col("nz") / F.col("acceleration") == ntraces
+    fits = F.try_divide(F.col("ny") * F.col("nz"), F.col("acceleration")) == ntraces
     return decoded.where(F.col("ny").isNotNull() & fits).withColumn(
         "is_default", (F.col("pa") == pa) & (F.col("pb") == pb))
 
@@ -87,7 +87,7 @@ def mask_report(mask_text: Column) -> list[Column]:
 def sampling_fraction(df: DataFrame, keys: Sequence[str], acquired: str = "acquired") -> DataFrame:
     marks = F.sum(F.col(acquired).cast("bigint"))
     share = marks.cast("double") / F.count(F.lit(1))
-    return df.groupBy(*keys).agg(marks.alias("sampled"), share.alias("fraction"), (1 / share).alias("acceleration"))
+    return df.groupBy(*keys).agg(marks.alias("sampled"), share.alias("fraction"), F.try_divide(F.lit(1.0), share).alias("acceleration"))
 
 
 # ---------------------------------------------------------------- scatter and gather
@@ -140,7 +140,7 @@ def calibrate(weights: DataFrame, keys: Sequence[str], weight: str, target: str,
         "_k": F.row_number().over(ordered), "_n": F.count(F.lit(1)).over(w),
         "_tail": F.sum(weight).over(w) - prefix, "_next": F.lead(weight).over(ordered)})
     # a row stands for "the first _k weights are saturated"; k = 0 is added from the first row
-    some = (F.col(target) - F.col("_k") - F.col("_tail")) / (F.col("_n") - F.col("_k"))
+    some = F.try_divide(F.col(target) - F.col("_k") - F.col("_tail"), F.col("_n") - F.col("_k"))
     none = (F.col(target) - F.col("_tail") - F.col(weight)) / F.col("_n")
     fits_some = (F.col("_k") < F.col("_n")) & (F.col(weight) + some >= 1) & (F.col("_next") + some < 1)
     fits_none = (F.col("_k") == 1) & (F.col(weight) + none < 1)

@@ -166,7 +166,7 @@ def convergence(objective: DataFrame, keys: Sequence[str], order: str, value: st
                 chunk: int = skew.CHUNK) -> DataFrame:
     """Moving mean of the objective over its first value, with first and second difference."""
     placed = skew.with_position(objective, keys, order, "k", first_of=value, chunk=chunk)
-    placed = placed.withColumn("_f", F.col(value) / F.col(f"first_{value}"))
+    placed = placed.withColumn("_f", F.try_divide(F.col(value), F.col(f"first_{value}")))
 
     def build(w):
         mean = F.avg("_f").over(w.rowsBetween(1 - width, 0))
@@ -195,7 +195,7 @@ def volume_stage(facts: DataFrame) -> DataFrame:
     c, p = F.col, POINTS
     done = c("tag_sent") & (c("header_bytes") > COMPLETE_HEADER_BYTES)
     imaged = (c("image_count") > 0) & c("has_header")
-    fraction = F.when(c("state_exists"), c("slices_left") / c("slices")).otherwise(1.0)
+    fraction = F.when(c("state_exists"), F.coalesce(F.try_divide(c("slices_left"), c("slices")), F.lit(0.0))).otherwise(1.0)
     slicing = fraction > 0
     setup = ~c("workspace_ok") | ~c("state_exists")
     extract = c("file_bytes") <= 60

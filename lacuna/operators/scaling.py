@@ -42,7 +42,7 @@ def midpoint_quantile(df: DataFrame, keys: Sequence[str], value: str, p: float,
 
 
 def scale_from_quantile(quantile: Column) -> Column:
-    return F.lit(float(OUTPUT_MAX)) / quantile
+    return F.try_divide(F.lit(float(OUTPUT_MAX)), quantile)
 
 
 def volume_scale(peak: Column, ny: int, nz: int, first: Column | None = None, scaling: Column | None = None,
@@ -52,7 +52,7 @@ def volume_scale(peak: Column, ny: int, nz: int, first: Column | None = None, sc
     own = F.lit(side) * peak
     if first is None or scaling is None or padded:
         return own
-    return F.when(first, F.lit(side) * OUTPUT_MAX / scaling).otherwise(own)
+    return F.when(first, F.try_divide(F.lit(side) * OUTPUT_MAX, scaling)).otherwise(own)
 
 
 def axis_profiles(samples: DataFrame, value: str = "magnitude", keys: Sequence[str] = ("volume",),
@@ -108,10 +108,14 @@ def object_bounds(profiles: DataFrame, lengths: dict[str, int], keys: Sequence[s
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str, top: str, bins: int = BINS) -> DataFrame:
-    """Fixed-width counts over [0, top]; the last bin is closed, values outside are left out."""
+    """Fixed-width counts over [0, top]; the last bin is closed, values outside are left out.
+
+    A volume whose top is 0 has everything in bin 0 and no scale.
+    """
     width = F.col(top) / bins
     inside = df.where((F.col(value) >= 0) & (F.col(value) <= F.col(top)))
-    return inside.groupBy(*keys, top, F.least(F.floor(F.col(value) / width), F.lit(bins - 1)).alias("bin")).agg(
+    return inside.groupBy(*keys, top, F.coalesce(
+        F.least(F.floor(F.try_divide(F.col(value).cast("double"), width)), F.lit(bins - 1)), F.lit(0)).alias("bin")).agg(
         F.count(F.lit(1)).alias("voxels"))
 
 
@@ -124,14 +128,14 @@ def histogram_cutoff(hist: DataFrame, keys: Sequence[str], top: str, bins: int =
               .where(F.col("_cum") > F.lit(share) * F.col("_all")))
     first = passed.groupBy(*keys, top).agg(F.min("bin").alias("cut_bin"))
     middle = (F.col("cut_bin") + 0.5) * (F.col(top) / bins)
-    return first.select(*keys, "cut_bin", middle.alias("cut_value"), (F.lit(float(OUTPUT_MAX)) / middle).alias("scale"))
+    return first.select(*keys, "cut_bin", middle.alias("cut_value"), F.try_divide(F.lit(float(OUTPUT_MAX)), middle).alias("scale"))
 
 
 def rank_cutoff(df: DataFrame, keys: Sequence[str], value: str, share: float = KEEP_SHARE) -> DataFrame:
     """Sorted value at round(n * share), found without a global sort."""
     rank = lambda n: F.greatest(F.floor(n * share + 0.5), F.lit(1))
     return order_statistic(df, keys, value, rank, "cut_value").withColumn(
-        "scale", F.lit(float(OUTPUT_MAX)) / F.col("cut_value"))
+        "scale", F.try_divide(F.lit(float(OUTPUT_MAX)), F.col("cut_value")))
 
 
 def scaled(value: Column, factor: Column, clip: bool = True) -> Column:

@@ -129,7 +129,7 @@ def density_weight(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""SELECT volume, slice, CAST(sum(CAST(acquired AS INTEGER)) AS BIGINT) AS sampled, CAST(sum(CAST(acquired AS INTEGER)) AS DOUBLE) / count(*) AS fraction,
-  1 / (CAST(sum(CAST(acquired AS INTEGER)) AS DOUBLE) / count(*)) AS acceleration FROM {ad.SAMPLE_SQL} GROUP BY 1, 2""")
+  1 / nullif(CAST(sum(CAST(acquired AS INTEGER)) AS DOUBLE) / count(*), 0) AS acceleration FROM {ad.SAMPLE_SQL} GROUP BY 1, 2""")
 def sampling_fraction(spark: SparkSession, folder: str) -> DataFrame:
     return mk.sampling_fraction(ad.samples(spark, folder), ["volume", "slice"])
 

@@ -87,8 +87,8 @@ def timing_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 CORE_SQL = """(SELECT DISTINCT c AS cores FROM (SELECT unnest(range(16, 97, 16)) AS c UNION ALL SELECT unnest(range(20, 81, 20)) AS c
   UNION ALL SELECT a + b FROM (SELECT unnest(range(16, 97, 16)) AS a), (SELECT unnest(range(20, 81, 20)) AS b)))"""
-HMS = """concat(lpad(CAST(ms // 3600000 AS VARCHAR), 2, '0'), ':', lpad(CAST(ms // 60000 % 60 AS VARCHAR), 2, '0'), ':', lpad(CAST(ms // 1000 % 60 AS VARCHAR), 2, '0'),
-  '.', lpad(CAST(ms % 1000 AS VARCHAR), 3, '0'))"""
+HMS = """CASE WHEN ms IS NOT NULL THEN concat(lpad(CAST(ms // 3600000 AS VARCHAR), 2, '0'), ':', lpad(CAST(ms // 60000 % 60 AS VARCHAR), 2, '0'), ':', lpad(CAST(ms // 1000 % 60 AS VARCHAR), 2, '0'),
+  '.', lpad(CAST(ms % 1000 AS VARCHAR), 3, '0')) END"""
 
 
 @query(f"""SELECT run, CAST(cores AS INTEGER) AS cores, {HMS.replace('ms', 'lo')} AS min_time, {HMS.replace('ms', 'hi')} AS max_time FROM (

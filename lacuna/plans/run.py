@@ -71,7 +71,8 @@ def recover_run(spark: SparkSession, path: str, masks: DataFrame, options: rc.Re
 
     volume_scales(work, masks, options).write.mode("overwrite").parquet(folders.scales)
     scales = spark.read.parquet(folders.scales)
-    share = lambda c: F.transform(c, lambda v: v / F.col("volume_scale"))
+    # a volume without any signal has scale 0 and stays as it is
+    share = lambda c: F.transform(c, lambda v: v / F.when(F.col("volume_scale") > 0, F.col("volume_scale")).otherwise(1.0))
     scaled = measured_join(work, scales, ["volume"]).select("volume", "slice", "mask_id", share("re").alias("re"), share("im").alias("im"))
     earlier, attempt = _earlier(spark, folders.state)
     st.append_attempt(rc.recover(scaled, masks, options, earlier, slices=slices), folders.state, attempt)

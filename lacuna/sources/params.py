@@ -67,4 +67,4 @@ def derive(params: DataFrame) -> DataFrame:
         F.coalesce(F.when(part(3) == "r", value(part(2))), "_acc", F.lit(1.0)).alias("accfactor"),
         F.coalesce(F.when(part(3) == "t", value(part(2))), "_tacc", F.lit(1.0)).alias("tsense_accfactor"),
         F.coalesce("_nav", F.when(is_epi, 1.0), F.lit(0.0)).alias("navecho"))
-    return out.withColumn("navechoes", F.col("navecho") * F.col("numshots") / F.col("accfactor"))
+    return out.withColumn("navechoes", F.try_divide(F.col("navecho") * F.col("numshots"), F.col("accfactor")))

@@ -88,6 +88,15 @@ def test_histogram_edges(spark):
     assert got == {0: 1, 1: 1, 9: 2}
 
 
+def test_an_empty_volume_has_no_scale(spark):
+    df = spark.createDataFrame([(1, 0.0, 0.0)] * 5 + [(2, 3.0, 9.0), (2, 8.0, 9.0)], "volume int, v double, top double")
+    cut = {r["volume"]: r for r in sc.histogram_cutoff(sc.histogram(df, ["volume"], "v", "top"), ["volume"], "top").collect()}
+    assert cut[1]["scale"] is None and cut[2]["scale"] == pytest.approx(65535 / cut[2]["cut_value"])
+    assert {r["volume"]: r["scale"] for r in sc.rank_cutoff(df, ["volume"], "v").collect()} == {1: None, 2: 65535 / 8}
+    none = df.withColumn("acquired", F.lit(False))
+    assert mk.sampling_fraction(none, ["volume"]).where("acceleration IS NULL AND fraction = 0").count() == 2
+
+
 def test_shifts_pads_and_crops(spark):
     for n in (7, 8):
         row = spark.range(1).select(F.sequence(F.lit(0), F.lit(n - 1)).alias("a")).select(
