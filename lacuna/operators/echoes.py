@@ -6,12 +6,11 @@ import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lacuna.functions import cplx
+from lacuna.functions.arrays import map_arrays
 from lacuna.functions.joins import measured_join
 
 
@@ -82,7 +81,9 @@ def close_mask(voxels: DataFrame, keys: Sequence[str], axes: dict[str, int], rad
         inside = F.filter(near, lambda t: t.between(0, last))
         spread = spread.withColumn(f"_{n}", F.explode(inside))
     tiles = [f"_{n}" for n in names]
-    schema = T.StructType([voxels.schema[c] for c in (*keys, *names)])
+    # distinct voxels of a tile: never more than its cells
+    grouped = spread.groupBy(*keys, *tiles).agg(F.collect_list(F.struct(*names)).alias("_v")).select(
+        *keys, *tiles, *[F.col(f"_v.{n}").alias(n) for n in names])
     sizes = np.array([axes[n] for n in names])
     span = np.arange(-radius, radius + 1)
     ball = [o for o in np.stack(np.meshgrid(*[span] * len(names), indexing="ij"), -1).reshape(-1, len(names))
@@ -93,19 +94,20 @@ def close_mask(voxels: DataFrame, keys: Sequence[str], axes: dict[str, int], rad
         for o in ball:
             yield block[tuple(slice(radius + d, n - radius + d) for d, n in zip(o, block.shape))]
 
-    def close(pdf: pd.DataFrame) -> pd.DataFrame:
-        origin = pdf[tiles].iloc[0].to_numpy().astype(int) * tile - reach
-        shape = np.minimum(tile, sizes - origin - reach) + 2 * reach
-        block = np.zeros(shape, dtype=bool)
-        block[tuple((pdf[names].to_numpy().astype(int) - origin).T)] = True
+    def close_tile(index: np.ndarray, points: np.ndarray) -> np.ndarray:
+        origin = index.astype(int) * tile - reach
+        block = np.zeros(np.minimum(tile, sizes - origin - reach) + 2 * reach, dtype=bool)
+        block[tuple((points.astype(int) - origin).T)] = True
         grown = np.logical_or.reduce(list(neighbours(block)))
         at = np.indices(grown.shape).reshape(len(names), -1).T + origin + radius
         outside = ((at < 0) | (at >= sizes)).any(axis=1).reshape(grown.shape)
-        closed = np.logical_and.reduce(list(neighbours(grown | outside)))
-        found = np.argwhere(closed) + origin + reach
-        out = pd.DataFrame(found, columns=names)
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[[*keys, *names]]
-
-    return spread.groupBy(*keys, *tiles).applyInPandas(close, schema)
+        return np.argwhere(np.logical_and.reduce(list(neighbours(grown | outside)))) + origin + reach
+
+    def close(block):
+        where = np.stack([block[t] for t in tiles], axis=1)
+        found = [close_tile(where[r], np.stack([block[n][r] for n in names], axis=1)) for r in range(len(where))]
+        return {n: [f[:, a] for f in found] for a, n in enumerate(names)}
+
+    closed = map_arrays(grouped, close, (*tiles, *names), ", ".join(f"{n} array<int>" for n in names), keys, ragged=True)
+    rows = closed.select(*keys, F.explode(F.arrays_zip(*names)).alias("_p"))
+    return rows.select(*keys, *[F.col(f"_p.{n}").cast(voxels.schema[n].dataType).alias(n) for n in names])
