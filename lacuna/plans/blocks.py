@@ -11,7 +11,7 @@ from lacuna.plans import adapters as ad
 from lacuna.plans.registry import query
 from lacuna.session import work_dir
 from lacuna.sources import blocks as bf
-from lacuna.sources.blocks import BlockSource
+from lacuna.sources.blocks import register
 from lacuna.streaming.volumes import growing_blocks, process_volumes
 
 FLOAT_READY = 0b1001  # data present, single precision
@@ -46,7 +46,7 @@ def with_volume(rows: DataFrame) -> DataFrame:
 
 @query(f"SELECT volume, trace, x, re, im FROM {ad.POINT_SQL}")
 def block_file_scan(spark: SparkSession, folder: str) -> DataFrame:
-    spark.dataSource.register(BlockSource)
+    register(spark)
     rows = with_volume(spark.read.format("lacuna_blocks").load(write_block_files(spark, folder)))
     return rows.select("volume", "trace", F.posexplode(F.arrays_zip("re", "im")).alias("x", "v")).select(
         "volume", "trace", "x", "v.re", "v.im")
@@ -55,7 +55,7 @@ def block_file_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"""SELECT volume, CAST(traces AS INTEGER) AS ntraces, 64 AS npoints, 32 + 28 + traces * 256 AS file_bytes, true AS has_data
   FROM (SELECT volume, count(*) AS traces FROM {ad.TRACE_SQL} GROUP BY volume)""")
 def block_file_headers(spark: SparkSession, folder: str) -> DataFrame:
-    spark.dataSource.register(BlockSource)
+    register(spark)
     target = write_block_files(spark, folder)
     read = lambda table: spark.read.format("lacuna_blocks").option("table", table).load(target)
     blocks = read("block_header").select("path", "has_data")

@@ -20,7 +20,7 @@ from lacuna.operators import transforms as tf
 from lacuna.session import ship
 from lacuna.sources import sinks
 from lacuna.sources import state as st
-from lacuna.sources.blocks import BlockSource
+from lacuna.sources.blocks import register
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,7 @@ def recover_run(spark: SparkSession, path: str, masks: DataFrame, options: rc.Re
     if known (it sets the number of tasks of the solver).
     """
     ship(spark)
-    spark.dataSource.register(BlockSource)
+    register(spark)
     folders = RunFolders(out)
     raw = spark.read.format("lacuna_blocks").option("path", path).load()
     traces = raw.select(F.col("block").alias("volume"), "trace", "re", "im")

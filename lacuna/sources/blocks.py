@@ -1,6 +1,6 @@
 """Spark data source for block-structured sample files, batch and growing.
 
-    spark.dataSource.register(BlockSource)
+    register(spark)
     spark.read.format("lacuna_blocks").option("table", "trace").load(path)
 
 ``table`` is ``file_header``, ``block_header`` or ``trace`` (default).  ``path``
@@ -16,19 +16,43 @@ import fnmatch
 import json
 import os
 import posixpath
+import struct
+import sys
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from struct import Struct
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition,
 )
 
-FILE_HEADER = Struct(">5iIhhi")
-BLOCK_HEADER = Struct(">4hi4f")
+# The process that plans a streaming source does not see shipped files, so the
+# source travels as a whole instead of by module name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+@dataclass(frozen=True)
+class Record:
+    """A fixed binary layout that can be pickled."""
+
+    layout: str
+
+    @property
+    def size(self) -> int:
+        return struct.calcsize(self.layout)
+
+    def unpack(self, data: bytes) -> tuple:
+        return struct.unpack(self.layout, data)
+
+    def pack(self, *values) -> bytes:
+        return struct.pack(self.layout, *values)
+
+
+FILE_HEADER = Record(">5iIhhi")
+BLOCK_HEADER = Record(">4hi4f")
 
 SCHEMAS = {
     "file_header": "path string, file_bytes bigint, nblocks int, ntraces int, npoints int, bytes_per_element int, "
@@ -307,3 +331,9 @@ class BlockSource(DataSource):
 
     def streamReader(self, schema):
         return BlockStreamReader(self.options)
+
+
+def register(spark) -> None:
+    """Make ``lacuna_blocks`` known and allow its filter pushdown."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(BlockSource)

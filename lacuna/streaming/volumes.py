@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.sources.blocks import BlockSource
+from lacuna.sources.blocks import register
 from lacuna.streaming.sinks import once_per_key
 
 
@@ -25,7 +25,7 @@ def logged_offset(spark: SparkSession, checkpoint: str) -> str:
 
 def growing_blocks(spark: SparkSession, path: str, max_blocks: int | None = None, checkpoint: str | None = None) -> DataFrame:
     """Stream of the traces of ready blocks; an admission limit needs the checkpoint to resume from."""
-    spark.dataSource.register(BlockSource)
+    register(spark)
     reader = spark.readStream.format("lacuna_blocks").option("path", path)
     if max_blocks:
         if not checkpoint:
