@@ -43,8 +43,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
         arrow = to_arrow_schema(target)
         state = setup() if setup else None
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                part = batch.slice(start, 2000)
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
                 given = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
                 out = fn(given, state) if setup else fn(given)
                 yield pa.RecordBatch.from_arrays(

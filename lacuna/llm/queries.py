@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import decontaminate, simhash
+from lacuna.llm import decontaminate, langid, simhash
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op5_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", F.crc32(F.col("doc_id").cast("string")) % 5 == 0)
+    model = langid.learn(docs.where("not held_out"))
+    return langid.predict(docs.select("doc_id", "text", "held_out"), model, with_row=True).select(
+        F.col("id").alias("doc_id"), "row.held_out", F.col("lang").alias("lang_pred"), "score", "languages", "shares")
+
+
 @query
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
