@@ -31,8 +31,8 @@ def pick(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: StructType | str,
-                setup: Callable[[], object] | None = None) -> DataFrame:
-    """Apply ``fn`` to batches given as column lists; ``setup`` runs once a task and is passed on."""
+                setup: Callable[[], object] | None = None, rows: int = 500) -> DataFrame:
+    """Apply ``fn`` to batches of ``rows`` given as column lists; ``setup`` runs once a task and is passed on."""
     ship(df.sparkSession)
     target = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     names = [f.name for f in target]
@@ -43,8 +43,8 @@ def map_batches(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]],
         arrow = to_arrow_schema(target)
         state = setup() if setup else None
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
                 given = {n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)}
                 out = fn(given, state) if setup else fn(given)
                 yield pa.RecordBatch.from_arrays(
