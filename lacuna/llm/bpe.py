@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections.abc import Sequence
 
 import numpy as np
 import regex
@@ -236,21 +237,23 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "id
                  lambda batch, codec: {"id": batch["id"], "data": [codec.decode(x or []) for x in batch["ids"]]})
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): encodes, decodes the ids, and keeps the digests only.
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
+               keep: Sequence[str] = (), with_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256): encodes, decodes the ids, and gives the digests.
 
-    Both steps run in one pass, so the ids of a text never leave the task.
+    Both steps run in one pass; the ids leave the task only ``with_ids``.  ``keep`` names
+    columns to carry along as fields of ``row``.
     """
-    base = pick(docs, id_col, text_col)
-    schema = T.StructType([base.schema["id"], *T.StructType.fromDDL(
-        "n_tokens bigint, ids_sha256 string, decoded_sha256 string")])
+    row = [F.struct(*keep).alias("row")] if keep else []
+    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *row)
+    schema = T.StructType([*base.drop("text").schema, *T.StructType.fromDDL(
+        "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids)])
 
     def answer(batch: dict[str, list], codec: Codec) -> dict[str, list]:
         coded = codec.encode(batch["text"])
         sha = hashlib.sha256
-        return {"id": batch["id"], "n_tokens": [len(x) for x in coded],
-                "ids_sha256": [sha(np.array(x, dtype="<u4").tobytes()).hexdigest() for x in coded],
-                "decoded_sha256": [sha(codec.decode(x)).hexdigest() for x in coded]}
+        return batch | {"n_tokens": [len(x) for x in coded], "ids": coded,
+                        "ids_sha256": [sha(np.array(x, dtype="<u4").tobytes()).hexdigest() for x in coded],
+                        "decoded_sha256": [sha(codec.decode(x)).hexdigest() for x in coded]}
 
     return _each(base, ranks_path, pattern, schema, answer)

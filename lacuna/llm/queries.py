@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, langid, simhash
+from lacuna.llm import bpe, decontaminate, langid, pii, simhash
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,21 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+def _listed(spans: str) -> Column:
+    return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+
+
+def _number(spans: str, kind: str) -> Column:
+    return F.expr(f"cast(size(filter({spans}, s -> s.kind = '{kind}')) as bigint)").alias(f"n_{kind}")
+
+
+@query
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *(_number("base", k) for k in pii.KINDS[:4]),
+                        F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 @query
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
