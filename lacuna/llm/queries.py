@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, langid, pii, simhash
+from lacuna.llm import bpe, decontaminate, langid, pii, secrets, simhash
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,13 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
+@query
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *(_number("base", r.kind) for r in secrets.RULES if r.base),
+                        F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 @query
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
