@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, langid, pii, secrets, simhash
+from lacuna.llm import bpe, decontaminate, langid, pii, secrets, simhash, sketch
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,14 @@ its AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY ite
 SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
+@query
+def op10_sketch(spark: SparkSession, folder: str) -> DataFrame:
+    found = sketch.versions(table(spark, folder, "documents"))
+    found = found.withColumns({"apart": sketch.difference("own", "changed"), "apart_next": sketch.difference("own", "following")})
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        sketch.fingerprint("own").alias("fingerprint"), sketch.fingerprint("changed").alias("edited_fingerprint"),
+        sketch.likeness("own", "changed", "apart").alias("near_edited"),
+        sketch.likeness("own", "following", "apart_next").alias("near_next"))
