@@ -54,7 +54,7 @@ def _add(cells: str) -> str:
              "'cur', named_struct('c', -1, 'n', 0, 'k', 0L, 'v', 0L))")
     end = ("s -> filter(flatten(concat(s.done, array(concat(s.part, array(s.cur))))), "
            "y -> y.n <> 0 or y.k <> 0L or y.v <> 0L)")
-    return f"aggregate(array_sort({cells}), {start}, {step}, {end})"
+    return f"aggregate(sort_array({cells}), {start}, {step}, {end})"
 
 
 def _sketch(keys: str, m: str) -> str:
@@ -67,19 +67,24 @@ def fingerprint(keys: str) -> Column:
     return F.expr(f"array_join(transform({_sketch(keys, str(CELLS))}, x -> {cell}), ',')")
 
 
-def _peeled(a: str, b: str, m: str) -> str:
+def _minus(a: str, b: str, m: str) -> str:
+    """Cells of ``a`` less those of ``b``; cells that hold nothing are left out."""
+    other = f"transform({_sketch(b, m)}, x -> named_struct('c', x.c, 'n', -x.n, 'k', x.k, 'v', x.v))"
+    return _add(f"concat({_sketch(a, m)}, {other})")
+
+
+def _peeled(a: str, b: str, cells: str, m: str) -> str:
     """(left, right) keys in one set only, or null if peeling sticks."""
-    minus = "transform(" + _sketch(b, m) + ", x -> named_struct('c', x.c, 'n', -x.n, 'k', x.k, 'v', x.v))"
-    pure = ("array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 and x.v = xxhash64(x.k, 77)), "
-            "x -> named_struct('n', x.n, 'k', x.k)))")
-    gone = f"flatten(transform(p, q -> {_three('q.k', '-q.n', m)}))"
-    side = "transform(filter(p, q -> q.n = {}), q -> q.k)"
-    step = (f"(s, i) -> if(not s.live, s, transform(array({pure}), p -> if(size(p) = 0, "
+    def pure(count: int) -> str:
+        return (f"array_distinct(transform(filter(s.cells, x -> x.n = {count} and x.v = xxhash64(x.k, 77)), x -> x.k))")
+
+    gone = (f"flatten(concat(transform(p.l, q -> {_three('q', '-1', m)}), transform(p.r, q -> {_three('q', '1', m)})))")
+    step = (f"(s, i) -> if(not s.live, s, transform(array(named_struct('l', {pure(1)}, 'r', {pure(-1)})), "
+            "p -> if(size(p.l) + size(p.r) = 0, "
             "named_struct('cells', s.cells, 'left', s.left, 'right', s.right, 'live', false), "
-            f"named_struct('cells', {_add(f'concat(s.cells, {gone})')}, 'left', concat(s.left, {side.format(1)}), "
-            f"'right', concat(s.right, {side.format(-1)}), 'live', true)))[0])")
-    start = (f"named_struct('cells', {_add(f'concat({_sketch(a, m)}, {minus})')}, 'left', {_KEYS}, 'right', {_KEYS}, "
-             "'live', true)")
+            f"named_struct('cells', {_add(f'concat(s.cells, {gone})')}, 'left', concat(s.left, p.l), "
+            "'right', concat(s.right, p.r), 'live', true)))[0])")
+    start = f"named_struct('cells', {cells}, 'left', {_KEYS}, 'right', {_KEYS}, 'live', true)"
     whole = f"size(s.cells) = 0 and size({a}) - size(s.left) = size({b}) - size(s.right)"
     return (f"aggregate(sequence(1, {ROUNDS}), {start}, {step}, "
             f"s -> if({whole}, named_struct('left', s.left, 'right', s.right), null))")
@@ -88,11 +93,15 @@ def _peeled(a: str, b: str, m: str) -> str:
 def difference(a: str, b: str) -> Column:
     """Digests in only one of two digest sets, as (left, right), by sketches of growing size.
 
-    The last sketch has eight cells for each digest of both sets; should even that one
-    stick, which no data is known to cause, the sets themselves are compared.
+    A fingerprint with hardly an empty cell after subtraction holds too many digests to
+    peel and counts as failed.  The last sketch has eight cells for each digest of both
+    sets; should even that one stick, which no data is known to cause, the sets
+    themselves are compared.
     """
-    sizes = [str(m) for m in (CELLS, *LARGER)] + [f"(24 * (1 + size({a}) + size({b})) div 3)"]
-    tries = ", ".join(_peeled(a, b, m) for m in sizes)
+    first = (f"transform(array({_minus(a, b, str(CELLS))}), held -> if(size(held) > {CELLS - 4}, null, "
+             f"{_peeled(a, b, 'held', str(CELLS))}))[0]")
+    sizes = [*map(str, LARGER), f"(24 * (1 + size({a}) + size({b})) div 3)"]
+    tries = ", ".join([first, *(_peeled(a, b, _minus(a, b, m), m) for m in sizes)])
     return F.expr(f"coalesce({tries}, named_struct('left', array_except({a}, {b}), 'right', array_except({b}, {a})))")
 
 
