@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, langid, pii, secrets, simhash, sketch
+from lacuna.llm import bpe, decontaminate, html, langid, pii, secrets, simhash, sketch
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return fn
 
 
+@query
+def op1_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    found = html.main_text(pages.select("page_id", "url", "html"), with_row=True)
+    return found.select(F.col("id").alias("page_id"), "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def _listed(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
 
