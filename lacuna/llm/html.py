@@ -24,7 +24,7 @@ from lacuna.llm.common import map_batches
 #: Labelled pages: words under ``data-main`` are main text, but not those under ``data-not``.
 LABELLED = (
     """<html><head><title>A day at the sea</title><style>p{margin:0}</style></head><body>
-    <header><a href="/">The daily page</a> <span>news every morning</span></header>
+    <header><a href="/">The daily page</a> news every morning</header>
     <nav><ul><li><a href="/a">Home</a></li><li><a href="/b">World</a></li><li><a href="/c">Sport</a></li></ul></nav>
     <div class="ad">Buy two lamps and get one free this week only</div>
     <article data-main><h1>A day at the sea</h1><p>The morning train brought us to the coast before the fog had lifted,
@@ -38,22 +38,22 @@ LABELLED = (
     """<body><div id="menu"><a>Start</a> <a>Products</a> <a>About us</a> <a>Contact</a></div>
     <div class="cookie notice">We use cookies to improve your visit. Accept all or choose.</div>
     <div id="content" class="content" data-main><h1>How bread rises</h1><p>Yeast eats sugar and gives off gas, which is held
-    by the gluten in the dough. The longer it rests, the more taste it has.</p><p>Salt slows it down; warmth speeds it up.
+    by the gluten in the dough. <span>The longer it rests</span>, the more taste it has.</p><p>Salt slows it down; warmth speeds it up.
     <a href="/x">Bakers balance both</a>, and fold the dough several times.</p><blockquote>A loaf takes a day, said the old baker, or it is
     not a loaf.</blockquote><pre>flour 500 water 350 salt 10</pre><table><tr><td>rest</td><td>twelve hours or so</td></tr></table></div>
     <div id="comments" class="comments"><h3>Comments</h3><div class="comment"><p>Great read, thank you so much!</p></div>
     <div class="comment"><p>I tried it and my loaf was flat.</p></div></div>
     <form class="search"><label>Search this site</label><input><select><option>All</option></select><button>Go</button></form>
-    <div class="footer bottom">Imprint Privacy Terms of use</div></body>""",
-    """<html><body><div class="header top banner"><p>Welcome to our site, join the newsletter now</p></div>
+    <div class="footer">Imprint Privacy Terms of use</div></body>""",
+    """<html><body><div class="header banner"><p>Welcome to our site, join the newsletter now</p></div>
     <div class="breadcrumb">Home / Science / Birds</div><div class="main post entry" data-main><h1>Why geese fly in lines</h1>
-    <p>Each bird rides the air that the one before has lifted, and so the flock can travel much further than one bird could
+    <p>Each bird rides the air that the one before has lifted, and <span>so the flock</span> can travel much further than one bird could
     alone; they change places when the leader tires.</p><div class="share social" data-not>Share Tweet Mail</div>
     <p><a href="/p">Scientists measured the heart rates</a> of pelicans and found the saving to be large, above all for the birds in the
     middle of the line.</p><h3>What else</h3><p>Drivers and cyclists do the same thing on the road, for the same reason.</p></div>
     <div class="related promo"><p>You may also like these five stories about birds</p></div>
     <div class="widget newsletter subscribe"><p>Sign up to get our letter every Friday</p></div>
-    <div id="sidebar"><ul class="links"><li>Archive</li><li>Authors</li></ul></div>
+    <div id="sidebar"><ul><li>Archive</li><li>Authors</li></ul></div>
     <div class="disclaimer copyright legal">No part may be copied without consent.</div></body></html>""",
     """<html><body><nav class="navbar navigation"><a>One</a><a>Two</a></nav><div class="sponsored ads sponsor">Sponsored: a new car for less
     than you think</div><main class="story body text article" data-main><section><h2>The town and its bridge</h2><p>For a hundred
@@ -64,7 +64,7 @@ LABELLED = (
     <p>Now there are three bridges and no one pays.</p></section></main>
     <section class="discussion respond replies"><p>Leave a reply</p><p>What a lovely town this is</p></section>
     <div class="popup modal alert consent gdpr">Please turn off your blocker to go on</div>
-    <aside><div class="tags meta byline">river town history</div></aside><footer class="site footer"><p>Made with care in the north</p></footer></body></html>""",
+    <aside><div class="tagcloud">river town history</div></aside><footer class="footer"><p>Made with care in the north</p></footer></body></html>""",
 )
 
 BLOCKS = frozenset(
