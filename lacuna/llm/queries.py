@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, html, langid, pii, secrets, simhash, sketch, substrings
+from lacuna.llm import bpe, decontaminate, html, katz, langid, pii, secrets, simhash, sketch, substrings
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +99,13 @@ SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0) AS n
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
 
+@query
+def op8_katz(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return katz.score(docs, held_out).withColumnRenamed("id", "doc_id")
+
+
 @query
 def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
