@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from lacuna.llm.common import map_batches, pick
 
 #: Words remembered between batches of a task; beyond it the memory starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 #: Longer words are not remembered.
 CACHE_LENGTH = 64
 
@@ -215,7 +215,7 @@ class Codec:
 def _each(docs: DataFrame, ranks_path: str, pattern: str, schema: T.StructType, answer) -> DataFrame:
     ranks = read_ranks(ranks_path)
     shared = docs.sparkSession.sparkContext.broadcast((ranks, Merges(ranks)))
-    return map_batches(docs, answer, schema, setup=lambda: Codec(*shared.value, pattern), rows=3000)
+    return map_batches(docs, answer, schema, setup=lambda: Codec(*shared.value, pattern), rows=1000)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
