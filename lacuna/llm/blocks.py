@@ -14,6 +14,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -98,6 +99,25 @@ def bucket_edges(hashes: np.ndarray, buckets: int) -> list[tuple[int, int, int]]
     return list(zip(which[cuts].tolist(), cuts.tolist(), ends, strict=True)) if len(which) else []
 
 
+def pack_planes(x: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of their places: high bytes that are mostly zero shrink to little."""
+    return zstandard.compress(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack_planes(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(flat.reshape(8, -1).T).view(np.uint64).reshape(-1)
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Rising 64-bit numbers as packed differences, some two bytes shorter each."""
+    return pack_planes(np.diff(x, prepend=np.uint64(0)))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack_planes(data), dtype=np.uint64)
+
+
 def note_table(rows: list[dict]) -> pa.Table:
     fields = {"block": pa.int32(), "key": pa.int64(), "h": pa.int64(), "ord": pa.int64(), "flag": pa.bool_(),
               "bucket": pa.int32(), "data": pa.binary(), "more": pa.binary()}
