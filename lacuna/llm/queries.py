@@ -114,9 +114,12 @@ def op9_substrings(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_sketch(spark: SparkSession, folder: str) -> DataFrame:
     found = sketch.versions(table(spark, folder, "documents"))
-    found = found.withColumns({"apart": sketch.difference("own", "changed"), "apart_next": sketch.difference("own", "following")})
+    found = found.withColumns({f"{k}_cells": sketch.cells(k) for k in ("own", "changed", "following")})
+    found = found.withColumns({
+        "apart": sketch.difference("own", "changed", "own_cells", "changed_cells"),
+        "apart_next": sketch.difference("own", "following", "own_cells", "following_cells")})
     return found.select(
         F.col("id").alias("doc_id"), F.col("n").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        sketch.fingerprint("own").alias("fingerprint"), sketch.fingerprint("changed").alias("edited_fingerprint"),
+        sketch.fingerprint("own_cells").alias("fingerprint"), sketch.fingerprint("changed_cells").alias("edited_fingerprint"),
         sketch.likeness("own", "changed", "apart").alias("near_edited"),
         sketch.likeness("own", "following", "apart_next").alias("near_next"))

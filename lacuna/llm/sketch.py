@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lacuna.llm.blocks import keyed
 from lacuna.llm.common import settle
 
 #: Cells of the sketch that is a document's fingerprint, and of those tried when it is too small.
@@ -61,16 +62,20 @@ def _sketch(keys: str, m: str) -> str:
     return _add(f"flatten(transform({keys}, d -> {_three('d', '1', m)}))")
 
 
-def fingerprint(keys: str) -> Column:
-    """The sketch of ``CELLS`` cells as text: number, count, digests and check sums of each cell in use."""
+def cells(keys: str) -> Column:
+    """The sketch of ``CELLS`` cells of a digest set: a document's fingerprint."""
+    return F.expr(_sketch(keys, str(CELLS)))
+
+
+def fingerprint(held: str) -> Column:
+    """A sketch as text: number, count, digests and check sums of each cell in use."""
     cell = "concat_ws('.', x.c, x.n, lower(hex(x.k)), substring(lower(hex(x.v)), -8, 8))"
-    return F.expr(f"array_join(transform({_sketch(keys, str(CELLS))}, x -> {cell}), ',')")
+    return F.expr(f"array_join(transform({held}, x -> {cell}), ',')")
 
 
-def _minus(a: str, b: str, m: str) -> str:
-    """Cells of ``a`` less those of ``b``; cells that hold nothing are left out."""
-    other = f"transform({_sketch(b, m)}, x -> named_struct('c', x.c, 'n', -x.n, 'k', x.k, 'v', x.v))"
-    return _add(f"concat({_sketch(a, m)}, {other})")
+def _minus(a: str, b: str) -> str:
+    """Cells of one sketch less those of another; cells that hold nothing are left out."""
+    return _add(f"concat({a}, transform({b}, x -> named_struct('c', x.c, 'n', -x.n, 'k', x.k, 'v', x.v)))")
 
 
 def _peeled(a: str, b: str, cells: str, m: str) -> str:
@@ -90,18 +95,18 @@ def _peeled(a: str, b: str, cells: str, m: str) -> str:
             f"s -> if({whole}, named_struct('left', s.left, 'right', s.right), null))")
 
 
-def difference(a: str, b: str) -> Column:
+def difference(a: str, b: str, cells_a: str, cells_b: str) -> Column:
     """Digests in only one of two digest sets, as (left, right), by sketches of growing size.
 
-    A fingerprint with hardly an empty cell after subtraction holds too many digests to
-    peel and counts as failed.  The last sketch has eight cells for each digest of both
-    sets; should even that one stick, which no data is known to cause, the sets
-    themselves are compared.
+    The given fingerprints are tried first; with hardly an empty cell after subtraction
+    they hold too many digests to peel and count as failed.  The last sketch has eight
+    cells for each digest of both sets; should even that one stick, which no data is
+    known to cause, the sets themselves are compared.
     """
-    first = (f"transform(array({_minus(a, b, str(CELLS))}), held -> if(size(held) > {CELLS - 4}, null, "
+    first = (f"transform(array({_minus(cells_a, cells_b)}), held -> if(size(held) > {CELLS - 4}, null, "
              f"{_peeled(a, b, 'held', str(CELLS))}))[0]")
     sizes = [*map(str, LARGER), f"(24 * (1 + size({a}) + size({b})) div 3)"]
-    tries = ", ".join([first, *(_peeled(a, b, _minus(a, b, m), m) for m in sizes)])
+    tries = ", ".join([first, *(_peeled(a, b, _minus(_sketch(a, m), _sketch(b, m)), m) for m in sizes)])
     return F.expr(f"coalesce({tries}, named_struct('left', array_except({a}, {b}), 'right', array_except({b}, {a})))")
 
 
@@ -112,21 +117,22 @@ def likeness(a: str, b: str, apart: str) -> Column:
     return F.expr(f"if({both} = 0, 1D, cast({both} - {d} as double) / ({both} + {d}))")
 
 
-def successors(docs: DataFrame) -> DataFrame:
-    """(id, h, n, next_id, next_h): the next row in order of id, then h; after the last the first.
+def successors(rows: DataFrame) -> DataFrame:
+    """(id, key, h, n, next_key, next_h): the next row in order of id, then key; after the last the first.
 
     Ids are dealt into ranges; a range is ordered by itself, and only the first rows of
     the ranges meet in one place.
     """
-    keys = settle(docs.select("id", "h", "n").distinct().repartitionByRange("id", "h")
+    keys = settle(rows.select("id", "key", "h", F.length("text").alias("n")).distinct().repartitionByRange("id", "key")
                   .withColumn("part", F.spark_partition_id()))
-    firsts = keys.groupBy("part").agg(F.min(F.struct("id", "h")).alias("first"))  # one row a partition
+    firsts = keys.groupBy("part").agg(F.min(F.struct("id", "key", "h")).alias("first"))  # one row a partition
     along = Window.orderBy("part")
-    turns = firsts.select("part", F.coalesce(F.lead("first").over(along), F.first("first").over(along)).alias("turn"))
-    inside = F.lead(F.struct("id", "h")).over(Window.partitionBy("part").orderBy("id", "h"))
+    turns = firsts.select("part", F.coalesce(F.lead("first").over(along), F.min_by("first", "part").over(
+        Window.partitionBy())).alias("turn"))
+    inside = F.lead(F.struct("id", "key", "h")).over(Window.partitionBy("part").orderBy("id", "key"))
     return (keys.withColumn("inside", inside).join(F.broadcast(turns), "part")
             .withColumn("next", F.coalesce("inside", "turn"))
-            .select("id", "h", "n", F.col("next.id").alias("next_id"), F.col("next.h").alias("next_h")))
+            .select("id", "key", "h", "n", F.col("next.key").alias("next_key"), F.col("next.h").alias("next_h")))
 
 
 def versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,19 +140,18 @@ def versions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
 
     ``edited`` has the last quarter of the code points replaced by the first as many, or
     all, of the next row's.  A null text is empty.  Rows are in order of id (nulls
-    first), equal ids in order of a hash of the text; equal rows count once in that order and are all
-    answered.  A single row is its own next.
+    first), equal ids in a fixed order; rows equal in id and text count once in that
+    order and are all answered.  A single row is its own next.  The texts are shuffled
+    once, by their own key; a second shuffle moves only the quarters that replace.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumns({"h": F.xxhash64("text"), "n": F.length("text")})
-    order = successors(rows)
-    wanted = order.select(F.col("next_id").alias("r_id"), F.col("next_h").alias("r_h"), F.col("id").alias("for_id"),
-                          F.col("h").alias("for_h"), F.expr("n div 4").cast("int").alias("k"))
-    same = [F.col("id").eqNullSafe(F.col("r_id")), F.col("h") == F.col("r_h")]
-    heads = (rows.join(wanted, same)
-             .select("for_id", "for_h", F.expr("left(text, k)").alias("head"), digests("text").alias("following"))
-             .groupBy("for_id", "for_h").agg(F.first("head").alias("head"), F.first("following").alias("following")))
-    mine = [F.col("id").eqNullSafe(F.col("for_id")), F.col("h") == F.col("for_h")]
-    return (rows.join(heads, mine)
+    rows = keyed(docs, id_col, text_col)
+    texts = rows.select("text", "key", "h")  # the same columns on both sides, so that Spark reuses the exchange
+    wanted = successors(rows).select("id", F.col("key").alias("for_key"), F.col("h").alias("for_h"), F.expr("n div 4").cast("int").alias("k"),
+                                     F.col("next_key").alias("key"), F.col("next_h").alias("h"))
+    heads = (texts.join(wanted, ["key", "h"])
+             .select("id", "for_key", "for_h", F.expr("left(text, k)").alias("head"), digests("text").alias("following"))
+             .groupBy(F.col("for_key").alias("key"), F.col("for_h").alias("h"))
+             .agg(F.first("id").alias("id"), F.first("head").alias("head"), F.first("following").alias("following")))
+    return (texts.join(heads, ["key", "h"]).withColumn("n", F.length("text"))
             .withColumn("edited", F.expr("concat(left(text, cast(n - n div 4 as int)), head)"))
             .select("id", "n", "edited", digests("text").alias("own"), digests("edited").alias("changed"), "following"))
