@@ -39,11 +39,11 @@ STAGE = "CASE event_type WHEN 'signup' THEN 0 WHEN 'click' THEN 1 WHEN 'view' TH
 
 @query(f"SELECT user_id AS volume, arg_max({STAGE}, ts) AS stage, max(ts) AS ts FROM events GROUP BY 1")
 def stream_latest_stage(spark: SparkSession, folder: str) -> DataFrame:
-    """Newest stage per volume, published only when it changes."""
+    """Newest stage per volume and its time, published only when they change."""
     facts = event_stream(spark, folder).select(F.col("user_id").alias("volume"), F.expr(STAGE).alias("stage"), "ts")
     path = work_dir(spark, "stages")
     sinks.run_available(status.latest_stage(facts, ["volume"]), work_dir(spark, "checkpoint"),
-                        sinks.changed_only(path, ["volume"], ["stage"]), "update")
+                        sinks.changed_only(path, ["volume"], ["stage", "ts"]), "update")
     return _local_times(sinks.newest_batch(spark, path, ["volume"]).select("volume", "stage", "ts"))
 
 
@@ -62,8 +62,8 @@ def stream_stalls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""WITH q AS (SELECT user_id AS volume, event_id, ts FROM events WHERE event_type = 'signup'), r AS (SELECT user_id AS volume, ts AS ready_ts FROM events WHERE event_type = 'purchase')
-SELECT q.volume, event_id, ts, ready_ts, CASE WHEN ready_ts IS NULL THEN 'timeout' ELSE 'ready' END AS outcome FROM q LEFT JOIN r ON q.volume = r.volume AND ready_ts BETWEEN ts AND ts + INTERVAL 2 HOUR
-WHERE ready_ts IS NOT NULL OR ts + INTERVAL 2 HOUR < least((SELECT max(ts) FROM q), (SELECT max(ready_ts) FROM r)) - INTERVAL 10 MINUTE""")
+SELECT q.volume, event_id, ts, min(ready_ts) AS ready_ts, CASE WHEN min(ready_ts) IS NULL THEN 'timeout' ELSE 'ready' END AS outcome FROM q LEFT JOIN r ON q.volume = r.volume AND ready_ts BETWEEN ts AND ts + INTERVAL 2 HOUR
+WHERE ts + INTERVAL 2 HOUR < least((SELECT max(ts) FROM q), (SELECT max(ready_ts) FROM r)) - INTERVAL 10 MINUTE GROUP BY 1, 2, 3""")
 def stream_wait(spark: SparkSession, folder: str) -> DataFrame:
     events = event_stream(spark, folder)
     requests = events.where("event_type = 'signup'").select(F.col("user_id").alias("volume"), "event_id", "ts")
@@ -72,8 +72,8 @@ def stream_wait(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""WITH q AS (SELECT user_id AS volume, event_id, ts FROM events WHERE event_type = 'view'), r AS (SELECT user_id AS volume, ts AS file_ts, props AS params FROM events WHERE event_type = 'click')
-SELECT q.volume, event_id, ts, file_ts, params, params IS NOT NULL AS header_complete FROM q LEFT JOIN r ON q.volume = r.volume AND file_ts BETWEEN ts AND ts + INTERVAL 1 HOUR
-WHERE file_ts IS NOT NULL OR ts + INTERVAL 1 HOUR < least((SELECT max(ts) FROM q), (SELECT max(file_ts) FROM r)) - INTERVAL 10 MINUTE""")
+SELECT q.volume, event_id, ts, min(file_ts) AS file_ts, arg_min(params, file_ts) AS params, min(file_ts) IS NOT NULL AS header_complete FROM q LEFT JOIN r ON q.volume = r.volume AND file_ts BETWEEN ts AND ts + INTERVAL 1 HOUR
+WHERE ts + INTERVAL 1 HOUR < least((SELECT max(ts) FROM q), (SELECT max(file_ts) FROM r)) - INTERVAL 10 MINUTE GROUP BY 1, 2, 3""")
 def stream_late_parameters(spark: SparkSession, folder: str) -> DataFrame:
     images = event_stream(spark, folder).where("event_type = 'view'").select(F.col("user_id").alias("volume"), "event_id", "ts")
     files = event_stream(spark, folder).where("event_type = 'click'").select(F.col("user_id").alias("volume"), "ts", F.col("props").alias("params"))
@@ -82,13 +82,12 @@ def stream_late_parameters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""SELECT user_id % 50 AS volume, event_type, count(*) AS steps, max(event_id) AS last_event FROM events GROUP BY 1, 2""")
 def stream_volumes(spark: SparkSession, folder: str) -> DataFrame:
-    """A batch job on every newly arrived volume, each volume written once."""
+    """Steps and newest event of every volume as its events arrive."""
     path = work_dir(spark, "volumes")
     stream = event_stream(spark, folder).select((F.col("user_id") % 50).alias("volume"), "event_type", "event_id")
-    job = lambda rows: rows.groupBy("volume", "event_type").agg(
-        F.count(F.lit(1)).alias("steps"), F.max("event_id").alias("last_event"))
-    sinks.run_available(stream, work_dir(spark, "checkpoint"), sinks.once_per_key(path, ["volume"], job))
-    return spark.read.option("basePath", path).parquet(path).drop("batch_id")
+    steps = stream.groupBy("volume", "event_type").agg(F.count(F.lit(1)).alias("steps"), F.max("event_id").alias("last_event"))
+    sinks.run_available(steps, work_dir(spark, "checkpoint"), sinks.grown(path), "update")
+    return sinks.newest_batch(spark, path, ["volume", "event_type"])
 
 
 @query("""WITH w AS (SELECT o_custkey % 25 AS source, o_custkey AS run, o_orderkey AS volume FROM orders WHERE o_orderstatus = 'P'), a AS (SELECT o_custkey % 25 AS source, max(o_custkey) AS newest_run FROM orders WHERE o_totalprice > 200000 GROUP BY 1)

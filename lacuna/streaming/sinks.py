@@ -19,13 +19,37 @@ def _other_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame |
 
 
 def once_per_key(path: str, keys: Sequence[str], job: Callable[[DataFrame], DataFrame] | None = None):
-    """Run ``job`` on the keys no other batch has finished and replace this batch's folder."""
+    """Run ``job`` on the keys no other batch has finished and replace this batch's folder.
+
+    For keys whose rows arrive together, such as the traces of a whole block.  Rows of a
+    key that an earlier batch finished are not dropped: they go to ``<path>.late``.  Each
+    trigger reads the narrow list of finished keys (``<path>.keys``), never the results.
+    For keys that grow over several batches use an aggregation (``grown``) instead.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
+        try:
+            done = _other_batches(batch.sparkSession, f"{path}.keys", batch_id)
+            fresh = rows
+            if done is not None:
+                known = done.select(*keys).distinct()
+                fresh = rows.join(known, list(keys), "left_anti")
+                late = rows.join(known, list(keys), "left_semi")
+                late.write.mode("overwrite").parquet(f"{path}.late/batch_id={batch_id}")
+            (job(fresh) if job else fresh).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            fresh.select(*keys).distinct().write.mode("overwrite").parquet(f"{path}.keys/batch_id={batch_id}")
+        finally:
+            rows.unpersist()
+
+    return write
+
+
+def grown(path: str):
+    """Write what an update-mode aggregation gives; ``newest_batch`` reads the current row of every key."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        done = _other_batches(batch.sparkSession, path, batch_id)
-        fresh = batch if done is None else batch.join(done.select(*keys).distinct(), list(keys), "left_anti")
-        out = job(fresh) if job else fresh
-        out.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return write
 

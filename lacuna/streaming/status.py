@@ -12,31 +12,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def wait_for(requests: DataFrame, ready: DataFrame, on: Sequence[str], limit: str, delay: str = "10 minutes") -> DataFrame:
-    """Requests answered by a ready event within the limit, else ``timeout``.
-
-    Both inputs carry ``ts``.  A left outer stream-stream join: the unmatched row
-    comes out once the watermark passes the end of its wait.
-    """
-    right = ready.select(*[F.col(k).alias(f"_{k}") for k in on], F.col("ts").alias("ready_ts")).withWatermark("ready_ts", delay)
-    left = requests.withWatermark("ts", delay)
+def _within(left: DataFrame, right: DataFrame, on: Sequence[str], limit: str, delay: str, time: str) -> DataFrame:
+    """Left rows beside the right rows within ``limit`` after them; each left row at least once."""
+    named = right.select(*[F.col(k).alias(f"_{k}") for k in on], F.col("ts").alias(time),
+                         *[c for c in right.columns if c not in (*on, "ts")]).withWatermark(time, delay)
     match = F.lit(True)
     for k in on:
         match = match & (F.col(k) == F.col(f"_{k}"))
-    span = (F.col("ready_ts") >= F.col("ts")) & (F.col("ready_ts") <= F.col("ts") + F.expr(f"INTERVAL {limit}"))
-    joined = left.join(right, match & span, "left_outer").drop(*[f"_{k}" for k in on])
-    return joined.withColumn("outcome", F.when(F.col("ready_ts").isNull(), "timeout").otherwise("ready"))
+    span = (F.col(time) >= F.col("ts")) & (F.col(time) <= F.col("ts") + F.expr(f"INTERVAL {limit}"))
+    return left.withWatermark("ts", delay).join(named, match & span, "left_outer").drop(*[f"_{k}" for k in on])
+
+
+def wait_for(requests: DataFrame, ready: DataFrame, on: Sequence[str], limit: str, delay: str = "10 minutes") -> DataFrame:
+    """Every request once: answered by the earliest ready event within the limit, else ``timeout``.
+
+    Both inputs carry ``ts``.  A left outer stream-stream join and a minimum over each
+    request; the answer comes out once the watermark passes the end of the wait, so it
+    does not depend on how the input is cut into batches.  Equal requests count once.
+    """
+    joined = _within(requests, ready.select(*on, "ts"), on, limit, delay, "ready_ts")
+    answered = joined.groupBy(*requests.columns).agg(F.min("ready_ts").alias("ready_ts"))
+    return answered.withColumn("outcome", F.when(F.col("ready_ts").isNull(), "timeout").otherwise("ready"))
 
 
 def late_parameters(images: DataFrame, files: DataFrame, on: Sequence[str], limit: str, delay: str = "10 minutes") -> DataFrame:
-    """Image rows with their parameter file if it comes in time; NULL parameters otherwise."""
-    right = files.select(*[F.col(k).alias(f"_{k}") for k in on], F.col("ts").alias("file_ts"), "params").withWatermark("file_ts", delay)
-    match = F.lit(True)
-    for k in on:
-        match = match & (F.col(k) == F.col(f"_{k}"))
-    span = (F.col("file_ts") >= F.col("ts")) & (F.col("file_ts") <= F.col("ts") + F.expr(f"INTERVAL {limit}"))
-    joined = images.withWatermark("ts", delay).join(right, match & span, "left_outer")
-    return joined.drop(*[f"_{k}" for k in on]).withColumn("header_complete", F.col("params").isNotNull())
+    """Every image once with its earliest parameter file if one comes in time; NULL parameters otherwise."""
+    joined = _within(images, files.select(*on, "ts", "params"), on, limit, delay, "file_ts")
+    first = F.min(F.when(F.col("file_ts").isNotNull(), F.struct("file_ts", "params"))).alias("_f")
+    return joined.groupBy(*images.columns).agg(first).select(
+        *images.columns, F.col("_f.file_ts").alias("file_ts"), F.col("_f.params").alias("params")).withColumn(
+        "header_complete", F.col("params").isNotNull())
 
 
 def release_superseded(waiters: DataFrame, acquisitions: DataFrame, source: str = "source", run: str = "run") -> DataFrame:
