@@ -20,9 +20,15 @@ LOG_TIME = "yyyy-MM-dd_HH:mm:ss"
 PROGRESS_LINE = r"(?i)((?:[0-9]+[.][0-9]+%|stage|total).*$)"
 
 
+def padded(number: Column, width: int) -> Column:
+    """Digits with leading zeros up to ``width``; a longer number is never cut."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def volume_id(run: Column, number: Column, width: int = 3) -> Column:
-    """``<run>_m<000>`` from a 0-based volume number."""
-    return F.concat(run, F.lit("_m"), F.lpad(number.cast("string"), width, "0"))
+    """``<run>_m<000>`` from a 0-based volume number; numbers over the width keep all digits."""
+    return F.concat(run, F.lit("_m"), padded(number, width))
 
 
 def volume_number(volume: Column, one_based: bool = True) -> Column:

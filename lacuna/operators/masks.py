@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,10 +116,11 @@ def weight_by_density(samples: DataFrame, density: DataFrame, values: Sequence[s
 
 
 def radial_profile(y: Column, z: Column, ny: Column, nz: Column, pa: Column, pb: Column) -> Column:
-    """exp(-(pb r / n)^pa), averaged over both sides in the exponent."""
-    r = F.hypot(y - ny / 2, z - nz / 2)
-    decay = lambda n: F.pow(pb * r / n, pa)
-    return F.exp(-(decay(ny) + decay(nz)) / 2)
+    """exp(-(pb r / n)^pa), averaged over both sides in the exponent; 1 at the cell nearest the middle."""
+    decay = lambda r, n: F.pow(pb * r / n, pa)
+    fall = lambda r: (decay(r, ny) + decay(r, nz)) / 2
+    off = lambda n: F.pmod(n, F.lit(2)) / 2  # of an odd grid no cell is in the middle
+    return F.exp(fall(F.hypot(off(ny), off(nz))) - fall(F.hypot(y - ny / 2, z - nz / 2)))
 
 
 def polynomial_profile(r: Column, power: Column, full_radius: float = 0.0) -> Column:
@@ -160,41 +162,61 @@ def grid(masks: DataFrame, ny: Column, nz: Column) -> DataFrame:
 # ---------------------------------------------------------------- random masks
 
 
-def keyed_uniform(*parts: Column) -> Column:
-    """Uniform [0, 1) from the key values: the same on every retry and partitioning."""
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """A 32-bit finaliser: uniform numbers from counters."""
+    for _ in range(2):
+        x = ((x ^ (x >> np.uint64(16))) * np.uint64(0x45D9F3B)) & np.uint64(0xFFFFFFFF)
+    return x ^ (x >> np.uint64(16))
+
+
+def drawn(start: int, redraw: int, p: np.ndarray) -> np.ndarray:
+    """Cells hit in one draw: the same on every retry and partitioning."""
+    cell = np.arange(len(p), dtype=np.uint64) * np.uint64(2246822519) + np.uint64((start + redraw * 2654435769) & 0xFFFFFFFF)
+    return scrambled(cell & np.uint64(0xFFFFFFFF)) / 4294967296.0 < p
+
+
+#: Draws for one mask before its tolerance is called out of reach.
+MAX_REDRAWS = 100_000
 
 
 def draw_masks(density: DataFrame, keys: Sequence[str], ny: int, nz: int, tries: int, seed: int = 0,
                tolerance: float = 1.0) -> DataFrame:
-    """Several density-weighted draws per mask with their peak side lobe.
+    """Density-weighted draws per mask with their peak side lobe: one row per (key, try).
 
-    One row per (key, try): the mask text, the count, whether the count is within
-    tolerance, and the largest off-centre value of the inverse FFT of mask/p.
+    Each try is redrawn until its count is within ``tolerance`` of the sum of the
+    density, so every mask comes back; a sum that no count can reach fails the job.  The
+    row has the mask text, the count, the redraw, and the largest off-centre value of
+    the inverse FFT of mask/p.
     """
-    drawn = density.withColumn("try", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
-    hit = keyed_uniform(F.lit(seed), *[F.col(k) for k in keys], F.col("try"), F.col("pos")) < F.col("p")
-    drawn = drawn.withColumn("hit", hit.cast("int"))
-    cells = F.array_sort(F.collect_list(F.struct("pos", "hit", "p")))
-    tested = drawn.groupBy(*keys, "try").agg(
-        cells.alias("cells"), F.sum("hit").alias("count"),
-        (F.abs(F.sum("hit") - F.sum("p")) <= tolerance).alias("within"))
-    rows = tested.withColumns({
-        "mask": F.array_join(F.transform("cells", lambda c: c.hit.cast("string")), ""),
-        "w": F.transform("cells", lambda c: c.hit / c.p)})
-
-    def side_lobe(block):
-        image = abs(kernels.np.fft.ifft2(planes(block["w"], ny, nz))).reshape(len(block["w"]), -1)
-        return {"side_lobe": image[:, 1:].max(axis=1)}
-
-    return map_arrays(rows, side_lobe, ("w",), "side_lobe double", (*keys, "try", "mask", "count", "within"))
+    cells = F.transform(F.array_sort(F.collect_list(F.struct("pos", "p"))), lambda c: c.p)
+    rows = density.groupBy(*keys).agg(cells.alias("p")).withColumn("try", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
+    name = F.md5(F.concat_ws("|", F.lit(seed), *[F.col(k).cast("string") for k in keys], F.col("try").cast("string")))
+    rows = rows.withColumn("start", F.conv(F.substring(name, 1, 8), 16, 10).cast("bigint"))
+
+    def draw(block):
+        out = {"mask": [], "count": [], "redraw": [], "side_lobe": []}
+        for start, p in zip(block["start"].tolist(), block["p"], strict=True):
+            want = round(float(np.sum(p)), 6)
+            for redraw in range(MAX_REDRAWS):
+                hit = drawn(start, redraw, p)
+                if abs(int(hit.sum()) - want) <= tolerance:
+                    break
+            else:
+                raise ValueError(f"no count within {tolerance} of {want} in {MAX_REDRAWS} draws")
+            image = abs(np.fft.ifft2(planes((hit / p)[None], ny, nz))).ravel()
+            out["mask"].append("".join("01"[int(h)] for h in hit))
+            out["count"].append(int(hit.sum()))
+            out["redraw"].append(redraw)
+            out["side_lobe"].append(float(image[1:].max()))
+        return {k: np.array(v) for k, v in out.items()}
+
+    return map_arrays(rows, draw, ("p", "start"), "mask string, count bigint, redraw int, side_lobe double", (*keys, "try"))
 
 
 def best_mask(draws: DataFrame, keys: Sequence[str], digits: int = 9) -> DataFrame:
-    """The draw within tolerance that has the least peak side lobe (first on ties)."""
+    """The draw that has the least peak side lobe (first on ties)."""
     best = F.min(F.struct(F.round("side_lobe", digits).alias("side_lobe"), "try", "mask", "count"))
-    return draws.where("within").groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
+    return draws.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
 # ---------------------------------------------------------------- windows

@@ -144,16 +144,21 @@ def scaled(value: Column, factor: Column, clip: bool = True) -> Column:
     return (F.least(out, F.lit(OUTPUT_MAX)) if clip else out).cast("int")
 
 
-def histogram_mode(df: DataFrame, keys: Sequence[str], value: str, width: float, bins: int) -> DataFrame:
-    """Middle of the fullest bin of fixed edges; zero, NaN and infinite values are left out."""
+def histogram_mode(df: DataFrame, keys: Sequence[str], value: str, first: float, width: float, edges: int) -> DataFrame:
+    """Lower edge of the fullest bin between ``edges`` equal steps from ``first``.
+
+    A bin holds its lower edge; the last edge is a bin of its own.  Zero, NaN and
+    infinite values and those outside the edges are not counted; ties go to the lower bin.
+    """
     v = F.col(value).cast("double")
-    usable = df.where(~F.isnan(v) & (F.abs(v) != float("inf")) & (v != 0) & (v >= 0) & (v <= width * bins))
-    counted = usable.groupBy(*keys, F.least(F.floor(v / width), F.lit(bins - 1)).alias("bin")).agg(
+    last = first + width * (edges - 1)
+    usable = df.where(~F.isnan(v) & (F.abs(v) != float("inf")) & (v != 0) & (v >= first) & (v <= last))
+    counted = usable.groupBy(*keys, F.least(F.floor((v - first) / width), F.lit(edges - 1)).alias("bin")).agg(
         F.count(F.lit(1)).alias("voxels"))
     best = F.max(F.struct(F.col("voxels"), (-F.col("bin")).alias("b")))
     return counted.groupBy(*keys).agg(best.alias("_m")).select(
         *keys, (-F.col("_m.b")).alias("mode_bin"), F.col("_m.voxels").alias("voxels"),
-        ((-F.col("_m.b") + 0.5) * width).alias("mode_value"))
+        (-F.col("_m.b") * width + first).alias("mode_value"))
 
 
 def keep_largest(df: DataFrame, keys: Sequence[str], value: str, fraction: float) -> DataFrame:

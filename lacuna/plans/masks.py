@@ -191,8 +191,13 @@ TRIES = 6
 
 
 @query(f"""WITH d AS (SELECT mask_id, y, z, pos, p, t FROM {CALIBRATED_SQL}, (SELECT CAST(unnest(range({TRIES})) AS INTEGER) AS t) WHERE c IS NOT NULL),
-  h AS (SELECT *, CAST(CAST(('0x' || substr(md5(concat_ws('|', 7, mask_id, t, pos)), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496 < p AS hit FROM d),
-  c AS (SELECT mask_id, t, CAST(sum(CAST(hit AS INTEGER)) AS BIGINT) AS count, string_agg(CASE WHEN hit THEN '1' ELSE '0' END, '' ORDER BY pos) AS mask FROM h GROUP BY 1, 2 HAVING abs(sum(CAST(hit AS INTEGER)) - sum(p)) <= 5),
+  x AS (SELECT *, (CAST(('0x' || substr(md5(concat_ws('|', 7, mask_id, t)), 1, 8)) AS BIGINT) + r * 2654435769 + pos * 2246822519) & 4294967295 AS x FROM d, (SELECT unnest(range(200)) AS r)),
+  x1 AS (SELECT mask_id, t, r, y, z, pos, p, (xor(x, x >> 16) * 73244475) & 4294967295 AS x FROM x),
+  x2 AS (SELECT mask_id, t, r, y, z, pos, p, (xor(x, x >> 16) * 73244475) & 4294967295 AS x FROM x1),
+  all_h AS (SELECT mask_id, t, r, y, z, pos, p, xor(x, x >> 16) / 4294967296.0::DOUBLE < p AS hit FROM x2),
+  near AS (SELECT mask_id, t, r FROM all_h GROUP BY 1, 2, 3 HAVING abs(sum(CAST(hit AS INTEGER)) - round(sum(p), 6)) <= 1),
+  h AS (SELECT a.* FROM all_h a JOIN (SELECT mask_id, t, min(r) AS r FROM near GROUP BY 1, 2) n ON a.mask_id = n.mask_id AND a.t = n.t AND a.r = n.r),
+  c AS (SELECT mask_id, t, CAST(sum(CAST(hit AS INTEGER)) AS BIGINT) AS count, string_agg(CASE WHEN hit THEN '1' ELSE '0' END, '' ORDER BY pos) AS mask FROM h GROUP BY 1, 2),
   w AS (SELECT h.mask_id, h.t, y, z, 1 / p AS w FROM h JOIN c ON h.mask_id = c.mask_id AND h.t = c.t WHERE hit),
   u AS (SELECT mask_id, t, z, ky, sum(w * cos(2 * pi() * ky * y / 12)) AS a, sum(w * sin(2 * pi() * ky * y / 12)) AS b FROM w, (SELECT unnest(range(12)) AS ky) GROUP BY 1, 2, 3, 4),
   v AS (SELECT mask_id, t, ky, kz, sum(a * cos(2 * pi() * kz * z / 16) - b * sin(2 * pi() * kz * z / 16)) AS a,
@@ -202,7 +207,7 @@ TRIES = 6
 SELECT mask_id, side_lobe, try, mask, count FROM r WHERE r = 1""")
 def mask_draw(spark: SparkSession, folder: str) -> DataFrame:
     density = mask_density(spark, folder).where(F.col("c").isNotNull()).select("mask_id", "pos", "p")
-    draws = mk.draw_masks(density, ["mask_id"], 12, 16, TRIES, seed=7, tolerance=5.0)
+    draws = mk.draw_masks(density, ["mask_id"], 12, 16, TRIES, seed=7, tolerance=1.0)
     return mk.best_mask(draws, ["mask_id"])
 
 

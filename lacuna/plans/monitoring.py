@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lacuna.functions import text
 from lacuna.operators import monitoring as mo
 from lacuna.plans.registry import query, table
 
@@ -99,12 +100,12 @@ def estimate_grid(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""WITH f AS (SELECT user_id AS slice, event_id AS line_no, row_number() OVER w - 1 AS k, value, value / first_value(value) OVER w AS f
-    FROM events WHERE value > 0 WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
   m AS (SELECT slice, line_no, k, value, CASE WHEN k >= 9 THEN avg(f) OVER (PARTITION BY slice ORDER BY k ROWS 9 PRECEDING) END AS m FROM f),
   d AS (SELECT *, lag(m) OVER w AS m1, lag(m, 2) OVER w AS m2 FROM m WINDOW w AS (PARTITION BY slice ORDER BY k))
 SELECT slice, line_no, k, value, round(m, 6) AS mean_window, round(m - m1, 6) + 0.0 AS delta, round(m - 2 * m1 + m2, 6) + 0.0 AS metric FROM d""")
 def convergence_metric(spark: SparkSession, folder: str) -> DataFrame:
-    objective = table(spark, folder, "events").where("value > 0").select(
+    objective = table(spark, folder, "events").select(
         F.col("user_id").alias("slice"), F.col("event_id").alias("line_no"), "value")
     out = mo.convergence(objective, ["slice"], "line_no", "value")
     return out.select("slice", "line_no", "k", "value", F.round("mean_window", 6).alias("mean_window"),
@@ -266,14 +267,12 @@ def export_gate(spark: SparkSession, folder: str) -> DataFrame:
     return mo.export_gate(orders).select("volume", "image_count", "expected", "gate")
 
 
-@query("""WITH v AS (SELECT o_custkey, concat('S', lpad(CAST(o_custkey AS VARCHAR), 6, '0'), '_m', lpad(CAST(o_orderkey AS VARCHAR), 8, '0')) AS name FROM orders),
+@query("""WITH v AS (SELECT o_custkey, concat('S', lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(6, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0'), '_m', lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0')) AS name FROM orders),
   e AS (SELECT o_custkey AS run, min(name) AS a, max(name) AS b, count(*) AS members FROM v GROUP BY 1),
-  p AS (SELECT run, members, a, coalesce(min(i) FILTER (WHERE substr(a, i, 1) <> substr(b, i, 1)) - 1, length(any_value(a))) AS n FROM (SELECT *, unnest(range(1, 18)) AS i FROM e) GROUP BY 1, 2, 3)
+  p AS (SELECT run, members, a, coalesce(min(i) FILTER (WHERE substr(a, i, 1) <> substr(b, i, 1)) - 1, length(any_value(a))) AS n FROM (SELECT *, unnest(range(1, greatest(length(a), length(b)) + 1)) AS i FROM e) GROUP BY 1, 2, 3)
 SELECT run, members, substr(a, 1, n) AS prefix FROM p""")
 def name_prefixes(spark: SparkSession, folder: str) -> DataFrame:
-    from lacuna.functions import text
-
-    name = text.volume_id(F.concat(F.lit("S"), F.lpad(F.col("run").cast("string"), 6, "0")), F.col("volume"), 8)
+    name = text.volume_id(F.concat(F.lit("S"), text.padded(F.col("run"), 6)), F.col("volume"), 8)
     return mo.common_prefix(volumes_of(spark, folder).withColumn("name", name), ["run"], "name")
 
 
@@ -299,8 +298,8 @@ def log_fan_out(spark: SparkSession, folder: str) -> DataFrame:
 
 # ---------------------------------------------------------------- queue
 
-JOB_SQL = """(SELECT event_id AS job_id, CASE WHEN user_id % 3 = 0 THEN 'high' ELSE 'slow' END AS partition, concat('S', lpad(CAST(user_id AS VARCHAR), 5, '0'), '_m', event_id % 8) AS name,
-  concat('user', user_id % 7) AS user, CASE event_type WHEN 'view' THEN 'RUNNING' WHEN 'error' THEN 'FAILED' ELSE 'PENDING' END AS state, concat('S', lpad(CAST(user_id AS VARCHAR), 5, '0')) AS run FROM events)"""
+JOB_SQL = """(SELECT event_id AS job_id, CASE WHEN user_id % 3 = 0 THEN 'high' ELSE 'slow' END AS partition, concat('S', lpad(CAST(user_id AS VARCHAR), CAST(greatest(5, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0'), '_m', event_id % 8) AS name,
+  concat('user', user_id % 7) AS user, CASE event_type WHEN 'view' THEN 'RUNNING' WHEN 'error' THEN 'FAILED' ELSE 'PENDING' END AS state, concat('S', lpad(CAST(user_id AS VARCHAR), CAST(greatest(5, length(CAST(user_id AS VARCHAR))) AS INTEGER), '0')) AS run FROM events)"""
 
 
 def queue_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -308,7 +307,7 @@ def queue_lines(spark: SparkSession, folder: str) -> DataFrame:
     state = F.when(F.col("event_type") == "view", "RUNNING").when(F.col("event_type") == "error", "FAILED").otherwise("PENDING")
     return table(spark, folder, "events").select(F.concat_ws(
         "  ", F.concat(F.lit(" "), F.col("event_id")), F.when(u % 3 == 0, "high").otherwise("slow"),
-        F.concat(F.lit("S"), F.lpad(u.cast("string"), 5, "0"), F.lit("_m"), F.col("event_id") % 8),
+        F.concat(F.lit("S"), text.padded(u, 5), F.lit("_m"), F.col("event_id") % 8),
         F.concat(F.lit("user"), u % 7), state).alias("line"))
 
 

@@ -179,12 +179,12 @@ def scaled_output(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("parts"), F.sum("value").alias("value"), F.max("value").alias("peak"))
 
 
-@query(f"""WITH b AS (SELECT volume, least(floor(magnitude / 500.0::DOUBLE), 199) AS bin, count(*) AS n FROM {ad.SAMPLE_SQL}
-   WHERE magnitude <> 0 AND magnitude <= 100000 GROUP BY 1, 2),
+@query(f"""WITH b AS (SELECT volume, least(floor((magnitude - 500) / 500.0::DOUBLE), 999) AS bin, count(*) AS n FROM {ad.SAMPLE_SQL}
+   WHERE magnitude BETWEEN 500 AND 500000 GROUP BY 1, 2),
   m AS (SELECT volume, bin, n, row_number() OVER (PARTITION BY volume ORDER BY n DESC, bin) AS r FROM b)
-SELECT volume, CAST(bin AS BIGINT) AS mode_bin, n AS voxels, (bin + 0.5::DOUBLE) * 500.0::DOUBLE AS mode_value FROM m WHERE r = 1""")
+SELECT volume, CAST(bin AS BIGINT) AS mode_bin, n AS voxels, bin * 500.0::DOUBLE + 500.0::DOUBLE AS mode_value FROM m WHERE r = 1""")
 def histogram_mode(spark: SparkSession, folder: str) -> DataFrame:
-    return sc.histogram_mode(ad.samples(spark, folder), ["volume"], "magnitude", 500.0, 200)
+    return sc.histogram_mode(ad.samples(spark, folder), ["volume"], "magnitude", 500.0, 500.0, 1000)
 
 
 @query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY volume ORDER BY magnitude DESC) AS r, count(*) OVER (PARTITION BY volume) AS n FROM {CENTS_SQL}),

@@ -11,12 +11,15 @@ from lacuna.plans.registry import query, table
 from lacuna.sources import params as pr
 
 
-@query("""SELECT o_orderkey, concat('S', lpad(CAST(o_custkey AS VARCHAR), 5, '0'), '_m', lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0')) AS volume_id,
-  o_orderkey % 1000 + 1 AS volume_number, regexp_matches(concat(CASE WHEN o_orderkey % 3 = 0 THEN 's' ELSE 'S' END, lpad(CAST(o_custkey AS VARCHAR), CASE WHEN o_orderkey % 5 = 0 THEN 4 ELSE 5 END, '0')), '^[A-Z][0-9]{5,6}') AS valid FROM orders""")
+PAD = "lpad(CAST({0} AS VARCHAR), CAST(greatest({1}, length(CAST({0} AS VARCHAR))) AS INTEGER), '0')"
+
+
+@query(f"""SELECT o_orderkey, concat('S', {PAD.format("o_custkey", 5)}, '_m', {PAD.format("o_orderkey", 3)}) AS volume_id,
+  o_orderkey + 1 AS volume_number, regexp_matches(concat(CASE WHEN o_orderkey % 3 = 0 THEN 's' ELSE 'S' END, {PAD.format("o_custkey", "CASE WHEN o_orderkey % 5 = 0 THEN 4 ELSE 5 END")}), '^[A-Z][0-9]{{5,6}}') AS valid FROM orders""")
 def volume_ids(spark: SparkSession, folder: str) -> DataFrame:
-    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
-    vid = text.volume_id(F.concat(F.lit("S"), F.lpad(c, 5, "0")), k % 1000)
-    run = F.concat(F.when(k % 3 == 0, "s").otherwise("S"), F.when(k % 5 == 0, F.lpad(c, 4, "0")).otherwise(F.lpad(c, 5, "0")))
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    vid = text.volume_id(F.concat(F.lit("S"), text.padded(c, 5)), k)
+    run = F.concat(F.when(k % 3 == 0, "s").otherwise("S"), F.when(k % 5 == 0, text.padded(c, 4)).otherwise(text.padded(c, 5)))
     return table(spark, folder, "orders").select(
         "o_orderkey", vid.alias("volume_id"), text.volume_number(vid).alias("volume_number"), text.is_run_id(run).alias("valid"))
 
@@ -28,11 +31,11 @@ def range_expand(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select("o_orderkey", F.explode(text.expand_ranges(spec)).alias("slice"))
 
 
-@query("""WITH s AS (SELECT DISTINCT l_suppkey % 100 AS owner, l_partkey % 400 AS n FROM lineitem WHERE l_quantity > 40),
+@query("""WITH s AS (SELECT DISTINCT l_suppkey % 100 AS owner, l_partkey % 400 AS n FROM lineitem),
   g AS (SELECT *, n - row_number() OVER (PARTITION BY owner ORDER BY n) AS island FROM s), i AS (SELECT owner, island, min(n) AS a, max(n) AS b FROM g GROUP BY 1, 2)
 SELECT owner, string_agg(CASE WHEN a = b THEN CAST(a AS VARCHAR) ELSE concat(a, '_to_', b) END, '_' ORDER BY a) AS range_text FROM i GROUP BY owner""")
 def range_compact(spark: SparkSession, folder: str) -> DataFrame:
-    numbers = table(spark, folder, "lineitem").where("l_quantity > 40").select(
+    numbers = table(spark, folder, "lineitem").select(
         (F.col("l_suppkey") % 100).alias("owner"), (F.col("l_partkey") % 400).alias("n"))
     return numbers.groupBy("owner").agg(text.compact_ranges(F.array_sort(F.collect_set("n"))).alias("range_text"))
 

@@ -168,6 +168,23 @@ def test_drawn_masks_are_repeatable_and_choose_the_least_side_lobe(spark):
     assert best["side_lobe"] == pytest.approx(min(r["side_lobe"] for r in draws.collect()))
 
 
+def test_every_mask_comes_back_within_tolerance(spark):
+    n = 128
+    y, z = np.mgrid[-n // 2:n // 2, -n // 2:n // 2] / n
+    p = np.clip(np.exp(-(5 * np.hypot(y, z)) ** 2) + 0.1, 0, 1).T.ravel()
+    cells = spark.range(n * n).select(F.col("id").cast("int").alias("pos"), F.element_at(F.lit(p.tolist()), F.col("id").cast("int") + 1).alias("p"))
+    density = cells.crossJoin(spark.range(20).select(F.col("id").alias("m")))
+    rows = mk.draw_masks(density, ["m"], n, n, 2, seed=1).collect()
+    assert len(rows) == 40 and all(abs(r["count"] - p.sum()) <= 1.001 for r in rows)
+
+
+def test_profile_of_an_odd_grid_reaches_one(spark):
+    for ny, nz in ((7, 9), (8, 9), (8, 10)):
+        cells = mk.grid(spark.range(1), F.lit(ny), F.lit(nz))
+        f = mk.radial_profile(F.col("y"), F.col("z"), F.lit(ny), F.lit(nz), F.lit(1.8), F.lit(5.4))
+        assert cells.agg(F.max(f)).first()[0] == pytest.approx(1.0)
+
+
 def test_closing_in_three_dimensions(spark):
     size, r = (9, 8, 7), 2
     inside = rng.random(size) < 0.25

@@ -94,3 +94,30 @@ def test_complex_round_trip_and_text_outputs(spark, tmp_path):
     out.append_log(logs, str(tmp_path / "l"))
     out.append_log(logs, str(tmp_path / "l"))
     assert spark.read.json(str(tmp_path / "l")).count() == 4
+
+
+@pytest.mark.parametrize("name", ["stream_volumes", "stream_latest_stage", "stream_wait", "stream_late_parameters", "stream_stalls"])
+def test_any_cut_into_files_gives_the_same_rows(spark, tmp_path, monkeypatch, name):
+    """The same events in 1, 2 and 7 files, one a trigger."""
+    from lacuna.plans import catalog, streams
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").orderBy("ts").toPandas()
+    schema = spark.read.parquet("/root/testdata/sf0.001/events.parquet").schema
+
+    def stream_of(folder):
+        def made(session, _):
+            rows = session.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events*.parquet")
+            return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+        return made
+
+    answers = []
+    for parts in (1, 2, 7):
+        folder = tmp_path / f"cut{parts}"
+        size = -(-len(events) // parts)
+        for i in range(parts):
+            rows = events.iloc[i * size:(i + 1) * size]
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/events{i}.parquet")
+        monkeypatch.setattr(streams, "event_stream", stream_of(folder))
+        df = catalog.QUERIES[name](spark, str(folder))
+        answers.append(sorted(map(str, df.select(sorted(df.columns)).collect())))
+    assert answers[0] == answers[1] == answers[2] and answers[0]

@@ -76,3 +76,9 @@ def test_parameter_files(spark):
     assert not rows["bad"]["complete"] and not rows["cut"]["complete"]
     out = pr.derive(pr.parse_params(spark.createDataFrame([("r", body)], "run string, text string"))).first()
     assert (out["numshots"], out["accfactor"], out["navechoes"]) == (8.0, 2.0, 4.0)
+
+
+def test_numbers_over_the_width_keep_their_digits(spark):
+    df = spark.createDataFrame([(7,), (999,), (1000,), (123456,)], "n long")
+    got = [r[0] for r in df.select(text.volume_id(F.lit("S1"), F.col("n"))).collect()]
+    assert got == ["S1_m007", "S1_m999", "S1_m1000", "S1_m123456"]
