@@ -8,9 +8,8 @@ of bounded size, run over the texts one after the other; the hits are united.
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -177,8 +176,8 @@ def automata(bench: DataFrame, item_col: str, text_col: str, window: int, block:
 
 def overlaps(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
-             block_words: int = BLOCK_WORDS, with_row: bool = False) -> DataFrame:
-    """(id, n_words, spans, items) for every row of ``docs``; ``with_row`` adds the whole row as ``row``.
+             block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(id, n_words, spans, items) for every row of ``docs``.
 
     ``spans`` are the word ranges [start, end) inside an occurrence of a window, in
     order and apart; ``items`` are the ids, as strings, of the items with an occurring
@@ -186,31 +185,54 @@ def overlaps(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_
     match nothing; items with the same text are all named.  An empty benchmark hits
     nothing.  Repeated rows are answered each for itself.
     """
-    spark = docs.sparkSession
-    held = pick(docs, id_col, text_col) if not with_row else docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct("*").alias("row"))
-    schema = T.StructType([
-        *held.schema, T.StructField("n_words", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())),
-        T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType())))])
-    for automaton in automata(bench, item_col, item_text_col, window, block_words):
-        shared = spark.sparkContext.broadcast(automaton)
-
-        def run(batch: dict[str, list], shared=shared) -> dict[str, list]:
+    held = docs.select(F.col(id_col).alias("id"), F.struct(F.col(text_col).alias("text")).alias("row"))
+    schema = T.StructType([held.schema["id"], *_FOUND])
+    return _stream_all(held, automata(bench, item_col, item_text_col, window, block_words), "text",
+                       lambda row, n, spans, items: {"n_words": n, "spans": spans, "items": items}, schema)
+
+
+_FOUND = T.StructType([
+    T.StructField("n_words", T.LongType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType()))),
+    T.StructField("items", T.ArrayType(T.StringType()))])
+
+
+def _stream_all(held: DataFrame, blocks: Iterator[Automaton], text_col: str,
+                finish: Callable[[dict, int, list, list], dict | None], schema: T.StructType) -> DataFrame:
+    """Run every automaton over ``held`` (columns and ``row``), uniting what they find.
+
+    ``finish`` turns a row and its findings into result columns, or None to drop it, in
+    the pass of the last automaton; a benchmark of one block takes a single pass.
+    """
+    carried = [f.name for f in held.schema if f.name != "row"]
+
+    def step(df: DataFrame, automaton: Automaton, last: bool) -> DataFrame:
+        shared = df.sparkSession.sparkContext.broadcast(automaton)
+        target = schema if last else T.StructType([*held.schema, *_FOUND])
+
+        def run(batch: dict[str, list]) -> dict[str, list]:
             found = shared.value
-            counts, spans, items = [], [], []
-            for k, text in enumerate(batch["text"]):
-                words = words_of(text)
+            out: dict[str, list] = {f.name: [] for f in target}
+            for k, row in enumerate(batch["row"]):
+                words = words_of(row[text_col] or "")
                 ranges, numbers = found.hits(words)
                 names = {str(found.items[n]) for n in numbers}
                 if "spans" in batch:  # from the automata before
                     ranges, names = united([*map(tuple, batch["spans"][k]), *ranges]), names | {*batch["items"][k]}
-                counts.append(len(words))
-                spans.append([list(r) for r in ranges])
-                items.append(sorted(names))
-            return batch | {"n_words": counts, "spans": spans, "items": items}
+                findings = len(words), [list(r) for r in ranges], sorted(names)
+                result = finish(row, *findings) if last else dict(zip(_FOUND.names, findings, strict=True)) | {"row": row}
+                if result is not None:
+                    for name, value in ({c: batch[c][k] for c in carried} | result).items():
+                        out[name].append(value)
+            return out
+
+        return map_batches(df, run, target)
 
-        held = map_batches(held, run, schema)
-    return held.drop("text")
+    waiting = None
+    for automaton in blocks:
+        if waiting is not None:
+            held_now = step(held if waiting[1] else held_now, waiting[0], False)
+        waiting = automaton, waiting is None
+    return step(held if waiting[1] else held_now, waiting[0], True)
 
 
 def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -223,10 +245,6 @@ def united(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode("utf-8")).hexdigest()
-
-
 def cut_words(text: str, spans: list[list[int]]) -> str:
     """``text`` without the words of ``spans`` and the marks between them."""
     if not spans:
@@ -242,7 +260,7 @@ def cut_words(text: str, spans: list[list[int]]) -> str:
     return b"".join(kept).decode("utf-8")
 
 
-def decontaminate(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+def decontaminate(docs: DataFrame, bench: DataFrame, *, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
                   max_span: int = 9, max_coverage: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with the same columns, the text without hit spans of more than ``max_span`` words.
@@ -251,15 +269,13 @@ def decontaminate(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id",
     count towards coverage, but their spans stay unless longer than ``max_span``.  Null
     texts stay null.  Other columns are untouched.
     """
-    marked = overlaps(docs, bench, id_col=id_col, text_col=text_col, item_col=item_col, item_text_col=item_text_col,
-                      window=window, block_words=block_words, with_row=True)
-    hit = F.aggregate("spans", F.lit(0), lambda n, s: n + s[1] - s[0])
-    kept = marked.where(hit <= F.lit(max_coverage) * F.col("n_words")).select("row", "spans")
-
-    def run(batch: dict[str, list]) -> dict[str, list]:
-        for row, spans in zip(batch["row"], batch["spans"], strict=True):
-            if row[text_col] is not None:
-                row[text_col] = cut_words(row[text_col], [s for s in spans if s[1] - s[0] > max_span])
-        return {"row": batch["row"]}
-
-    return map_batches(kept, run, T.StructType([kept.schema["row"]])).select("row.*")
+    def finish(row: dict, n_words: int, spans: list[list[int]], items: list[str]) -> dict | None:
+        if sum(b - a for a, b in spans) > max_coverage * n_words:
+            return None
+        if row[text_col] is not None:
+            row[text_col] = cut_words(row[text_col], [s for s in spans if s[1] - s[0] > max_span])
+        return {"row": row}
+
+    held = docs.select(F.struct("*").alias("row"))
+    return _stream_all(held, automata(bench, item_col, item_text_col, window, block_words), text_col, finish,
+                       held.schema).select("row.*")

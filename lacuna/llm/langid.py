@@ -148,7 +148,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
     shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batch: dict[str, list]) -> dict[str, list]:
-        given = [t or "" for t in batch["text"]]
+        given = [t or "" for t in (batch["text"] if not with_row else [r[text_col] for r in batch["row"]])]
         shares, top = mixtures(given, shared.value)
         best = shares.argmax(axis=1) if names else [0] * len(given)
         sets = [np.flatnonzero(s > 0.005) for s in shares]
@@ -157,8 +157,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
             "score": [min(1.0, float(t)) for t in top], "languages": [[names[i] for i in s] for s in sets],
             "shares": [[float(r[i]) for i in s] for r, s in zip(shares, sets, strict=True)]}
 
-    row = [F.struct("*").alias("row")] if with_row else []
-    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *row)
-    schema = T.StructType([*base.schema, *T.StructType.fromDDL(
+    base = docs.select(F.col(id_col).alias("id"), F.struct("*").alias("row") if with_row else F.col(text_col).alias("text"))
+    schema = T.StructType([*base.drop("text").schema, *T.StructType.fromDDL(
         "lang string, score double, languages array<string>, shares array<double>")])
-    return map_batches(base, run, schema).drop("text")
+    return map_batches(base, run, schema)

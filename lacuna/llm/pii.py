@@ -306,48 +306,55 @@ def crf_spans(texts: list[str], model: Crf) -> list[list[Span]]:
     return found
 
 
-def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", with_row: bool = False) -> DataFrame:
-    """(id, base, spans) for every row; ``with_row`` adds the whole row as ``row``.
+def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, base, spans) for every row.
 
     ``base`` are the pattern matches and ``spans`` also those of the CRF, as (kind,
     start, end) in code points, by start, then kind in the order of ``KINDS``.  A CRF
     span that touches a base span is left out.  Null and empty texts have none.
     Repeated rows are answered each for itself.
     """
-    base = pick(docs, id_col, text_col) if not with_row else docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct("*").alias("row"))
+    base = pick(docs, id_col, text_col)
     span = "array<struct<kind:string,start:int,end:int>>"
-    schema = T.StructType([*base.drop("text").schema, *T.StructType.fromDDL(f"base {span}, spans {span}")])
+    schema = T.StructType([base.schema["id"], *T.StructType.fromDDL(f"base {span}, spans {span}")])
     shared = docs.sparkSession.sparkContext.broadcast(Crf())
 
-    def named(spans: list[Span]) -> list[dict]:
-        return [{"kind": KINDS[k], "start": a, "end": b} for k, a, b in sorted(spans, key=lambda s: (s[1], s[0]))]
-
     def run(batch: dict[str, list]) -> dict[str, list]:
-        fixed = [base_spans(t) for t in batch["text"]]
-        added = crf_spans(batch["text"], shared.value)
-        whole = [b + [s for s in c if all(s[2] <= x[1] or x[2] <= s[1] for x in b)]
-                 for b, c in zip(fixed, added, strict=True)]
-        return batch | {"base": [named(x) for x in fixed], "spans": [named(x) for x in whole]}
+        fixed, whole = found_in(batch["text"], shared.value)
+        return {"id": batch["id"], "base": [named(x) for x in fixed], "spans": [named(x) for x in whole]}
 
     return map_batches(base, run, schema)
 
 
-def mask(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def named(spans: list[Span]) -> list[dict]:
+    return [{"kind": KINDS[k], "start": a, "end": b} for k, a, b in sorted(spans, key=lambda s: (s[1], s[0]))]
+
+
+def found_in(texts: list[str], model: Crf) -> tuple[list[list[Span]], list[list[Span]]]:
+    """Base spans and all spans of each text."""
+    fixed = [base_spans(t) for t in texts]
+    whole = [b + [s for s in c if all(s[2] <= x[1] or x[2] <= s[1] for x in b)]
+             for b, c in zip(fixed, crf_spans(texts, model), strict=True)]
+    return fixed, whole
+
+
+def mask(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """``docs`` with the same columns, every span replaced by its kind in angle brackets.
 
     Overlapping spans are replaced together, under the kind of the first.  Null texts
     stay null; no row goes.
     """
-    marked = find(docs, id_col=id_col, text_col=text_col, with_row=True).select("row", "spans")
+    base = docs.select(F.struct("*").alias("row"))
+    shared = docs.sparkSession.sparkContext.broadcast(Crf())
 
     def run(batch: dict[str, list]) -> dict[str, list]:
-        for row, spans in zip(batch["row"], batch["spans"], strict=True):
+        _, whole = found_in([r[text_col] or "" for r in batch["row"]], shared.value)
+        for row, spans in zip(batch["row"], whole, strict=True):
             if spans:
-                row[text_col] = masked(row[text_col], spans)
-        return {"row": batch["row"]}
+                row[text_col] = masked(row[text_col], named(spans))
+        return batch
 
-    return map_batches(marked, run, T.StructType([marked.schema["row"]])).select("row.*")
+    return map_batches(base, run, base.schema).select("row.*")
 
 
 def masked(text: str, spans: list) -> str:
