@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions.arrays import map_arrays
@@ -17,6 +17,7 @@ from lacuna.functions.joins import measured_join, settle
 from lacuna.operators import recovery as rc
 from lacuna.operators import scaling as sc
 from lacuna.operators import transforms as tf
+from lacuna.operators.acquisition import check_sizes, expected_bytes, split_echoes
 from lacuna.session import ship
 from lacuna.sources import sinks
 from lacuna.sources import state as st
@@ -28,7 +29,7 @@ class RunFolders:
     root: str
 
     def __getattr__(self, name: str) -> str:
-        if name in ("workspace", "scales", "state", "complex", "study_scale", "images"):
+        if name in ("workspace", "scales", "state", "complex", "study_scale", "images", "volumes", "quarantine"):
             return f"{self.root}/{name}"
         raise AttributeError(name)
 
@@ -54,17 +55,24 @@ def volume_scales(slices: DataFrame, masks: DataFrame, options: rc.RecoveryOptio
 
 
 def recover_run(spark: SparkSession, path: str, masks: DataFrame, options: rc.RecoveryOptions, out: str,
-                acquired: int, slices: int | None = None) -> DataFrame:
+                acquired: int, slices: int | None = None, echoes: int = 1) -> DataFrame:
     """Recover every ready volume of ``path`` with the run's one mask; returns the images.
 
-    ``acquired`` is the number of sampled lines, ``slices`` the total slice count
-    if known (it sets the number of tasks of the solver).
+    ``path`` may name many files: a volume is one echo of one block of one file, and
+    ``<out>/volumes`` lists its number (volume, path, block, echo); numbers stay when a
+    resumed run finds more files.  Blocks that are short or have no data yet are listed
+    in ``<out>/quarantine`` with the reason.  ``acquired`` is the number of sampled
+    lines of an echo, ``slices`` the total slice count if known (it sets the number of
+    tasks of the solver).
     """
     ship(spark)
     register(spark)
     folders = RunFolders(out)
     raw = spark.read.format("lacuna_blocks").option("path", path).load()
-    traces = raw.select(F.col("block").alias("volume"), "trace", "re", "im")
+    quarantine(spark, path).write.mode("overwrite").parquet(folders.quarantine)
+    volumes = number_volumes(spark, path, echoes, folders.volumes)
+    split = split_echoes(raw, echoes).drop("trace").withColumnRenamed("echo_trace", "trace")
+    traces = measured_join(split, volumes, ["path", "block", "echo"]).select("volume", "trace", "re", "im")
     work = workspace(traces, acquired).withColumn("mask_id", F.lit(0))
     work.write.mode("overwrite").parquet(folders.workspace)
     work = spark.read.parquet(folders.workspace)
@@ -88,6 +96,41 @@ def recover_run(spark: SparkSession, path: str, masks: DataFrame, options: rc.Re
     return spark.read.parquet(folders.images)
 
 
+def _headers(spark: SparkSession, path: str, table: str) -> DataFrame:
+    return spark.read.format("lacuna_blocks").option("path", path).option("table", table).load()
+
+
+def number_volumes(spark: SparkSession, path: str, echoes: int, folder: str) -> DataFrame:
+    """(path, block, echo, volume): earlier numbers as they are, new volumes after them, in order of file and block.
+
+    Only block headers are read.  The numbering sorts one row a volume in one task.
+    """
+    from pyspark.errors import AnalysisException
+
+    ready = _headers(spark, path, "block_header").where("has_data").select("path", "block").distinct()
+    keys = ready.withColumn("echo", F.explode(F.sequence(F.lit(0), F.lit(echoes - 1))))
+    try:
+        known = spark.read.parquet(folder)
+        top = known.agg(F.max("volume")).first()[0] or 0
+        keys = keys.join(known, ["path", "block", "echo"], "left_anti")
+    except AnalysisException:
+        top = 0
+    place = F.row_number().over(Window.orderBy("path", "block", "echo"))
+    keys.withColumn("volume", (place + top).cast("int")).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """(path, block, reason) of every block the file headers promise and the run leaves out."""
+    files = check_sizes(_headers(spark, path, "file_header"))
+    promised = files.select("path", "file_bytes", "bytes_per_block", F.explode(F.sequence(F.lit(1), F.col("nblocks"))).alias("block"))
+    there = _headers(spark, path, "block_header").select("path", "block", "has_data")
+    whole = expected_bytes(F.col("block").cast("bigint"), F.col("bytes_per_block")) <= F.col("file_bytes")
+    reason = F.when(~whole, "short").when(~F.coalesce("has_data", F.lit(False)), "no data")
+    return promised.join(there, ["path", "block"], "left").withColumn("reason", reason).where("reason is not null").select(
+        "path", "block", "reason")
+
+
 def study_scale(images: DataFrame) -> DataFrame:
     """Histogram cut-off of the first volume: one row."""
     first = images.where(F.col("volume") == images.agg(F.min("volume")).scalar())

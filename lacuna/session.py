@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -34,11 +35,14 @@ def build_session(app: str = "lacuna", master: str | None = None, **conf: str) -
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where it is unset, as in local tests, a temporary folder is chosen.
+    Only where it is unset and the session is local, as in tests, a temporary folder is
+    chosen.  Elsewhere executors could not see it, so an unset folder is an error.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_lacuna_folder", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = context._lacuna_folder = tempfile.mkdtemp(prefix="lacuna-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(base)

@@ -52,3 +52,37 @@ def test_run_end_to_end_and_resume(spark, tmp_path):
     assert 0.4 < second[1].mean() / second[0].mean() < 0.7  # one study scale for all volumes
     state = spark.read.parquet(out + "/state").groupBy("attempt").count().collect()
     assert sorted(r["attempt"] for r in state) == [1, 2]
+
+
+def test_files_and_echoes_stay_apart(spark, tmp_path):
+    """Two files with equal block numbers, two echoes, one cut file and one block without data."""
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for name in ("a.fid", "b.fid", "cut.fid"):
+        block_file(folder / name, rng.normal(size=(2, 8, 4)) + 1j * rng.normal(size=(2, 8, 4)), ready=[True, name != "b.fid"])
+    cut = (folder / "cut.fid").read_bytes()
+    (folder / "cut.fid").write_bytes(cut[:-10])
+    run.register(spark)
+    bad = {(r.path.rsplit("/", 1)[1], r.block): r.reason for r in run.quarantine(spark, str(folder)).collect()}
+    assert bad == {("b.fid", 2): "no data", ("cut.fid", 2): "short"}
+    first = run.number_volumes(spark, str(folder / "b.fid"), 2, str(tmp_path / "v")).collect()
+    assert sorted((r.block, r.echo, r.volume) for r in first) == [(1, 0, 1), (1, 1, 2)]
+    both = run.number_volumes(spark, str(folder), 2, str(tmp_path / "v")).collect()
+    assert sorted(r.volume for r in both) == list(range(1, len(both) + 1))
+    assert {(r.block, r.echo): r.volume for r in both if r.path.endswith("b.fid")} == {(1, 0): 1, (1, 1): 2}
+    assert len({(r.path, r.block, r.echo) for r in both}) == len(both)
+
+
+def test_two_files_are_two_volumes_each(spark, tmp_path):
+    folder = tmp_path / "two"
+    folder.mkdir()
+    _, positions, density = acquisition(folder / "a.fid")
+    (folder / "b.fid").write_bytes((folder / "a.fid").read_bytes())
+    masks = spark.createDataFrame([(0, [int(i) for i in positions], [float(v) for v in density])],
+                                  "mask_id int, positions array<int>, density array<double>")
+    opts = rc.RecoveryOptions(N, N, passes=((3, 0.002, 0.002),), window=8, transform=linops.Wavelet("Haar", 0, 2))
+    out = str(tmp_path / "out")
+    rows = run.recover_run(spark, str(folder), masks, opts, out, len(positions)).collect()
+    got = {(r["volume"], r["slice"]): r["value"] for r in rows}
+    assert len(got) == 4 * NX and all(got[1, x] == got[3, x] and got[2, x] == got[4, x] for x in range(NX))
+    assert spark.read.parquet(out + "/quarantine").count() == 0

@@ -1,3 +1,4 @@
+import pytest
 import subprocess
 import sys
 import textwrap
@@ -20,3 +21,14 @@ def test_cluster_folder_is_used(tmp_path):
     """)
     subprocess.run([sys.executable, "-c", code], check=True, cwd="/", timeout=120, capture_output=True)
     assert any(tmp_path.rglob("part-*"))
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from lacuna.session import checkpoint_dir
+
+    context = SimpleNamespace(master="spark://host:7077")
+    fake = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(fake)
