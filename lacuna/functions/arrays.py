@@ -188,11 +188,6 @@ def centre_shift(values: Column, inverse: bool = False) -> Column:
     return roll(values, ((n + 1) / 2 if inverse else n / 2).cast("int"))
 
 
-def shifted_index(i: Column, n: int, inverse: bool = False) -> Column:
-    """Index arithmetic twin of ``centre_shift`` for long tables."""
-    return F.pmod(i + ((n + 1) // 2 if inverse else n // 2), F.lit(n))
-
-
 def pad_planes(df: DataFrame, values: str, shape: tuple[int, int], target: tuple[int, int], keep: Sequence[str],
                fill: float = 0.0) -> DataFrame:
     """Centre column-major planes in a larger grid."""

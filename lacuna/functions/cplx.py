@@ -24,7 +24,3 @@ def conjugate(a: tuple[Column, Column]) -> tuple[Column, Column]:
 
 def unit(angle: Column) -> tuple[Column, Column]:
     return F.cos(angle), F.sin(angle)
-
-
-def array_magnitude(re: Column, im: Column) -> Column:
-    return F.zip_with(re, im, magnitude)

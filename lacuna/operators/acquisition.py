@@ -151,9 +151,3 @@ def merge_samples(parts: DataFrame, keys: Sequence[str], axis: str, values: Sequ
     grouped = unique.groupBy(*keys).agg(F.collect_list(F.struct(axis, *values)).alias("_c")).select(
         *keys, F.col(f"_c.{axis}").alias("_at"), *[F.col(f"_c.{v}").alias(v) for v in values])
     return arrays.dense_rows(grouped, "_at", values, length, keys)
-
-
-def decode_blocks(blocks: DataFrame, samples: str = "samples", keys: Sequence[str] = ("volume", "trace")) -> DataFrame:
-    """Interleaved sample arrays to real and imaginary arrays."""
-    return blocks.select(*keys, arrays.decode_interleaved(F.col(samples), "re").alias("re"),
-                         arrays.decode_interleaved(F.col(samples), "im").alias("im"))

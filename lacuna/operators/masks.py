@@ -73,8 +73,10 @@ def candidate_masks(names: DataFrame, ntraces: Column, pa: float, pb: float, nam
     """Masks whose name fits the trace count; the default exponents sort last."""
     decoded = decode_names(names, name)
     fits = F.try_divide(F.col("ny") * F.col("nz"), F.col("acceleration")) == ntraces
-    return decoded.where(F.col("ny").isNotNull() & fits).withColumn(
+    found = decoded.where(F.col("ny").isNotNull() & fits).withColumn(
         "is_default", (F.col("pa") == pa) & (F.col("pb") == pb))
+    # the list of one acquisition's masks is short; its order is part of the answer
+    return found.withColumn("place", F.row_number().over(Window.orderBy("is_default", name)))
 
 
 def mask_report(mask_text: Column) -> list[Column]:

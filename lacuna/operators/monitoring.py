@@ -342,6 +342,13 @@ def to_cancel(jobs: DataFrame, pattern: str) -> DataFrame:
     return jobs_of(jobs, pattern).where(F.col("state") != "RUNNING")
 
 
+def job_lists(state: str = "state") -> Column:
+    """Names of the lists a job is on: one scan answers all of them."""
+    c = F.col(state)
+    names = F.array(F.lit("all"), F.when(c == "PENDING", "pending"), F.when(c == "RUNNING", "running"), F.when(c != "RUNNING", "cancel"))
+    return F.filter(names, lambda n: n.isNotNull())
+
+
 def active_runs(lines: DataFrame, line: str = "line", pattern: str = r"([A-Z][0-9]{5,6})") -> DataFrame:
     """Distinct run ids, the first one on each queue line."""
     run = F.regexp_extract(line, pattern, 1)

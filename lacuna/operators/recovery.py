@@ -236,19 +236,22 @@ def recover(samples: DataFrame, masks: DataFrame, options: RecoveryOptions, stat
     When the slice count is known the work is spread at ``chunk`` slices a task,
     because AQE sizes tasks by bytes and not by solver time.
     """
-    rows = with_mask(samples, masks, options)
+    rows = samples
     empty = F.array().cast("array<double>")
     if state is None:
         rows = rows.withColumns({"completed": F.lit(0), "start_re": empty, "start_im": empty})
     else:
         earlier = state.select("volume", "slice", F.col("iterations").alias("completed"),
                                F.col("re").alias("start_re"), F.col("im").alias("start_im"))
-        rows = rows.join(earlier, ["volume", "slice"], "left").withColumn("completed", F.coalesce("completed", F.lit(0)))
+        finished = earlier.where(F.col("completed") >= options.iterations).select("volume", "slice")
+        rows = rows.join(finished, ["volume", "slice"], "left_anti")  # narrow; finished slices go before any wide join
+        rows = rows.join(earlier.where(F.col("completed") < options.iterations), ["volume", "slice"], "left")
+        rows = rows.withColumn("completed", F.coalesce("completed", F.lit(0)))
         started = F.col("completed") > 0
         rows = rows.withColumns({c: F.when(started, F.col(c)).otherwise(empty) for c in ("start_re", "start_im")})
-        rows = rows.where(F.col("completed") < options.iterations)
     if slices:
         rows = rows.repartition(max(1, -(-slices // chunk)), "volume", "slice")
+    rows = with_mask(rows, masks, options)  # last: the mask of a slice is larger than its samples
     return map_arrays(
         rows, lambda b: recover_block(b, options),
         ("re", "im", "positions", "density", "completed", "start_re", "start_im"),

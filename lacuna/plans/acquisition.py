@@ -217,3 +217,23 @@ def file_set_ready(spark: SparkSession, folder: str) -> DataFrame:
         key.alias("owner"), F.concat_ws(":", key, key * 2, key + 7).alias("paths"))
     listing = table(spark, folder, "part").where("p_size > 5").select(F.col("p_partkey").cast("string").alias("path"))
     return acq.files_ready(wanted, listing, "owner", "paths")
+
+
+# ---------------------------------------------------------------- tags and prefixes
+
+TAG = "concat(md5(CAST(o_orderkey AS VARCHAR)), md5(CAST(o_custkey AS VARCHAR)), md5(CAST(o_orderkey % 9 AS VARCHAR)), md5(o_orderstatus))"
+
+
+@query(f"SELECT o_orderkey, sha256(concat(substr(t, 1, 26), substr(t, 29, 72))) AS loose, sha256(substr(t, 1, 100)) AS exact FROM (SELECT o_orderkey, {TAG} AS t FROM orders)")
+def tag_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest of the first 100 bytes of a file, with and without its two status bytes."""
+    parts = [F.md5(c.cast("string").cast("binary")) for c in (F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderkey") % 9, F.col("o_orderstatus"))]
+    tag = F.concat(*parts).cast("binary")
+    return table(spark, folder, "orders").select("o_orderkey", acq.tag_digest(tag).alias("loose"), acq.tag_digest(F.substring(tag, 1, 100), False).alias("exact"))
+
+
+@query("SELECT o_orderkey, 'z_' || k AS key, CAST(v AS VARCHAR) AS value FROM (SELECT o_orderkey, unnest(['cust', 'status']) AS k, unnest([CAST(o_custkey AS VARCHAR), o_orderstatus]) AS v FROM orders)")
+def prefixed_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """Header maps whose keys get the prefix of their source."""
+    header = F.create_map(F.lit("cust"), F.col("o_custkey").cast("string"), F.lit("status"), F.col("o_orderstatus"))
+    return table(spark, folder, "orders").select("o_orderkey", F.explode(acq.prefix_keys(header, "z_")).alias("key", "value"))

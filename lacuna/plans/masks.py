@@ -74,8 +74,8 @@ def mask_name(spark: SparkSession, folder: str) -> DataFrame:
     return mk.decode_names(mask_names(spark, folder))
 
 
-@query(f"""SELECT DISTINCT name, ny, nz, acceleration, pa, pb, pa = 1.8::DOUBLE AND pb = 5.4::DOUBLE AS is_default FROM {DECODED_SQL}
-  WHERE ny IS NOT NULL AND ny * nz / acceleration = 4096""")
+@query(f"""SELECT *, row_number() OVER (ORDER BY is_default, name) AS place FROM (SELECT DISTINCT name, ny, nz, acceleration, pa, pb, pa = 1.8::DOUBLE AND pb = 5.4::DOUBLE AS is_default FROM {DECODED_SQL}
+  WHERE ny IS NOT NULL AND ny * nz / acceleration = 4096)""")
 def mask_candidates(spark: SparkSession, folder: str) -> DataFrame:
     names = mask_names(spark, folder).select("name").distinct()
     return mk.candidate_masks(names, F.lit(4096), 1.8, 5.4)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -330,10 +328,8 @@ SELECT 'all' AS list, job_id FROM j UNION ALL SELECT 'pending', job_id FROM j WH
 UNION ALL SELECT 'running', job_id FROM j WHERE state = 'RUNNING' UNION ALL SELECT 'cancel', job_id FROM j WHERE state <> 'RUNNING'""")
 def jobs_of_run(spark: SparkSession, folder: str) -> DataFrame:
     """Jobs of the runs that match a pattern: all, pending, running and to be cancelled."""
-    j, pattern = jobs(spark, folder), "^S0001"
-    lists = {"all": mo.jobs_of(j, pattern), "pending": mo.jobs_of(j, pattern, "PENDING"),
-             "running": mo.jobs_of(j, pattern, "RUNNING"), "cancel": mo.to_cancel(j, pattern)}
-    return reduce(DataFrame.union, [rows.select(F.lit(n).alias("list"), "job_id") for n, rows in lists.items()])
+    j = mo.jobs_of(jobs(spark, folder), "^S0001")
+    return j.select(F.explode(mo.job_lists("state")).alias("list"), "job_id")
 
 
 @query(f"""SELECT j.job_id, name, concat('/logs/', o_orderkey, '.log') AS log FROM {JOB_SQL} j JOIN orders ON o_orderkey = j.job_id WHERE regexp_matches(user, 'user[1-3]') AND partition = 'high' AND regexp_matches(name, '_m[0-5]')""")

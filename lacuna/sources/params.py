@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 SCHEMA = "run string, key string, declared int, nums array<double>, strs array<string>, complete boolean"
 
 
+def _numbers(text: str) -> list[float]:
+    """Numbers up to the first word that is none; the shorter list makes the key incomplete."""
+    out: list[float] = []
+    for word in text.split():
+        try:
+            out.append(float(word))
+        except ValueError:
+            break
+    return out
+
+
 def _entries(text: str) -> Iterator[tuple[str, int, list[float], list[str]]]:
     lines = iter(text.splitlines())
     for line in lines:
@@ -22,7 +33,7 @@ def _entries(text: str) -> Iterator[tuple[str, int, list[float], list[str]]]:
         size = int(count) if count.isdigit() else 0
         rest = rest.strip()
         if rest and rest[0] != '"':
-            yield head[0], size, [float(v) for v in rest.split()], []
+            yield head[0], size, _numbers(rest), []
             continue
         strings = []
         for i in range(size):
@@ -40,7 +51,7 @@ def parse_params(files: DataFrame, run: str = "run", text: str = "text") -> Data
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = [(r, k, n, nums, strs, n == len(nums) + len(strs))
-                    for r, t in zip(pdf["run"], pdf["text"]) for k, n, nums, strs in _entries(t)]
+                    for r, t in zip(pdf["run"], pdf["text"]) for k, n, nums, strs in _entries(t or "")]
             yield pd.DataFrame(rows, columns=["run", "key", "declared", "nums", "strs", "complete"])
 
     return files.select(F.col(run).cast("string").alias("run"), F.col(text).alias("text")).mapInPandas(parse, SCHEMA)
