@@ -243,10 +243,12 @@ class BlockReader(DataSourceReader):
     def _block_headers(self, span: Span):
         with _open(span.path) as handle:
             layout = Layout.read(handle)
-            for block in range(1, layout.nblocks + 1):
+            body, size = FILE_HEADER.size, max(layout.block_bytes, 1)
+            first = max(1, -(-(span.start - body) // size) + 1)  # the blocks that start inside the span
+            last = min(layout.nblocks, (span.stop - 1 - body) // size + 1)
+            for block in range(first, last + 1):
                 at = layout.block_start(block)
-                if span.start <= at < span.stop and at + BLOCK_HEADER.size <= span.size \
-                        and (self.blocks is None or block in self.blocks):
+                if at + BLOCK_HEADER.size <= span.size and (self.blocks is None or block in self.blocks):
                     h = _flags(handle, layout, block)
                     yield (span.path, block, *h, bool(h[1] & 1))
 
