@@ -36,11 +36,23 @@ _END, _START = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    return zstandard.compress(pickle.dumps(arrays, protocol=5), 1)
+    """Arrays as compressed bytes; numbers are stored byte by byte of their places, which packs them better."""
+    flat = [(x.dtype.str, x.shape, np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T.tobytes()) for x in arrays]
+    return zstandard.compress(pickle.dumps(flat, protocol=5), 1)
 
 
 def unpack(data: bytes) -> tuple[np.ndarray, ...]:
-    return pickle.loads(zstandard.decompress(data))
+    return tuple(np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1).T)
+                 .view(kind).reshape(shape) for kind, shape, raw in pickle.loads(zstandard.decompress(data)))
+
+
+def rises(x: np.ndarray) -> np.ndarray:
+    """Differences of rising hashes: some two bytes shorter each."""
+    return np.diff(x, prepend=np.uint64(0))
+
+
+def risen(x: np.ndarray) -> np.ndarray:
+    return np.cumsum(x, dtype=np.uint64)
 
 
 def small(x: np.ndarray) -> np.ndarray:
@@ -94,7 +106,7 @@ def ask_counts(rows: pa.Table, given: pa.Table, buckets: int) -> pa.Table:
     pairs, seen = np.unique(pair_hash(t.history[t.train], t.token[t.train]), return_counts=True)
     out = []
     for flag, keys, n in ((False, words, counts), (True, pairs, seen)):
-        out += [{"block": block.number, "bucket": k, "flag": flag, "data": pack(keys[a:b], small(n[a:b]))}
+        out += [{"block": block.number, "bucket": k, "flag": flag, "data": pack(rises(keys[a:b]), small(n[a:b]))}
                 for k, a, b in bucket_edges(keys, buckets)]
     return note_table(out)
 
@@ -113,7 +125,7 @@ def answer_counts(sent: pa.Table) -> pa.Table:
         if not parts:
             totals.append(np.zeros(LIMIT + 3, dtype=np.int64))
             continue
-        keys = np.concatenate([k for k, _ in parts])
+        keys = np.concatenate([risen(k) for k, _ in parts])
         distinct, at = np.unique(keys, return_inverse=True)
         counts = np.bincount(at, weights=np.concatenate([n for _, n in parts]), minlength=len(distinct)).astype(np.int64)
         totals.append(np.concatenate(([counts.sum(), np.count_nonzero(counts)], _ranked(counts))))
@@ -187,7 +199,7 @@ def ask_pairs(rows: pa.Table, given: pa.Table, buckets: int, ranges: int, totals
     for k, a, b in bucket_edges(history, ranges):
         heads = np.flatnonzero(np.concatenate(([True], history[a + 1:b] != history[a:b - 1])))
         out.append({"block": block.number, "bucket": k, "flag": False, "data": pack(
-            history[a:b][heads], small(np.diff(np.append(heads, b - a))), token[a:b], small(count[a:b]), small(train[a:b]),
+            rises(history[a:b][heads]), small(np.diff(np.append(heads, b - a))), token[a:b], small(count[a:b]), small(train[a:b]),
             small(times[a:b]), small(doc[stops[a]:stops[b]]), np.array([docs]))})
     return note_table(out)
 
@@ -200,7 +212,7 @@ def answer_pairs(sent: pa.Table, totals: Totals) -> pa.Table:
     if not rows:
         return note_table(out)
     parts = [unpack(r["data"]) for r in rows]
-    history = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
+    history = np.concatenate([np.repeat(risen(p[0]), p[1]) for p in parts])
     keys = pair_hash(history, np.concatenate([p[2] for p in parts]))
     _, first, at = np.unique(keys, return_index=True, return_inverse=True)
     count = np.bincount(at, weights=np.concatenate([p[4] for p in parts])).astype(np.int64)
