@@ -3,7 +3,8 @@ import sys
 
 import duckdb
 import pytest
-from conftest import FOLDER, root
+
+from .conftest import FOLDER, root
 
 sys.path.insert(0, str(root()))
 import corpus_pipeline  # noqa: E402
