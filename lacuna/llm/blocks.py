@@ -118,6 +118,17 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack_planes(data), dtype=np.uint64)
 
 
+def pack_places(order: np.ndarray, at: np.ndarray) -> bytes:
+    """Document places, as numbers within the block beside the block's own list of places."""
+    table = pack_sorted(order.astype(np.uint64))
+    return len(table).to_bytes(4, "little") + table + pack_planes(at)
+
+
+def unpack_places(data: bytes) -> np.ndarray:
+    cut = 4 + int.from_bytes(data[:4], "little")
+    return unpack_sorted(data[4:cut])[unpack_planes(data[cut:]).astype(np.int64)]
+
+
 def note_table(rows: list[dict]) -> pa.Table:
     fields = {"block": pa.int32(), "key": pa.int64(), "h": pa.int64(), "ord": pa.int64(), "flag": pa.bool_(),
               "bucket": pa.int32(), "data": pa.binary(), "more": pa.binary()}

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacuna.llm import blocks
-from lacuna.llm.blocks import Block, bucket_edges, mix, note_table, pack_planes, pack_sorted, unpack_planes, unpack_sorted
+from lacuna.llm.blocks import Block, bucket_edges, mix, note_table, pack_places, pack_sorted, unpack_places, unpack_sorted
 from lacuna.llm.common import parts_for, settle
 
 SPAN = 100
@@ -110,9 +110,9 @@ def suffixes(block: Block, buckets: int) -> tuple[np.ndarray, np.ndarray, np.nda
 def ask_suffixes(rows: pa.Table, given: pa.Table, buckets: int) -> pa.Table:
     block = Block(rows, given)
     spots, prefixes, _, first = suffixes(block, buckets)
-    doc = block.order[np.searchsorted(block.ends, spots[first], side="right")]
+    doc = np.searchsorted(block.ends, spots[first], side="right")
     return note_table([{"block": block.number, "bucket": k, "data": pack_sorted(prefixes[a:b]),
-                        "more": pack_planes(doc[a:b])} for k, a, b in bucket_edges(prefixes, buckets)])
+                        "more": pack_places(block.order, doc[a:b])} for k, a, b in bucket_edges(prefixes, buckets)])
 
 
 def answer_suffixes(sent: pa.Table) -> pa.Table:
@@ -120,7 +120,7 @@ def answer_suffixes(sent: pa.Table) -> pa.Table:
     rows = sent.to_pylist()
     parts = [unpack_sorted(r["data"]) for r in rows]
     prefix = np.concatenate(parts)
-    doc = np.concatenate([unpack_planes(r["more"]) for r in rows])
+    doc = np.concatenate([unpack_places(r["more"]) for r in rows])
     order = np.lexsort((doc, prefix))
     tied = np.concatenate(([False], prefix[order][1:] == prefix[order][:-1]))
     later = np.empty(len(prefix), dtype=bool)
