@@ -5,6 +5,10 @@ count by one, so the Manhattan distance of the count vectors never exceeds the H
 distance.  Two vectors within distance 2 have a common neighbour within distance 1 of
 each; every fingerprint is therefore filed under its own cell and the cells one step
 away, and only fingerprints that meet in a cell are compared exactly.
+
+A radius is fixed for three-word shingles only.  For other sizes documents link at an
+exact Jaccard similarity of their shingle sets (``similar``), found without a
+fingerprint: sets that similar share one of their first hashes.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lacuna.llm.blocks import keyed
 from lacuna.llm.common import map_batches, pick, settle
 from lacuna.llm.graph import connected_components
 
@@ -86,15 +91,111 @@ def links(nodes: DataFrame) -> DataFrame:
     return pairs.union(stars.where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")))
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+def _set(text: str, shingle: int) -> np.ndarray:
+    """Distinct shingle hashes in rising order."""
+    return np.unique(np.array(shingle_hashes(text.encode("utf-8"), shingle), dtype="<u8"))
+
+
+def _head_size(n: int) -> int:
+    """Two sets at Jaccard 4/5 or more have a hash in common among the first so many of each."""
+    return n - (4 * n + 4) // 5 + 1 if n else 0
+
+
+def _marked(rows: DataFrame, shingle: int) -> DataFrame:
+    """(id, key, h, node, head): the hash of each row's shingle set, and the first hashes of the set."""
+
+    def run(batch: dict[str, list]) -> dict[str, list]:
+        sets = [_set(t, shingle) for t in batch["text"]]
+        return {k: batch[k] for k in ("id", "key", "h")} | {
+            "node": [xxhash.xxh64_intdigest(x.tobytes(), 7) - (1 << 63) for x in sets],
+            "head": [x[:_head_size(len(x))].view("<i8") for x in sets]}
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return map_batches(rows.select("id", "key", "h", "text"), run, f"id {kind}, key bigint, h bigint, node bigint, head array<bigint>")
+
+
+def _whole(rows: DataFrame, shingle: int) -> DataFrame:
+    """(node, size, hashes) of the given rows."""
+
+    def run(batch: dict[str, list]) -> dict[str, list]:
+        sets = [_set(t, shingle) for t in batch["text"]]
+        return {"node": batch["node"], "size": [len(x) for x in sets], "hashes": [x.view("<i8") for x in sets]}
+
+    return map_batches(rows.select("node", "text"), run, "node bigint, size bigint, hashes array<bigint>").dropDuplicates(["node"])
+
+
+def _shared(filed: DataFrame) -> DataFrame:
+    """The rows whose ``token`` stands in two or more sets."""
+    return filed.withColumn("_n", F.expr("count(*) over (partition by token)")).where("_n > 1").drop("_n")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): the pairs with an exact Jaccard similarity of 4/5 or more."""
+    x, y = (sets.select(F.col("node").alias(k), F.col("hashes").alias(f"{k}_hashes")) for k in "ab")
+    return (pairs.select("a", "b").distinct().join(x, "a").join(y, "b")
+            .where("9 * size(array_intersect(a_hashes, b_hashes)) >= 4 * (size(a_hashes) + size(b_hashes))").select("a", "b"))
+
+
+def similar(rows: DataFrame, *, shingle: int) -> DataFrame:
+    """(id, key, h, root) for every row of (id, text, key, h): ``root`` names its group of near-duplicates.
+
+    Rows link when the Jaccard similarity of their shingle sets is 4/5 or more; equal
+    sets and empty texts link too.  No pair is missed: two such sets share one of their
+    first hashes, and no more of a set can be shared than stands in another set at all.
+    Sets that share a first hash are compared with one of them first, that with the
+    least of its own; after two rounds of that, sets still in different groups are all
+    compared.  A large group of near copies is so never expanded into its pairs.
+    """
+    marks = settle(_marked(rows, shingle))
+    nodes = marks.dropDuplicates(["node"])
+    met = _shared(nodes.select("node", "key", "h", F.explode("head").alias("token"))).select("node", "key", "h").distinct()
+    sets = settle(_whole(rows.join(settle(met), ["key", "h"]), shingle))
+    common = _shared(sets.select("node", F.explode("hashes").alias("token"))).groupBy("node").agg(F.count("*").alias("common"))
+    sets = settle(sets.join(common, "node").where("5 * common >= 4 * size"))
+    first = F.expr("explode(slice(hashes, 1, cast(size - (4 * size + 4) div 5 + 1 as int)))").alias("token")
+    filed = settle(_shared(sets.select("node", "size", "common", first)))
+    fits = "9 * least(x.common, y.common) >= 4 * (x.size + y.size)"
+    links = filed.where("false").select(F.col("node").alias("a"), F.col("node").alias("b"))
+    tied = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+    def rooted() -> DataFrame:
+        return filed.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    for weight in ("common / size", "xxhash64(node)"):
+        centre = f"max(struct({weight} as w, node, size, common, root)) over (partition by token)"
+        stars = (rooted().withColumn("x", F.expr(centre)).withColumn("y", F.struct("node", "size", "common", "root"))
+                 .where(f"x.root <> y.root and {fits}"))
+        found = _verified(stars.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"), sets)
+        links = settle(links.union(found))
+        tied = settle(connected_components(links, "a", "b"))
+    sized = rooted().groupBy("token", "root").agg(F.count("*").alias("n"))
+    largest = sized.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+    open_ = settle(rooted().join(largest.select("token", F.col("top.root").alias("top")), "token"))
+    across = (open_.where("root <> top").alias("x").join(open_.alias("y"), F.expr(f"x.token = y.token and x.root <> y.root and {fits}"))
+              .selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"))
+    tied = connected_components(links.union(_verified(across, sets)), "a", "b")
+    return marks.join(tied, "node", "left").select("id", "key", "h", F.coalesce("root", "node").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
+                    radius: int | None = None) -> DataFrame:
     """(id, fp, component): one row per input row; ``component`` is the least id reachable over links.
 
-    Equal fingerprints link, and so do those at 2 or fewer differing bits.  Null and
-    empty texts have fingerprint 0 and link like any other.  Repeated rows are kept and
-    share their component.  A null id keeps its row; it is never a component's least id
-    unless the component has no other.  An empty table gives an empty result.  Copies
-    are joined through one row per fingerprint and are never expanded into pairs.
+    With a radius of 2, which is the rule for three-word shingles, equal fingerprints
+    link, and so do those at 2 or fewer differing bits; null and empty texts have
+    fingerprint 0 and link like any other.  Without a radius, the rule for other
+    sizes, rows link at a Jaccard similarity of 4/5 (see ``similar``) and ``fp`` is
+    the hash of the group.  Repeated rows are kept and share their component.  A null
+    id keeps its row; it is never a component's least id unless the component has no
+    other.  An empty table gives an empty result.  Copies are joined through one row
+    per fingerprint or set and are never expanded into pairs.
     """
+    if radius not in (None, 2):
+        raise ValueError("a fingerprint radius is 2 bits")
+    if radius is None and shingle != 3:
+        found = similar(keyed(docs, id_col, text_col), shingle=shingle)
+        least = found.groupBy("root").agg(F.min("id").alias("component"))
+        return found.join(least, "root").select("id", F.col("root").alias("fp"), "component")
     marks = settle(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
     nodes = settle(marks.groupBy("fp", "cell").agg(F.min("id").alias("least")))
     tied = connected_components(links(nodes), "a", "b")
