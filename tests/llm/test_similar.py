@@ -76,3 +76,16 @@ def test_large_group_of_near_copies(spark):
         w[rng.integers(100)] = f"x{i}"
         rows.append((i, " ".join(w), "en", "s", 0))
     assert [r.doc_id for r in stage(spark, rows)] == [0]
+
+
+def test_rows_are_kept_by_text_not_by_id(spark):
+    """Null and repeated ids."""
+    text = {k: " ".join(f"{k}{i}" for i in range(50)) for k in "abcdef"}
+    near = " ".join([*text["a"].split()[:-1], "z"])
+    rows = [(None, text["b"], "en", "s", 0), (None, text["c"], "en", "s", 0), (None, near, "en", "s", 0), (1, text["a"], "en", "s", 0),
+            (2, text["d"], "en", "s", 0), (2, text["e"], "en", "s", 0), (2, text["e"], "en", "s", 0), (None, text["b"], "en", "s", 0),
+            (None, None, "en", "s", 0), (None, text["f"], None, "s", 0), (None, text["f"], "en", None, 0)]
+    got = stage(spark, rows)
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted(
+        [("None", text["b"]), ("None", text["c"]), ("1", text["a"]), ("2", text["d"]), ("2", text["e"]), ("None", "None"),
+         ("None", text["f"])])
