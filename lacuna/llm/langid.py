@@ -4,7 +4,9 @@ Each language is a smoothed distribution over hashed letter trigrams (with word
 counted over all labelled training rows.  A word's likelihood in a language is the
 product over its trigrams; a document is a mixture whose proportions are found by
 expectation-maximisation over its words.  The set of languages is the one with the best
-likelihood after a BIC penalty for each proportion.
+likelihood after a BIC penalty for each proportion.  Sets are nested, in order of the
+proportions over all languages, and may be of any size: a text's larger sets are left
+out only when a bound shows that the penalty outweighs any gain they could have.
 """
 
 from __future__ import annotations
@@ -25,8 +27,6 @@ from lacuna.session import ship
 BUCKETS = 1 << 16
 #: Most languages a model may have (its size bound: 256 x 65,536 x 4 bytes).
 MAX_LANGUAGES = 256
-#: Largest language set tried for one text.
-MAX_MIX = 3
 STEPS = 8
 
 
@@ -110,6 +110,10 @@ def _mixture(like: np.ndarray, base: np.ndarray, owner: np.ndarray, starts: np.n
     return share, np.add.reduceat(total, starts)
 
 
+def _penalty(k: int, words: np.ndarray) -> np.ndarray:
+    return 0.5 * (k - 1) * np.log(words + 1.0) + 2.0 * (k - 1)
+
+
 def mixtures(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Chosen proportions [texts, languages]; a row of zeros where there is no letter."""
     count = table.shape[1]
@@ -122,15 +126,23 @@ def mixtures(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarra
     like = np.exp(np.maximum(word - base[:, None], -200))
     present, starts, words = np.unique(owner, return_index=True, return_counts=True)
     row = np.searchsorted(present, owner)
-    everything = np.ones((len(present), count))
-    share, _ = _mixture(like, base, row, starts, everything, words)
+    share, top = _mixture(like, base, row, starts, np.ones((len(present), count)), words)
+    # The log-likelihood is concave in the proportions, so its slopes here bound it everywhere.
+    slope = np.add.reduceat(like / (like * share[row]).sum(axis=1)[:, None], starts, axis=0) / words[:, None]
+    bound = top + words * np.log(slope.max(axis=1))
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     best, gain = np.zeros_like(share), np.full(len(present), -np.inf)
-    for k in range(1, min(MAX_MIX, count) + 1):
-        share, score = _mixture(like, base, row, starts, (rank < k).astype(np.float64), words)
-        score = score - 0.5 * (k - 1) * np.log(words + 1.0) - 2.0 * (k - 1)
-        better = score > gain
-        best[better], gain[better] = share[better], score[better]
+    for k in range(1, count + 1):
+        open_ = bound - _penalty(k, words) > gain
+        if not open_.any():
+            break
+        at, some = np.flatnonzero(open_[row]), words[open_]
+        share, score = _mixture(like[at], base[at], np.repeat(np.arange(len(some)), some), np.cumsum(some) - some,
+                                (rank[open_] < k).astype(np.float64), some)
+        score = score - _penalty(k, some)
+        better = score > gain[open_]
+        chosen = np.flatnonzero(open_)[better]
+        best[chosen], gain[chosen] = share[better], score[better]
     out[present] = best
     return out, out.max(axis=1)
 
@@ -151,7 +163,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
         given = [t or "" for t in (batch["text"] if not with_row else [r[text_col] for r in batch["row"]])]
         shares, top = mixtures(given, shared.value)
         best = shares.argmax(axis=1) if names else [0] * len(given)
-        sets = [np.flatnonzero(s > 0.005) for s in shares]
+        sets = [np.flatnonzero(s > 0) for s in shares]
         return batch | {
             "lang": [names[b] if t > 0 else "und" for b, t in zip(best, top, strict=True)],
             "score": [min(1.0, float(t)) for t in top], "languages": [[names[i] for i in s] for s in sets],

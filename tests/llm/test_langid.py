@@ -1,3 +1,4 @@
+import numpy as np
 from pyspark.sql import functions as F
 
 from lacuna.llm import langid
@@ -37,3 +38,40 @@ def test_odd_rows(odd, none):
     assert langid.predict(none, model).collect() == []
     empty = langid.learn(none)
     assert {r.lang for r in langid.predict(odd, empty).collect()} == {"und"}
+
+
+def test_mixture_of_four_languages(spark, docs):
+    by = {r.lang: r.text for r in docs.where("length(text) between 1500 and 4000").orderBy("doc_id").collect()}
+    assert set(by) == {"en", "fr", "de", "es"}
+    df = spark.createDataFrame([(1, "\n".join(t[:1000] for _, t in sorted(by.items())))], "doc_id long, text string")
+    row = langid.predict(df, langid.learn(docs)).first()
+    assert set(row.languages) == set(by) and min(row.shares) > 0.15 and abs(sum(row.shares) - 1) < 1e-6
+
+
+def made_up(count, seed):
+    """A model of ``count`` languages with an alphabet of six letters each, and a maker of words."""
+    rng = np.random.default_rng(seed)
+    sets = [[chr(0x4E00 + 6 * i + k) for k in range(6)] for i in range(count)]
+    words = lambda i, n: " ".join("".join(rng.choice(sets[i], 5)) for _ in range(n))
+    counts = np.stack([np.bincount(langid.trigrams([words(i, 2000)])[0], minlength=langid.BUCKETS) for i in range(count)], axis=1)
+    return np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * langid.BUCKETS)).astype(np.float32), words
+
+
+def test_sets_of_any_size():
+    table, words = made_up(9, 1)
+    texts = [" ".join(words(i, 40) for i in range(k)) for k in range(1, 10)]
+    shares, _ = langid.mixtures(texts, table)
+    assert [np.flatnonzero(s).tolist() for s in shares] == [list(range(k)) for k in range(1, 10)]
+
+
+def test_a_small_part_is_reported():
+    table, words = made_up(4, 2)
+    shares, _ = langid.mixtures([words(0, 1000) + " " + words(2, 4)], table)
+    assert np.flatnonzero(shares[0]).tolist() == [0, 2] and shares[0, 2] < 0.005
+
+
+def test_small_part_is_listed_by_predict(spark):
+    table, words = made_up(4, 2)
+    df = spark.createDataFrame([(1, words(0, 1000) + " " + words(2, 4))], "doc_id long, text string")
+    row = langid.predict(df, (["a", "b", "c", "d"], table)).first()
+    assert row.languages == ["a", "c"] and row.shares[1] < 0.005
