@@ -8,19 +8,23 @@ away, and only fingerprints that meet in a cell are compared exactly.
 
 A radius is fixed for three-word shingles only.  For other sizes documents link at an
 exact Jaccard similarity of their shingle sets (``similar``), found without a
-fingerprint: sets that similar share one of their first hashes.
+fingerprint: sets that similar have many of their first hashes in common.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacuna.llm.blocks import keyed
-from lacuna.llm.common import map_batches, pick, settle
+from lacuna.functions.joins import measured_join
+from lacuna.llm import blocks
+from lacuna.llm.blocks import bucket_edges, keyed, note_table, pack_sorted, unpack_sorted
+from lacuna.llm.common import map_batches, parts_for, pick, settle
 from lacuna.llm.graph import connected_components
+from lacuna.session import ship
 
 #: Cells with more fingerprints than this are linked by shared one-bit variants instead of pairs.
 CROWDED = 64
@@ -96,22 +100,84 @@ def _set(text: str, shingle: int) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text.encode("utf-8"), shingle), dtype="<u8"))
 
 
+def _depth(n: int | np.ndarray) -> int | np.ndarray:
+    return np.maximum(1, n // 5)
+
+
 def _head_size(n: int) -> int:
-    """Two sets at Jaccard 4/5 or more have a hash in common among the first so many of each."""
-    return n - (4 * n + 4) // 5 + 1 if n else 0
+    """Two sets at Jaccard 4/5 or more have the ``_depth`` of the smaller in common among the first so many of each."""
+    return n - (4 * n + 4) // 5 + int(_depth(n)) if n else 0
 
 
 def _marked(rows: DataFrame, shingle: int) -> DataFrame:
-    """(id, key, h, node, head): the hash of each row's shingle set, and the first hashes of the set."""
+    """(id, key, h, node, size, head): hash and size of each row's shingle set, and its first hashes.
+
+    ``head`` has the upper five bytes of each hash: it serves to rule sets out, and a
+    hash taken for another one can only keep a set in.
+    """
 
     def run(batch: dict[str, list]) -> dict[str, list]:
         sets = [_set(t, shingle) for t in batch["text"]]
+        heads = [x[:_head_size(len(x))].view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for x in sets]
         return {k: batch[k] for k in ("id", "key", "h")} | {
-            "node": [xxhash.xxh64_intdigest(x.tobytes(), 7) - (1 << 63) for x in sets],
-            "head": [x[:_head_size(len(x))].view("<i8") for x in sets]}
+            "node": [xxhash.xxh64_intdigest(x.tobytes(), 7) - (1 << 63) for x in sets], "size": [len(x) for x in sets], "head": heads}
 
     kind = rows.schema["id"].dataType.simpleString()
-    return map_batches(rows.select("id", "key", "h", "text"), run, f"id {kind}, key bigint, h bigint, node bigint, head array<bigint>")
+    return map_batches(rows.select("id", "key", "h", "text"), run,
+                       f"id {kind}, key bigint, h bigint, node bigint, size bigint, head binary")
+
+
+def _heads(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of a block's heads, end to end, and the row of each."""
+    data = rows.column("head").to_pylist()
+    wide = np.zeros((sum(map(len, data)) // 5, 8), dtype=np.uint8)
+    wide[:, 3:] = np.frombuffer(b"".join(data), dtype=np.uint8).reshape(-1, 5)
+    return wide.view("<u8").reshape(-1), np.repeat(np.arange(len(data)), [len(x) // 5 for x in data])
+
+
+def _ask_heads(rows: pa.Table, buckets: int) -> pa.Table:
+    hashes, n = np.unique(_heads(rows)[0], return_counts=True)
+    number = rows.column("block")[0].as_py()
+    return note_table([{"block": number, "bucket": k, "data": pack_sorted(hashes[a:b]), "more": np.packbits(n[a:b] > 1).tobytes()}
+                       for k, a, b in bucket_edges(hashes, buckets)])
+
+
+def _answer_heads(sent: pa.Table) -> pa.Table:
+    """One bit for each hash: whether two or more sets sent it."""
+    rows = sent.to_pylist()
+    parts = [unpack_sorted(r["data"]) for r in rows]
+    times = [1 + np.unpackbits(np.frombuffer(r["more"], dtype=np.uint8), count=len(p)) for r, p in zip(rows, parts, strict=True)]
+    _, at = np.unique(np.concatenate(parts), return_inverse=True)
+    shared = np.bincount(at, weights=np.concatenate(times))[at] > 1
+    return note_table([{"block": r["block"], "bucket": r["bucket"], "data": np.packbits(x).tobytes()} for r, x in zip(
+        rows, np.split(shared, np.cumsum([len(p) for p in parts])[:-1]), strict=True)])
+
+
+def _keep_heads(rows: pa.Table, given: pa.Table, buckets: int) -> pa.Table:
+    """The block's sets that have enough of their first hashes in common with other sets."""
+    hashes, row = _heads(rows)
+    distinct, at = np.unique(hashes, return_inverse=True)
+    told = {g["bucket"]: g["data"] for g in given.to_pylist()}
+    bits = [np.unpackbits(np.frombuffer(told[k], dtype=np.uint8), count=b - a) for k, a, b in bucket_edges(distinct, buckets)]
+    shared = np.concatenate([np.zeros(0, dtype=np.uint8), *bits])[at]
+    size = rows.column("size").to_numpy()
+    least = _depth((4 * size + 4) // 5)
+    keep = (np.bincount(row, weights=shared, minlength=len(size)) >= least) & (size > 0)
+    return rows.select(["key", "h", "node"]).filter(pa.array(keep))
+
+
+def _candidates(marks: DataFrame) -> DataFrame:
+    """(key, h, node): one row for each set that may have a partner, settled."""
+    spark = marks.sparkSession
+    ship(spark)
+    with blocks.short_lived_shuffles(spark):
+        nodes = settle(marks.drop("id").dropDuplicates(["node"]))
+        parts = parts_for(nodes.agg(F.sum(F.octet_length("head"))).first()[0] or 0, blocks.BLOCK_BYTES // 2)
+        buckets = 3 * parts  # the first hashes are small numbers: most fall into the lower buckets
+        rows = nodes.withColumn("block", F.pmod("node", F.lit(parts)).cast("int"))
+        sent = rows.groupBy("block").applyInArrow(lambda r: _ask_heads(r, buckets), blocks.NOTES)
+        told = settle(blocks.answered(sent, _answer_heads))
+        return settle(blocks.visit(rows, told, lambda r, g: _keep_heads(r, g, buckets), "key bigint, h bigint, node bigint"))
 
 
 def _whole(rows: DataFrame, shingle: int) -> DataFrame:
@@ -140,40 +206,39 @@ def similar(rows: DataFrame, *, shingle: int) -> DataFrame:
     """(id, key, h, root) for every row of (id, text, key, h): ``root`` names its group of near-duplicates.
 
     Rows link when the Jaccard similarity of their shingle sets is 4/5 or more; equal
-    sets and empty texts link too.  No pair is missed: two such sets share one of their
-    first hashes, and no more of a set can be shared than stands in another set at all.
-    Sets that share a first hash are compared with one of them first, that with the
+    sets and empty texts link too.  No pair is missed: two such sets have many of their
+    first hashes in common, and no more of a set can be shared than stands in another
+    set at all.  Sets that share a first hash are compared with one of them first, that with the
     least of its own; after two rounds of that, sets still in different groups are all
     compared.  A large group of near copies is so never expanded into its pairs.
     """
-    marks = settle(_marked(rows, shingle))
-    nodes = marks.dropDuplicates(["node"])
-    met = _shared(nodes.select("node", "key", "h", F.explode("head").alias("token"))).select("node", "key", "h").distinct()
-    sets = settle(_whole(rows.join(settle(met), ["key", "h"]), shingle))
-    common = _shared(sets.select("node", F.explode("hashes").alias("token"))).groupBy("node").agg(F.count("*").alias("common"))
-    sets = settle(sets.join(common, "node").where("5 * common >= 4 * size"))
-    first = F.expr("explode(slice(hashes, 1, cast(size - (4 * size + 4) div 5 + 1 as int)))").alias("token")
-    filed = settle(_shared(sets.select("node", "size", "common", first)))
-    fits = "9 * least(x.common, y.common) >= 4 * (x.size + y.size)"
-    links = filed.where("false").select(F.col("node").alias("a"), F.col("node").alias("b"))
-    tied = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-    def rooted() -> DataFrame:
-        return filed.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    for weight in ("common / size", "xxhash64(node)"):
-        centre = f"max(struct({weight} as w, node, size, common, root)) over (partition by token)"
-        stars = (rooted().withColumn("x", F.expr(centre)).withColumn("y", F.struct("node", "size", "common", "root"))
-                 .where(f"x.root <> y.root and {fits}"))
-        found = _verified(stars.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"), sets)
-        links = settle(links.union(found))
-        tied = settle(connected_components(links, "a", "b"))
-    sized = rooted().groupBy("token", "root").agg(F.count("*").alias("n"))
-    largest = sized.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
-    open_ = settle(rooted().join(largest.select("token", F.col("top.root").alias("top")), "token"))
-    across = (open_.where("root <> top").alias("x").join(open_.alias("y"), F.expr(f"x.token = y.token and x.root <> y.root and {fits}"))
-              .selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"))
-    tied = connected_components(links.union(_verified(across, sets)), "a", "b")
+    with blocks.short_lived_shuffles(rows.sparkSession):
+        marks = settle(_marked(rows, shingle))
+        sets = settle(_whole(measured_join(rows, _candidates(marks), ["key", "h"], limit=64 << 20), shingle))
+        common = _shared(sets.select("node", F.explode("hashes").alias("token"))).groupBy("node").agg(F.count("*").alias("common"))
+        sets = settle(sets.join(common, "node").where("5 * common >= 4 * size"))
+        first = F.expr("explode(slice(hashes, 1, cast(size - (4 * size + 4) div 5 + 1 as int)))").alias("token")
+        filed = settle(_shared(sets.select("node", "size", "common", first)))
+        fits = "9 * least(x.common, y.common) >= 4 * (x.size + y.size)"
+        links = filed.where("false").select(F.col("node").alias("a"), F.col("node").alias("b"))
+        tied = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+        def rooted() -> DataFrame:
+            return filed.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+        for weight in ("common / size", "xxhash64(node)"):
+            centre = f"max(struct({weight} as w, node, size, common, root)) over (partition by token)"
+            stars = (rooted().withColumn("x", F.expr(centre)).withColumn("y", F.struct("node", "size", "common", "root"))
+                     .where(f"x.root <> y.root and {fits}"))
+            found = _verified(stars.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"), sets)
+            links = settle(links.union(found))
+            tied = settle(connected_components(links, "a", "b"))
+        sized = rooted().groupBy("token", "root").agg(F.count("*").alias("n"))
+        largest = sized.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
+        open_ = settle(rooted().join(largest.select("token", F.col("top.root").alias("top")), "token"))
+        across = (open_.where("root <> top").alias("x").join(open_.alias("y"), F.expr(f"x.token = y.token and x.root <> y.root and {fits}"))
+                  .selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"))
+        tied = connected_components(links.union(_verified(across, sets)), "a", "b")
     return marks.join(tied, "node", "left").select("id", "key", "h", F.coalesce("root", "node").alias("root"))
 
 
