@@ -6,9 +6,11 @@ unseen words after the same history, in proportion to their own discounted frequ
 with a weight that makes the sum over the vocabulary and the unknown word exactly one.
 Words that occur in no training text share one unknown word.
 
-Counts live in buckets of the hash: words by their own, pairs by their history, so a
-bucket has all that a history's weight needs.  Blocks of documents send each bucket
-their distinct words and pairs once; nothing is broadcast but a few totals.
+Counts live in buckets of the hash: words by their own, pairs by the hash of both
+words, so the pairs after a frequent word are dealt over all buckets.  One block is told
+to own each pair; it adds the pair to what its history sums up to, and a history costs
+one row of three numbers a block.  Scores are added up within the blocks; nothing is
+broadcast but a few totals.
 """
 
 from __future__ import annotations
@@ -97,13 +99,19 @@ def pair_hash(history: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(history * np.uint64(0x9E3779B97F4A7C15) + (token ^ (token >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
+def pairs_of(t: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pair hashes in rising order, a place where each stands, and the pair of every token."""
+    return np.unique(pair_hash(t.history, t.token), return_index=True, return_inverse=True)
+
+
 def ask_counts(rows: pa.Table, given: pa.Table, buckets: int) -> pa.Table:
-    """Distinct words of the block with their training counts, and distinct training pairs with theirs."""
+    """Distinct words of the block with their training counts, and distinct pairs with theirs."""
     block = Block(rows, given)
     t = Tokens(block)
     words, at = np.unique(t.token, return_inverse=True)
     counts = np.bincount(at[t.train], minlength=len(words))
-    pairs, seen = np.unique(pair_hash(t.history[t.train], t.token[t.train]), return_counts=True)
+    pairs, _, pair = pairs_of(t)
+    seen = np.bincount(pair[t.train], minlength=len(pairs))
     out = []
     for flag, keys, n in ((False, words, counts), (True, pairs, seen)):
         out += [{"block": block.number, "bucket": k, "flag": flag, "data": pack(rises(keys[a:b]), small(n[a:b]))}
@@ -117,7 +125,7 @@ def _ranked(counts: np.ndarray) -> np.ndarray:
 
 
 def answer_counts(sent: pa.Table) -> pa.Table:
-    """Training counts of the words each block asked for, and the bucket's totals (block -1)."""
+    """Training counts of what each block asked for, whether it is the first to ask, and the bucket's totals (block -1)."""
     out, totals = [], []
     for flag in (False, True):
         rows = [r for r in sent.to_pylist() if r["flag"] == flag]
@@ -126,13 +134,14 @@ def answer_counts(sent: pa.Table) -> pa.Table:
             totals.append(np.zeros(LIMIT + 3, dtype=np.int64))
             continue
         keys = np.concatenate([risen(k) for k, _ in parts])
-        distinct, at = np.unique(keys, return_inverse=True)
+        distinct, first, at = np.unique(keys, return_index=True, return_inverse=True)
+        own = np.zeros(len(keys), dtype=bool)
+        own[first] = True
         counts = np.bincount(at, weights=np.concatenate([n for _, n in parts]), minlength=len(distinct)).astype(np.int64)
         totals.append(np.concatenate(([counts.sum(), np.count_nonzero(counts)], _ranked(counts))))
-        if not flag:
-            answers = np.split(counts[at], np.cumsum([len(k) for k, _ in parts])[:-1])
-            out += [{"block": r["block"], "bucket": r["bucket"], "flag": False, "data": pack(small(x))}
-                    for r, x in zip(rows, answers, strict=True)]
+        cuts = np.cumsum([len(k) for k, _ in parts])[:-1]
+        out += [{"block": r["block"], "bucket": r["bucket"], "flag": flag, "data": pack(small(x), np.packbits(o))}
+                for r, x, o in zip(rows, np.split(counts[at], cuts), np.split(own, cuts), strict=True)]
     out.append({"block": -1, "bucket": -1, "data": pack(np.stack(totals))})
     return note_table(out)
 
@@ -175,81 +184,75 @@ class Totals:
         return np.where(counts > 0, self.word_factors[np.minimum(counts, LIMIT + 1)] * counts * self.scale, self.unknown)
 
 
-def ask_pairs(rows: pa.Table, given: pa.Table, buckets: int, ranges: int, totals: Totals) -> pa.Table:
-    """The block's distinct pairs with where they occur, and what needs words only, summed up for each document."""
-    block = Block(rows, given)
-    t = Tokens(block)
-    words, at = np.unique(t.token, return_inverse=True)
-    known = np.concatenate([np.zeros(0, dtype=np.int64), *(
-        unpack(d)[0] for _, d, _ in sorted(block.replies[False], key=lambda r: r[0]))]).astype(np.int64)[at]
-    docs = len(block.sizes)
-    base = np.log10((known + 1) / (totals.tokens + totals.words + 1))
-    alone = pack(t.n_tokens, np.bincount(t.doc, weights=known > 0, minlength=docs).astype(np.int64),
-                 np.bincount(t.doc, weights=base, minlength=docs))
-    out = [{"block": block.number, "bucket": block.number % ranges, "flag": True, "data": alone}]
-    order = np.lexsort((t.token, t.history))
-    history, token = t.history[order], t.token[order]
-    new = np.concatenate(([True], (history[1:] != history[:-1]) | (token[1:] != token[:-1])))
-    first = np.flatnonzero(new)
-    times = np.diff(np.append(first, len(order)))
-    train = np.add.reduceat(t.train[order].astype(np.int64), first)
-    history, token, count = history[first], token[first], known[order][first]
-    doc = t.doc[order]
-    stops = np.append(first, len(order))
-    for k, a, b in bucket_edges(history, ranges):
-        heads = np.flatnonzero(np.concatenate(([True], history[a + 1:b] != history[a:b - 1])))
-        out.append({"block": block.number, "bucket": k, "flag": False, "data": pack(
-            rises(history[a:b][heads]), small(np.diff(np.append(heads, b - a))), token[a:b], small(count[a:b]), small(train[a:b]),
-            small(times[a:b]), small(doc[stops[a]:stops[b]]), np.array([docs]))})
-    return note_table(out)
-
-
-def answer_pairs(sent: pa.Table, totals: Totals) -> pa.Table:
-    """Sums of log10 probability for each document of each block, over the pairs of one bucket."""
-    everything = sent.to_pylist()
-    out = [{"block": r["block"], "flag": True, "data": r["data"]} for r in everything if r["flag"]]
-    rows = [r for r in everything if not r["flag"]]
-    if not rows:
-        return note_table(out)
+class Counted:
+    """A block's tokens with the training counts of its words and pairs, as the buckets told them."""
+
+    def __init__(self, block: Block, replies: list[dict]) -> None:
+        self.t = t = Tokens(block)
+        told = {flag: [unpack(r["data"]) for r in sorted((r for r in replies if r["flag"] == flag), key=lambda r: r["bucket"])]
+                for flag in (False, True)}
+        none = np.zeros(0, dtype=np.int64)
+        _, at = np.unique(t.token, return_inverse=True)
+        self.known = np.concatenate([none, *(n for n, _ in told[False])]).astype(np.int64)[at]
+        _, first, self.pair = pairs_of(t)
+        self.count = np.concatenate([none, *(n for n, _ in told[True])]).astype(np.int64)
+        self.own = np.concatenate([none, *(np.unpackbits(o, count=len(n)) for n, o in told[True])]).astype(bool)
+        self.alone = self.known[first]  # of the pair's second word
+        self.heads, self.head = np.unique(t.history[first], return_inverse=True)
+
+
+def split_notes(given: pa.Table) -> tuple[pa.Table, list[dict], list[dict]]:
+    """The places of the block's rows, what was told of words and pairs, and what was told of histories."""
+    rows = given.to_pylist()
+    told = [r for r in rows if r["ord"] is None]
+    return (note_table([r for r in rows if r["ord"] is not None]), [r for r in told if r["flag"] is not None],
+            [r for r in told if r["flag"] is None])
+
+
+def ask_histories(rows: pa.Table, given: pa.Table, buckets: int, totals: Totals) -> pa.Table:
+    """For each distinct history: training count, discounted count and words' probability over the pairs the block owns."""
+    places, replies, _ = split_notes(given)
+    block = Block(rows, places)
+    c = Counted(block, replies)
+    own = c.own & (c.count > 0)
+    head, n, size = c.head[own], c.count[own], len(c.heads)
+    total = np.bincount(head, weights=n, minlength=size).astype(np.int64)
+    held = np.bincount(head, weights=totals.pair_factors[np.minimum(n, LIMIT + 1)] * n, minlength=size)
+    alone = np.bincount(head, weights=totals.word(c.alone[own]), minlength=size)
+    return note_table([{"block": block.number, "bucket": k, "data": pack(rises(c.heads[a:b]), small(total[a:b]), held[a:b], alone[a:b])}
+                       for k, a, b in bucket_edges(c.heads, buckets)])
+
+
+def answer_histories(sent: pa.Table) -> pa.Table:
+    """Divisor of the discounted counts, and weight of the unseen words, for the histories each block asked for."""
+    rows = sent.to_pylist()
     parts = [unpack(r["data"]) for r in rows]
-    history = np.concatenate([np.repeat(risen(p[0]), p[1]) for p in parts])
-    keys = pair_hash(history, np.concatenate([p[2] for p in parts]))
-    _, first, at = np.unique(keys, return_index=True, return_inverse=True)
-    count = np.bincount(at, weights=np.concatenate([p[4] for p in parts])).astype(np.int64)
-    alone = totals.word(np.concatenate([p[3] for p in parts]).astype(np.int64)[first])
-    heads, head = np.unique(history[first], return_inverse=True)
-    total = np.bincount(head, weights=count)
-    safe = np.maximum(total, 1)
-    seen = totals.pair_factors[np.minimum(count, LIMIT + 1)] * count / safe[head]
-    mass = np.bincount(head, weights=seen)
+    _, at = np.unique(np.concatenate([risen(p[0]) for p in parts]), return_inverse=True)
+    total, held, alone = (np.bincount(at, weights=np.concatenate([p[k] for p in parts])) for k in (1, 2, 3))
+    mass = held / np.maximum(total, 1)
     keep = np.where(1 - mass < 1e-12, total / (total + 1), 1.0)  # all counts large: one more, for the unseen
-    seen, mass = seen * keep[head], mass * keep
-    rest = 1 - np.bincount(head, weights=np.where(count > 0, alone, 0.0))
-    weight = np.where(total > 0, (1 - mass) / np.maximum(rest, 1e-300), 1.0)
-    score = np.log10(np.where(count > 0, seen, weight[head] * alone))[at]
-    sizes = np.cumsum([len(p[2]) for p in parts])[:-1]
-    for r, p, s in zip(rows, parts, np.split(score, sizes), strict=True):
-        sums = np.bincount(p[6], weights=np.repeat(s, p[5]), minlength=int(p[7][0]))
-        out.append({"block": r["block"], "flag": False, "data": sums.tobytes()})
-    return note_table(out)
-
-
-def answer_documents(rows: pa.Table, given: pa.Table, tokens: int) -> pa.Table:
-    place, sums, alone = {}, 0.0, None
-    for g in given.to_pylist():
-        if g["ord"] is not None:
-            place[g["key"], g["h"]] = g["ord"], g["flag"]
-        elif g["flag"]:
-            alone = unpack(g["data"])
-        else:
-            sums = sums + np.frombuffer(g["data"])
-    number = {k: n for n, k in enumerate(sorted(place, key=lambda k: place[k][0]))}
-    keys = list(zip(rows.column("key").to_pylist(), rows.column("h").to_pylist(), strict=True))
-    at = np.array([number[k] for k in keys], dtype=np.int64)
-    held = [place[k][1] for k in keys]
+    weight = np.where(total > 0, (1 - mass * keep) / np.maximum(1 - alone, 1e-300), 1.0)
+    scale = keep / np.maximum(total, 1)
+    cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
+    return note_table([{"block": r["block"], "bucket": r["bucket"], "data": pack(x, y)} for r, x, y in zip(
+        rows, np.split(scale[at], cuts), np.split(weight[at], cuts), strict=True)])
+
+
+def answer_documents(rows: pa.Table, given: pa.Table, totals: Totals) -> pa.Table:
+    places, replies, histories = split_notes(given)
+    block = Block(rows, places)
+    c = Counted(block, replies)
+    t, docs = c.t, len(block.sizes)
+    told = [unpack(r["data"]) for r in sorted(histories, key=lambda r: r["bucket"])]
+    scale, weight = (np.concatenate([x[k] for x in told])[c.head] for k in (0, 1))
+    seen = totals.pair_factors[np.minimum(c.count, LIMIT + 1)] * c.count * scale
+    log = np.log10(np.where(c.count > 0, seen, weight * totals.word(c.alone)))
+    base = np.log10((c.known + 1) / (totals.tokens + totals.words + 1))
+    at = np.array([block.row_doc[k] for k in block.keys], dtype=np.int64)
+    sums = [np.bincount(t.doc, weights=x, minlength=docs)[at] for x in (c.known > 0, base, log[c.pair])]
     return pa.Table.from_arrays(
-        [rows.column("id"), pa.array(held, pa.bool_()), pa.array(alone[0][at]), pa.array(alone[1][at]),
-         pa.array([tokens] * len(at), pa.int64()), pa.array(alone[2][at]), pa.array(sums[at])],
+        [rows.column("id"), pa.array(block.flags[at]), pa.array(t.n_tokens[at]), pa.array(sums[0].astype(np.int64)),
+         pa.array([totals.tokens] * len(at), pa.int64()), pa.array(sums[1]), pa.array(sums[2])],
         names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
@@ -271,7 +274,6 @@ def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col
     with blocks.short_lived_shuffles(spark):
         known = settle(blocks.ordered(rows.withColumn("n", F.octet_length("text")), "held", "n"))
         parts = parts_for(known.agg(F.sum("n")).first()[0] or 0, block_bytes)
-        ranges = parts_for(parts, 3)
         number = F.pmod("key", F.lit(parts)).cast("int").alias("block")
         places = settle(blocks.notes(spark, known.select(number, "key", "h", "ord", F.col("held").alias("flag"))))
         rows = rows.drop("held").withColumn("block", number)
@@ -281,10 +283,11 @@ def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col
     for row in told.where("block = -1").select("data").toLocalIterator():
         sums += unpack(row[0])[0]
     totals = Totals.of(sums)
-    sent = blocks.visit(rows, places.union(told.where("block >= 0")), lambda r, g: ask_pairs(r, g, parts, ranges, totals),
-                        blocks.NOTES)
-    summed = blocks.answered(sent, lambda s: answer_pairs(s, totals))
+    given = places.union(told.where("block >= 0"))
+    with blocks.short_lived_shuffles(spark):
+        sent = blocks.visit(rows, given, lambda r, g: ask_histories(r, g, parts, totals), blocks.NOTES)
+        weights = settle(blocks.answered(sent, answer_histories))
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
               "score double")
-    return blocks.visit(rows.drop("text"), places.union(summed), lambda r, g: answer_documents(r, g, totals.tokens), schema)
+    return blocks.visit(rows, given.union(weights), lambda r, g: answer_documents(r, g, totals), schema)

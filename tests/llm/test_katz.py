@@ -4,10 +4,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lacuna.llm import katz
+from lacuna.llm import blocks, katz
 
 
 class Brute:
@@ -78,3 +79,19 @@ def test_odd_rows(odd, none):
     assert katz.score(none, F.lit(False)).collect() == []
     alone = katz.score(odd, F.lit(True)).collect()
     assert len(alone) == odd.count() and all(r.score == 0 and r.n_known == 0 for r in alone)
+
+
+def test_a_frequent_history_is_dealt_over_the_buckets(spark):
+    """No bucket is sent a large part of the pairs after one word, nor a number for each occurrence."""
+    text = " ".join(f"the w{i}" for i in range(3000)) + " the same" * 3000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = blocks.keyed(df, "doc_id", "text").first()
+    given = blocks.note_table([{"block": 0, "key": row.key, "h": row.h, "ord": 0, "flag": False}])
+    rows = pa.table({"id": [1], "text": [text], "key": [row.key], "h": [row.h], "block": pa.array([0], pa.int32())})
+    sent = katz.ask_counts(rows, given, 16).to_pylist()
+    sizes = [len(katz.unpack(r["data"])[0]) for r in sent if r["flag"]]
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+    told = katz.answer_counts(blocks.note_table(sent)).to_pylist()
+    totals = katz.Totals.of(katz.unpack(told[-1]["data"])[0])
+    asked = katz.ask_histories(rows, blocks.note_table([*given.to_pylist(), *told[:-1]]), 1, totals).to_pylist()
+    assert len(asked) == 1 and len(katz.unpack(asked[0]["data"])[0]) == 3003  # words as histories, "the", "same", start sign
