@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, html, katz, langid, pii, secrets, simhash, sketch, substrings
+from lacuna.llm import bpe, decontaminate, html, katz, langid, pii, secrets, shards, simhash, sketch, substrings
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,35 @@ def op10_sketch(spark: SparkSession, folder: str) -> DataFrame:
         sketch.fingerprint("own_cells").alias("fingerprint"), sketch.fingerprint("changed_cells").alias("edited_fingerprint"),
         sketch.likeness("own", "changed", "apart").alias("near_edited"),
         sketch.likeness("own", "following", "apart_next").alias("near_next"))
+
+
+@query
+def op11_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.assign(table(spark, folder, "documents"), 16)
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: CRC-32 of a byte list in DuckDB: ``tab`` is the table of the polynomial, ``bytes`` the list.
+CRC_TABLE = """(SELECT list(v ORDER BY i) AS tab FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode({text})), '..'),
+    lambda x: ('0x' || x)::BIGINT)), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295)"""
+
+SQL["op11_shards"] = f"""
+WITH r AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {CRC.format(text="coalesce(text, '')")} AS crc,
+                  ('0x' || left(md5(coalesce(text, '')), 15))::BIGINT AS g,
+                  ('0x' || left(md5(coalesce(doc_id::VARCHAR, '')), 15))::BIGINT AS m
+           FROM documents, {CRC_TABLE} t),
+o AS (SELECT *, sum(size) OVER (ORDER BY g, m ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total FROM r),
+ends AS (SELECT upto::BIGINT AS b, total, upto = max(upto) OVER (PARTITION BY g) AS whole FROM o
+         UNION ALL SELECT 0, max(total), true FROM o),
+near AS (SELECT j, total, whole, arg_min(b, (abs(16 * b - j * total), b)) AS b
+         FROM (SELECT j, b, total, w AS whole FROM ends, range(1, 16) k(j), (VALUES (true), (false)) v(w) WHERE whole OR NOT w)
+         GROUP BY ALL),
+cuts AS (SELECT j, coalesce(max(b) FILTER (whole AND abs(16 * b - j * total) * 100 <= total),
+                            max(b) FILTER (NOT whole)) AS cut FROM near GROUP BY j),
+placed AS (SELECT o.*, (SELECT count(*) FROM cuts WHERE cut <= upto - size) AS shard FROM o)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY upto) - 1 AS slot, NULL::INT AS grown_shard
+FROM placed"""
