@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, html, katz, langid, pii, secrets, shards, simhash, sketch, substrings
+from lacuna.llm import bpe, decontaminate, html, katz, langid, pii, ranked, secrets, shards, simhash, sketch, substrings
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,26 @@ placed AS (SELECT o.*, (SELECT count(*) FROM cuts WHERE cut <= upto - size) AS s
 SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard,
        row_number() OVER (PARTITION BY shard ORDER BY upto) - 1 AS slot, NULL::INT AS grown_shard
 FROM placed"""
+
+
+@query
+def op12_ranked(spark: SparkSession, folder: str) -> DataFrame:
+    found = ranked.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
+SQL["op12_ranked"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+q AS (SELECT item_id, t, count(*) AS times FROM (
+          SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark) GROUP BY ALL),
+size AS (SELECT r, doc_id, count(*) AS n FROM d GROUP BY ALL),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+tf AS (SELECT r, t, count(*) AS tf FROM d WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY t),
+m AS (SELECT r, doc_id, 25 + (75 * n * docs) // terms AS m FROM size, whole),
+s AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN tf USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10"""
