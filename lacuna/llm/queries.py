@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.llm import bpe, decontaminate, html, katz, langid, pii, ranked, secrets, shards, simhash, sketch, substrings
+from lacuna.llm import bpe, decontaminate, html, katz, langid, pii, ranked, repair, secrets, shards, simhash, sketch, substrings
 from lacuna.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,62 @@ s AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * t
       FROM q JOIN tf USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL)
 SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
 FROM s WHERE score > 0 QUALIFY rank <= 10"""
+
+
+@query
+def op13_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return repair.repair(repair.damage(rows), rows).withColumnRenamed("conv", "conv_id")
+
+
+SQL["op13_conversations"] = rf"""
+WITH RECURSIVE c AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {CRC.format(text="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS deal
+    FROM conversations, {CRC_TABLE} t),
+d AS (SELECT conv_id, turn, CASE deal WHEN 4 THEN 'user' ELSE role END AS role,
+             CASE deal WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM c, range(2) k(again) WHERE deal <> 0 AND (again = 0 OR deal = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+             left(role, 1) AS x, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM d),
+f AS (SELECT *, CASE WHEN said = '' THEN 'b'
+                     WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                     WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+             x IS NOT NULL AND lag(x) OVER w || x NOT IN ('su', 'ua', 'au') AS bad
+      FROM o WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+ins(p, q, e, cost) AS (VALUES (0, 0, '', 0), (0, 2, 'I', 5), (0, 3, 'II', 10), (1, 1, '', 0), (1, 2, 'I', 5),
+                       (1, 3, 'II', 10), (2, 2, '', 0), (2, 3, 'I', 5), (3, 3, '', 0), (3, 2, 'I', 5)),
+op(p, q, e, x, cost) AS (VALUES (0, 0, 'D', '', 2), (1, 1, 'D', '', 2), (2, 2, 'D', '', 2), (3, 3, 'D', '', 2),
+                         (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0), (2, 3, 'K', 'a', 0),
+                         (0, 2, 'R', '', 1), (1, 2, 'R', '', 1), (3, 2, 'R', '', 1), (2, 3, 'R', '', 1)),
+step AS (SELECT ins.p, op.q, ins.e || op.e AS e, op.x, ins.cost + op.cost AS cost FROM ins JOIN op ON ins.q = op.p),
+run(conv_id, i, p, cost, audit) AS (
+    SELECT DISTINCT conv_id, 0::BIGINT, 0, 0, '' FROM conversations
+    UNION ALL
+    SELECT conv_id, i, q, cost, audit FROM (
+        SELECT run.conv_id, f.i, step.q, run.cost + step.cost + CASE WHEN fault = 't' AND right(e, 1) <> 'D' THEN 5 ELSE 0 END AS cost,
+               run.audit || step.e AS audit,
+               row_number() OVER (PARTITION BY run.conv_id, step.q ORDER BY run.cost + step.cost
+                   + CASE WHEN fault = 't' AND right(e, 1) <> 'D' THEN 5 ELSE 0 END, run.audit || step.e) AS place
+        FROM run JOIN f ON f.conv_id IS NOT DISTINCT FROM run.conv_id AND f.i = run.i + 1
+                 JOIN step ON step.p = run.p AND (step.x = '' OR step.x = f.x) AND (fault NOT IN ('b', 'd') OR right(e, 1) = 'D')
+    ) WHERE place = 1),
+ended AS (SELECT conv_id, run.cost + ins.cost AS cost, audit || e AS audit FROM run JOIN ins ON ins.p = run.p AND ins.q IN (0, 3)
+          WHERE i = (SELECT count(*) FROM d WHERE d.conv_id IS NOT DISTINCT FROM run.conv_id)),
+best AS (SELECT * FROM ended QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1),
+edits AS (SELECT conv_id, k, audit[k] AS e, count(*) FILTER (audit[k] <> 'I') OVER w AS i, count(*) FILTER (audit[k] <> 'D') OVER w AS n
+          FROM (SELECT conv_id, audit, unnest(range(1, len(audit) + 1)) AS k FROM best)
+          WINDOW w AS (PARTITION BY conv_id ORDER BY k)),
+made AS (SELECT edits.conv_id, n, e, f.role, CASE WHEN e = 'I' THEN '' ELSE f.text END AS text,
+                coalesce(max((n = 1 AND e = 'K' AND x = 's')::INT) OVER (PARTITION BY edits.conv_id), 0) AS s
+         FROM edits LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM edits.conv_id AND f.i = edits.i WHERE e <> 'D'),
+hashed AS (SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (n - s) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                  || ':' || text, chr(10) ORDER BY n)) AS sha FROM made GROUP BY conv_id),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                   count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                   count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (bad) AS illegal FROM f GROUP BY conv_id)
+SELECT best.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost::BIGINT AS cost, audit,
+       coalesce(sha, sha256('')) AS repaired_sha256
+FROM best LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM best.conv_id
+          LEFT JOIN hashed ON hashed.conv_id IS NOT DISTINCT FROM best.conv_id"""
