@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lacuna.plans.registry import query, table
 from lacuna.session import work_dir
-from lacuna.streaming import sinks, status
+from lacuna.streaming import gate, sinks, status
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -97,3 +97,26 @@ def superseded(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("o_custkey") % 25).alias("source"), F.col("o_custkey").alias("run"), F.col("o_orderkey").alias("volume"), "o_orderstatus", "o_totalprice")
     waiters = orders.where("o_orderstatus = 'P'").select("source", "run", "volume")
     return status.release_superseded(waiters, orders.where("o_totalprice > 200000"))
+
+
+@query("""WITH e AS (SELECT user_id % 25 AS source, user_id AS run, CAST(floor(value) AS BIGINT) % 3 AS volume, ts, event_type FROM events
+    WHERE event_type IN ('signup', 'purchase', 'error')),
+  w AS (SELECT DISTINCT source, run, volume, ts FROM e WHERE event_type = 'signup'),
+  r AS (SELECT w.*, min(e.ts) AS ready_ts FROM w JOIN e ON e.event_type = 'purchase' AND (e.source, e.run, e.volume) = (w.source, w.run, w.volume)
+    AND e.ts BETWEEN w.ts AND w.ts + INTERVAL 6 HOUR GROUP BY ALL),
+  a AS (SELECT w.*, min(e.ts) AS new_ts, arg_min(e.run, (e.ts, -e.run)) AS new_run FROM w JOIN e ON e.event_type = 'error' AND e.source = w.source AND e.run > w.run
+    AND e.ts BETWEEN w.ts AND w.ts + INTERVAL 6 HOUR GROUP BY ALL),
+  d AS (SELECT w.*, ready_ts, new_ts, new_run, least(ready_ts, new_ts, w.ts + INTERVAL 6 HOUR) AS decided_ts
+    FROM w LEFT JOIN r USING (source, run, volume, ts) LEFT JOIN a USING (source, run, volume, ts))
+SELECT source, run, volume, ts, decided_ts, CASE decided_ts WHEN ready_ts THEN 'ready' WHEN new_ts THEN 'released' ELSE 'timeout' END AS outcome,
+  CASE WHEN decided_ts = new_ts AND decided_ts IS DISTINCT FROM ready_ts THEN new_run END AS newer_run
+FROM d WHERE decided_ts <= (SELECT date_trunc('millisecond', max(ts)) FROM e) - INTERVAL 10 MINUTE""")
+def stream_supersede(spark: SparkSession, folder: str) -> DataFrame:
+    """Waiters released by a newer run of their source, unless their data comes first."""
+    volume = F.floor("value") % 3
+    source, run, ts = F.col("user_id") % 25, F.col("user_id"), F.col("ts")
+    kinds = {"signup": gate.WAIT, "purchase": gate.READY, "error": gate.ACQUIRED}
+    kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[F.col("event_type")]
+    events = event_stream(spark, folder).where(F.col("event_type").isin(*kinds)).select(
+        *gate.event(kind, source, run, ts, F.when(F.col("event_type") != "error", volume)))
+    return drain(spark, gate.gate(events, "6 HOURS", shares=4))
