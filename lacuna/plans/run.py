@@ -141,10 +141,5 @@ def study_scale(images: DataFrame) -> DataFrame:
 
 def _earlier(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
     """Stored state and the next attempt number."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        last = spark.read.option("basePath", path).parquet(path).agg(F.max("attempt")).first()[0]
-    except AnalysisException:
-        last = None
-    return (None, 1) if last is None else (st.read_state(spark, path), int(last) + 1)
+    last = st.last_attempt(spark, path)
+    return (None, 1) if last is None else (st.read_state(spark, path), last + 1)

@@ -3,7 +3,8 @@
     register(spark)
     spark.read.format("lacuna_blocks").option("table", "trace").load(path)
 
-``table`` is ``file_header``, ``block_header`` or ``trace`` (default).  ``path``
+``table`` is ``file_header``, ``block_header``, ``tag`` (the bytes that name an acquisition:
+file header, block header and the first samples) or ``trace`` (default).  ``path``
 is a file, a folder or a glob on any file system pyarrow can open.  A file is
 split by byte range: a task reads the 32-byte header itself and emits the traces
 that start in its range, so the driver only lists names and sizes, and one huge
@@ -53,12 +54,15 @@ class Record:
 
 FILE_HEADER = Record(">5iIhhi")
 BLOCK_HEADER = Record(">4hi4f")
+#: Bytes of samples in a tag.
+TAG_SAMPLES = 40
 
 SCHEMAS = {
     "file_header": "path string, file_bytes bigint, nblocks int, ntraces int, npoints int, bytes_per_element int, "
                    "bytes_per_trace int, bytes_per_block bigint, version int, status int, nblock_headers int",
     "block_header": "path string, block int, scale int, status int, block_index int, mode int, ctcount int, "
                     "lpval float, rpval float, lvl float, tlt float, has_data boolean",
+    "tag": "path string, block int, has_data boolean, tag binary",
     "trace": "path string, block int, trace int, re array<double>, im array<double>",
 }
 
@@ -237,9 +241,18 @@ class BlockReader(DataSourceReader):
             with _open(span.path) as handle:
                 f = FILE_HEADER.unpack(handle.read_at(FILE_HEADER.size, 0))
             yield (span.path, span.size, *f)
+        elif self.table == "tag":
+            yield from self._tags(span)
         else:
             yield from self._block_headers(span)
 
+    def _tags(self, span: Span):
+        with _open(span.path) as handle:
+            layout, head = Layout.read(handle), handle.read_at(FILE_HEADER.size, 0)
+            for row in self._block_headers(span):
+                start = layout.block_start(row[1])
+                yield (span.path, row[1], row[-1], head + handle.read_at(min(BLOCK_HEADER.size + TAG_SAMPLES, span.size - start), start))
+
     def _block_headers(self, span: Span):
         with _open(span.path) as handle:
             layout = Layout.read(handle)

@@ -7,6 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lacuna.sources.commits import publish_once, published
+
+__all__ = ["append_log", "publish_once", "read_complex", "read_published", "write_complex", "write_images", "write_manifest",
+           "write_timing"]
+
 
 def write_images(images: DataFrame, path: str) -> None:
     """16-bit magnitude slices by volume; volumes written again are replaced whole."""
@@ -26,14 +31,9 @@ def read_complex(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumns({c: F.col(c).cast("array<double>") for c in ("re", "im")})
 
 
-def publish_once(scalar: DataFrame, path: str) -> None:
-    """First writer wins; later calls leave the published row as it is."""
-    scalar.write.mode("ignore").parquet(path)
-
-
 def read_published(spark: SparkSession, path: str, column: str = "scale") -> Column:
     """The published value as a scalar subquery."""
-    return spark.read.parquet(path).agg(F.first(column)).scalar()
+    return published(spark, path).agg(F.first(column)).scalar()
 
 
 def write_timing(timing: DataFrame, path: str) -> None:

@@ -1,11 +1,17 @@
-"""Resumable work state: append-only Parquet attempts, the newest one counts."""
+"""Resumable work state: attempts in a log of live folders, the newest one of a slice counts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-STATE_DDL = "volume int, slice bigint, iterations int, re array<double>, im array<double>, attempt int"
+from lacuna.sources.commits import Log
+
+STATE_DDL = "volume int, slice bigint, iterations int, re array<double>, im array<double>"
+
+
+def state_log(spark: SparkSession, path: str, most: int = 16) -> Log:
+    return Log(spark, path, STATE_DDL, ("volume", "slice"), most)
 
 
 def allocate(plan: DataFrame) -> DataFrame:
@@ -15,14 +21,25 @@ def allocate(plan: DataFrame) -> DataFrame:
         "volume", "slice", F.lit(0).alias("iterations"), empty.alias("re"), empty.alias("im"))
 
 
-def append_attempt(rows: DataFrame, path: str, attempt: int) -> None:
-    """One attempt; the commit is atomic and a re-run of the attempt replaces it."""
-    (rows.select("volume", "slice", "iterations", "re", "im").write.mode("overwrite")
-     .option("compression", "lz4").parquet(f"{path}/attempt={attempt}"))
+def append_attempt(rows: DataFrame, path: str, attempt: int, most: int = 16) -> None:
+    """One attempt; the commit is atomic and a re-run of the attempt replaces it.
+
+    Beyond ``most`` live folders the newest are folded into one, so reads stay cheap
+    however many attempts there were.
+    """
+    log = state_log(rows.sparkSession, path, most)
+    log.append(rows, attempt)
+    log.compact()
+
+
+def last_attempt(spark: SparkSession, path: str) -> int | None:
+    """Number of the newest attempt, from the log alone."""
+    return max((p.attempt for p in state_log(spark, path).snapshot().parts), default=None)
 
 
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).schema(STATE_DDL).parquet(path)
+    """Rows of the live folders with their ``attempt``."""
+    return state_log(spark, path).read()
 
 
 def header(spark: SparkSession, path: str) -> DataFrame:
@@ -32,8 +49,7 @@ def header(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    newest = header(spark, path).select("volume", "slice", "attempt")
-    return read_attempts(spark, path).join(newest, ["volume", "slice", "attempt"]).drop("attempt")
+    return state_log(spark, path).current().select("volume", "slice", "iterations", "re", "im")
 
 
 def remaining(header_rows: DataFrame, limit: int) -> DataFrame:
