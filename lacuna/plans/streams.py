@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lacuna.plans.registry import query, table
 from lacuna.session import work_dir
-from lacuna.streaming import gate, sinks, status
+from lacuna.streaming import admission, gate, sinks, status
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,3 +120,28 @@ def stream_supersede(spark: SparkSession, folder: str) -> DataFrame:
     events = event_stream(spark, folder).where(F.col("event_type").isin(*kinds)).select(
         *gate.event(kind, source, run, ts, F.when(F.col("event_type") != "error", volume)))
     return drain(spark, gate.gate(events, "6 HOURS", shares=4))
+
+
+PLACES, WEEKS = 6, 5
+
+
+@query(f"""WITH RECURSIVE r AS (SELECT o_custkey % 30 AS run, count(*) AS total FROM orders GROUP BY 1),
+  e AS (SELECT user_id % 30 AS run, least((day(ts) - 1) // 7, {WEEKS - 1}) + 2 AS trigger, count(*) AS n FROM events WHERE event_type = 'purchase' AND value > 30 GROUP BY ALL),
+  q AS (SELECT run, 1::BIGINT AS trigger, total, least(total, {PLACES}) AS a, 0::BIGINT AS f FROM r
+    UNION ALL SELECT run, trigger, total, least(total, f + {PLACES}), f FROM (
+      SELECT q.run, q.trigger + 1 AS trigger, total, q.f + least(q.a - q.f, coalesce(n, 0)) AS f
+      FROM q LEFT JOIN e ON e.run = q.run AND e.trigger = q.trigger + 1 WHERE q.trigger <= {WEEKS})),
+  d AS (SELECT run, trigger, a - lag(a, 1, 0) OVER w AS admitted, f - lag(f, 1, 0) OVER w AS finished, a - f AS in_flight FROM q WINDOW w AS (PARTITION BY run ORDER BY trigger))
+SELECT run, trigger::INTEGER AS trigger, admitted::BIGINT AS admitted, finished::BIGINT AS finished, in_flight::BIGINT AS in_flight FROM d WHERE admitted > 0 OR finished > 0""")
+def stream_admission(spark: SparkSession, folder: str) -> DataFrame:
+    """Volumes of a run start as others finish, week by week; never more than six are in flight."""
+    path = work_dir(spark, "finished")
+    events = table(spark, folder, "events").where("event_type = 'purchase' AND value > 30")
+    week = F.least(F.floor((F.dayofmonth("ts") - 1) / 7), F.lit(WEEKS - 1))
+    for i in range(WEEKS):
+        events.where(week == i).select((F.col("user_id") % 30).alias("run")).coalesce(1).write.parquet(f"{path}/week{i}")
+    finished = spark.readStream.schema("run bigint").option("maxFilesPerTrigger", 1).parquet(f"{path}/week*")
+    requests = table(spark, folder, "orders").select((F.col("o_custkey") % 30).alias("run"), F.col("o_orderkey").alias("volume"))
+    log = admission.admissions(spark, work_dir(spark, "admitted"))
+    admission.admit_stream(requests, finished.withColumn("n", F.lit(1)), log, PLACES, work_dir(spark, "checkpoint"))
+    return admission.load(log.read())

@@ -144,15 +144,19 @@ class Log:
         rows.write.option("compression", "lz4").parquet(f"{self.path}/{folder}")
         return Part(folder, attempt, self.spark.read.parquet(f"{self.path}/{folder}").count(), folded)
 
-    def append(self, rows: DataFrame, attempt: int | None = None) -> Snapshot:
-        """The rows of one attempt, seen whole or not at all.
+    def append(self, rows: DataFrame, attempt: int | None = None, on: Snapshot | None = None) -> Snapshot:
+        """The rows of one attempt, seen whole or not at all; gives the snapshot that is newest then.
 
         An attempt may come late and may replace itself until it has been folded.  Without
-        a number it gets the next one in the moment it counts.
+        a number it gets the next one in the moment it counts.  Rows that rest on what a
+        snapshot holds name it as ``on``: if it is not the newest any more, nothing is
+        appended, and the snapshot given back does not have the attempt.
         """
         part = self._write(rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema)), attempt or 0)
 
-        def change(parts: tuple[Part, ...]) -> tuple[Part, ...]:
+        def change(parts: tuple[Part, ...]) -> tuple[Part, ...] | None:
+            if on is not None and parts != on.parts:
+                return None
             if attempt is None:
                 return *parts, replace(part, attempt=1 + max((p.attempt for p in parts), default=0))
             if any(low <= attempt <= high for p in parts for low, high in p.folded):
