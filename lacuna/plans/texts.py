@@ -140,6 +140,27 @@ def parameter_scan(spark: SparkSession, folder: str) -> DataFrame:
                        F.when(F.size("strs") > 0, F.array_join("strs", "|")).alias("first_text"), "complete")
 
 
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS run, key, CAST(declared AS INTEGER) AS declared, numbers, texts, complete FROM (
+  SELECT p_partkey, 'bad' AS key, 3 AS declared, p_size::DOUBLE AS numbers, NULL AS texts, false AS complete FROM part
+  UNION ALL SELECT p_partkey, 'exact', 2, p_size - 0.5, NULL, true FROM part
+  UNION ALL SELECT p_partkey, 'open', 1, 0, concat('no end of ', p_brand), true FROM part
+  UNION ALL SELECT p_partkey, 'said', 2, 0, concat('"', p_type, '"|7 up'), true FROM part
+  UNION ALL SELECT p_partkey, 'many', 1, 0, 'one', true FROM part
+  UNION ALL SELECT p_partkey, 'few', 1 + p_partkey % 3, 0, 'only', p_partkey % 3 = 0 FROM part
+  UNION ALL SELECT p_partkey, 'uncounted', 0, 0, NULL, true FROM part
+  UNION ALL SELECT p_partkey, 'last', 4, 0, NULL, false FROM part)""")
+def parameter_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """What is kept of records with bad numbers, open quotes, and too many or too few values."""
+    k = F.col("p_partkey")
+    body = F.concat(
+        F.lit("7 stray 1\n\"stray\"\nbad 1 2\n3 "), F.col("p_size"), F.lit(" 1x 5\nexact\n2 -.5 "), F.col("p_size"), F.lit("e0\nopen\r\n1 \"no end of "),
+        F.col("p_brand"), F.lit("\r\n0\n\nsaid\n2 \"'"), F.col("p_type"), F.lit("'\"\n  \"7 up\" 0\nmany\n1 \"one\"\n\"two\"\nfew\n"), 1 + k % 3,
+        F.lit(" \"only\"\nuncounted\n\n  last 9\n4"))
+    rows = pr.parse_params(table(spark, folder, "part").select(k.alias("run"), body.alias("text")))
+    return rows.select("run", "key", "declared", F.aggregate("nums", F.lit(0.0), lambda a, v: a + v).alias("numbers"),
+                       F.when(F.size("strs") > 0, F.array_join("strs", "|")).alias("texts"), "complete")
+
+
 @query("""SELECT CAST(p_partkey AS VARCHAR) AS run, CASE WHEN p_partkey % 4 = 0 THEN 6.0::DOUBLE ELSE 1.0::DOUBLE + p_partkey % 8 END AS numshots, CASE WHEN p_partkey % 3 = 0 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS accfactor,
   (CASE WHEN p_partkey % 4 = 0 THEN 6.0::DOUBLE ELSE 1.0::DOUBLE + p_partkey % 8 END) / (CASE WHEN p_partkey % 3 = 0 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END) AS navechoes FROM part""")
 def parameter_defaults(spark: SparkSession, folder: str) -> DataFrame:

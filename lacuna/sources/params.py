@@ -2,59 +2,44 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SCHEMA = "run string, key string, declared int, nums array<double>, strs array<string>, complete boolean"
-
-
-def _numbers(text: str) -> list[float]:
-    """Numbers up to the first word that is none; the shorter list makes the key incomplete."""
-    out: list[float] = []
-    for word in text.split():
-        try:
-            out.append(float(word))
-        except ValueError:
-            break
-    return out
-
-
-def _entries(text: str) -> Iterator[tuple[str, int, list[float], list[str]]]:
-    lines = iter(text.splitlines())
-    for line in lines:
-        head = line.split(None, 1)
-        if not head or head[0][0].isdigit() or head[0][0] == '"':
-            continue
-        count, _, rest = next(lines, "0").strip().partition(" ")
-        size = int(count) if count.isdigit() else 0
-        rest = rest.strip()
-        if rest and rest[0] != '"':
-            yield head[0], size, _numbers(rest), []
-            continue
-        strings = []
-        for i in range(size):
-            found = re.match(r'\s*"([^"]*)"', rest)
-            if not found:
-                break
-            strings.append(found.group(1))
-            rest = next(lines, "") if i < size - 1 else ""
-        yield head[0], size, [], strings
+#: A line that starts with neither a digit nor a quote opens a record.
+KEY_LINE = r"(?m)(?=^[ \t]*[^\s0-9\"])"
+NUMBER = r"(?i)^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
 
 
 def parse_params(files: DataFrame, run: str = "run", text: str = "text") -> DataFrame:
-    """One row per key of each file; ``complete`` is false where the count is wrong."""
-
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [(r, k, n, nums, strs, n == len(nums) + len(strs))
-                    for r, t in zip(pdf["run"], pdf["text"]) for k, n, nums, strs in _entries(t or "")]
-            yield pd.DataFrame(rows, columns=["run", "key", "declared", "nums", "strs", "complete"])
+    """(run, key, declared, nums, strs, complete): one row per key of each file.
 
-    return files.select(F.col(run).cast("string").alias("run"), F.col(text).alias("text")).mapInPandas(parse, SCHEMA)
+    A file is split at its key lines, so every record is parsed on its own.  Its second
+    line holds the count and the numbers or the first string; more strings stand on lines
+    of their own, up to the count.  Numbers end at the first word that is none.  A string
+    ends at its quote or its line, and single quotes in it become double ones.
+    ``complete`` is false where the count is wrong or missing.  Empty and null texts have
+    no keys.
+    """
+    records = files.select(F.col(run).cast("string").alias("run"), F.explode(F.split(text, KEY_LINE)).alias("_r"))
+    lines = records.select("run", F.split("_r", r"\r?\n").alias("_l")).withColumns({
+        "key": F.regexp_extract(F.col("_l")[0], r"^\s*([^\s0-9\"]\S*)", 1),
+        "_count": F.coalesce(F.get("_l", 1), F.lit(""))}).where("key <> ''")
+    parts = lines.withColumns({
+        "declared": F.coalesce(F.regexp_extract("_count", r"^\s*([0-9]+)(?=\s|$)", 1).try_cast("int"), F.lit(0)),
+        "_rest": F.trim(F.regexp_replace("_count", r"^\s*\S+", ""))})
+    quoted = F.filter(F.concat(F.array("_rest"), F.slice("_l", 3, F.greatest(F.size("_l"), F.lit(1)))),
+                      lambda line: line.rlike(r'^\s*"'))
+    words = F.transform(F.split("_rest", r"\s+"), lambda w: F.when(w.rlike(NUMBER), w.try_cast("double")))
+    numeric = (F.col("_rest") != "") & ~F.startswith("_rest", F.lit('"'))
+    bad = F.array_position(F.transform("_words", lambda v: v.isNull()), True)
+    found = parts.withColumn("_words", words).select(
+        "run", "key", "declared",
+        F.when(numeric, F.when(bad > 0, F.slice("_words", 1, (bad - 1).cast("int"))).otherwise(F.col("_words")))
+        .otherwise(F.array().cast("array<double>")).alias("nums"),
+        F.when(numeric, F.array().cast("array<string>")).otherwise(F.transform(
+            F.slice(quoted, 1, F.col("declared")), lambda line: F.translate(F.regexp_extract(line, r'^\s*"([^"]*)', 1), "'", '"')))
+        .alias("strs"))
+    return found.withColumn("complete", F.col("declared") == F.size("nums") + F.size("strs"))
 
 
 def derive(params: DataFrame) -> DataFrame:

@@ -82,3 +82,13 @@ def test_numbers_over_the_width_keep_their_digits(spark):
     df = spark.createDataFrame([(7,), (999,), (1000,), (123456,)], "n long")
     got = [r[0] for r in df.select(text.volume_id(F.lit("S1"), F.col("n"))).collect()]
     assert got == ["S1_m007", "S1_m999", "S1_m1000", "S1_m123456"]
+
+
+def test_parameter_records_stay_in_the_jvm_and_may_be_many(spark):
+    body = "".join(f"key{i}\n{i % 4} {' '.join(str(i + j) for j in range(i % 4))}\n" if i % 2 else f'key{i}\n2 "a{i}"\n"it\'s"\n0\n' for i in range(4000))
+    df = spark.createDataFrame([("r", body), ("none", None), ("empty", "")], "run string, text string")
+    out = pr.parse_params(df)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    rows = {r["key"]: r for r in out.collect()}
+    assert len(rows) == 4000 and all(r["complete"] for r in rows.values())
+    assert rows["key3"]["nums"] == [3.0, 4.0, 5.0] and rows["key2"]["strs"] == ["a2", 'it"s'] and rows["key1"]["declared"] == 1
