@@ -1,8 +1,8 @@
 """Ordered work that stays balanced when one key holds a large share of the rows.
 
-A plain ``Window.partitionBy(key)`` puts all rows of a key in one task.  Here a
-key is cut into ranges of an integer order column; every range is one window
-partition and only per-range summaries meet at the key level.
+A plain ``Window.partitionBy(key)`` puts all rows of a key in one task.  Here rows are
+sorted into ranges of nearly equal size; every range works by itself and only per-range
+summaries meet at the key level.
 """
 
 from __future__ import annotations
@@ -17,6 +17,19 @@ from lacuna.functions.joins import measured_join, settle
 CHUNK = 1 << 20
 
 
+def in_ranges(df: DataFrame, keys: Sequence[str], order: str, chunk: int = CHUNK) -> DataFrame:
+    """Rows sorted by key and ``order`` in partitions of nearly equal size, written down once.
+
+    Adds ``_at``, which rises with the order, and ``_chunk``, the same for at most ``chunk``
+    rows that follow each other.  The bounds come from a sample of the rows, so neither a
+    hot key nor a sparse, skewed or non-numeric order column makes a large or a tiny range.
+    """
+    by = [*keys, order]
+    rows = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))  # the upper bits number the partition
+    return settle(rows).withColumn("_chunk", F.col("_at") - F.pmod(inside, F.lit(chunk)))
+
+
 def with_position(
     df: DataFrame,
     keys: Sequence[str],
@@ -27,23 +40,24 @@ def with_position(
 ) -> DataFrame:
     """0-based position of a row among the rows of its key, ordered by ``order``.
 
-    ``order`` is an integer, unique within the key.  With ``first_of`` the value
-    of that column on the key's first row is added as ``first_<name>``.
+    ``order`` is of any type that can be sorted; equal values come in any order.  With
+    ``first_of`` the value of that column on the key's first row is added as
+    ``first_<name>``.  A range of rows counts from its first row, and only the sizes of
+    the ranges meet at the key.
     """
     keys = list(keys)
-    cut = df.withColumn("_chunk", F.col(order) - F.pmod(F.col(order), F.lit(chunk)))
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    cut = in_ranges(df, keys, order, chunk)
+    aggs = [F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_from")]
     if first_of:
-        aggs.append(F.min_by(first_of, order).alias("_first"))
+        aggs.append(F.min_by(first_of, "_at").alias("_first"))
     by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
-    bases = cut.groupBy(*keys, "_chunk").agg(*aggs).withColumn(
-        "_base", F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = F.coalesce(F.sum("_n").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = cut.groupBy(*keys, "_chunk").agg(*aggs).withColumn("_base", before - F.col("_from"))
     if first_of:
         bases = bases.withColumn(f"first_{first_of}", F.first("_first").over(by_chunk))
-    local = cut.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(order)))
-    return (local.join(bases.drop("_n", "_first"), keys + ["_chunk"])
-            .withColumn(out, F.col("_base") + F.col("_rn") - 1)
-            .drop("_chunk", "_base", "_rn"))
+    return (measured_join(cut, settle(bases.drop("_n", "_from", "_first")), keys + ["_chunk"])
+            .withColumn(out, F.col("_base") + F.col("_at"))
+            .drop("_chunk", "_base", "_at"))
 
 
 def over_recent(

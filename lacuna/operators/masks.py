@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lacuna.functions import kernels, text
 from lacuna.functions.arrays import map_arrays, planes
+from lacuna.functions.skew import with_position
 
 BROADCAST_BYTES = 256 << 20
 
@@ -75,8 +76,8 @@ def candidate_masks(names: DataFrame, ntraces: Column, pa: float, pb: float, nam
     fits = F.try_divide(F.col("ny") * F.col("nz"), F.col("acceleration")) == ntraces
     found = decoded.where(F.col("ny").isNotNull() & fits).withColumn(
         "is_default", (F.col("pa") == pa) & (F.col("pb") == pb))
-    # the list of one acquisition's masks is short; its order is part of the answer
-    return found.withColumn("place", F.row_number().over(Window.orderBy("is_default", name)))
+    placed = with_position(found.withColumn("_order", F.struct("is_default", name)), [], "_order", "place").drop("_order")
+    return placed.withColumn("place", (F.col("place") + 1).cast("int"))
 
 
 def mask_report(mask_text: Column) -> list[Column]:

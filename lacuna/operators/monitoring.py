@@ -69,16 +69,17 @@ def number_attempts(metrics: DataFrame, keys: Sequence[str], order: str, metric:
                     chunk: int = 1 << 18) -> DataFrame:
     """Adds ``attempt`` and the key's total ``attempts``: a metric already seen starts the next attempt.
 
-    A key's lines are cut into ranges of ``order``.  Each range is summarised by
-    what it does to every possible seen-set; the summaries are chained per key,
-    and then each range numbers its own lines.  No task holds all lines of a key.
+    Lines are cut into ranges of nearly equal size, whatever the values of ``order``.  Each
+    range is summarised by what it does to every possible seen-set; the summaries, some
+    hundred bytes a range, are chained per key, and then each range numbers its own lines.
+    No task holds all lines of a key.
     """
     keys, sets = list(keys), 1 << len(METRICS)
     group = keys + ["_chunk"]
     others = [c for c in metrics.columns if c not in (*keys, order, metric)]
     names = F.array(*[F.lit(m) for m in METRICS])
     code = (F.array_position(names, F.col(metric)) - 1).cast("int")
-    cut = metrics.withColumns({"_chunk": F.col(order) - F.pmod(F.col(order), F.lit(chunk)), "_code": code})
+    cut = skew.in_ranges(metrics.withColumn("_code", code), keys, order, chunk)
     lines = F.array_sort(F.collect_list(F.struct(order, "_code", *others)))
     ranges = cut.groupBy(*group).agg(lines.alias("_lines")).withColumn("_codes", F.col("_lines._code"))
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacuna.functions.arrays import map_arrays
 from lacuna.functions.joins import measured_join, settle
+from lacuna.functions.skew import with_position
 from lacuna.operators import recovery as rc
 from lacuna.operators import scaling as sc
 from lacuna.operators import transforms as tf
@@ -22,6 +23,7 @@ from lacuna.session import ship
 from lacuna.sources import sinks
 from lacuna.sources import state as st
 from lacuna.sources.blocks import register
+from lacuna.sources.commits import Log
 
 
 @dataclass(frozen=True)
@@ -103,21 +105,22 @@ def _headers(spark: SparkSession, path: str, table: str) -> DataFrame:
 def number_volumes(spark: SparkSession, path: str, echoes: int, folder: str) -> DataFrame:
     """(path, block, echo, volume): earlier numbers as they are, new volumes after them, in order of file and block.
 
-    Only block headers are read.  The numbering sorts one row a volume in one task.
+    Only block headers are read.  New numbers are one attempt of a log, given on the newest
+    snapshot: runs that find the same files at a time do not number them twice.
     """
-    from pyspark.errors import AnalysisException
-
     ready = _headers(spark, path, "block_header").where("has_data").select("path", "block").distinct()
     keys = ready.withColumn("echo", F.explode(F.sequence(F.lit(0), F.lit(echoes - 1))))
-    try:
-        known = spark.read.parquet(folder)
+    log = Log(spark, folder, "path string, block int, echo int, volume int", ("path", "block", "echo"), first_wins=True)
+    while True:
+        seen = log.snapshot()
+        known = log.current(seen.parts)
         top = known.agg(F.max("volume")).first()[0] or 0
-        keys = keys.join(known, ["path", "block", "echo"], "left_anti")
-    except AnalysisException:
-        top = 0
-    place = F.row_number().over(Window.orderBy("path", "block", "echo"))
-    keys.withColumn("volume", (place + top).cast("int")).write.mode("append").parquet(folder)
-    return spark.read.parquet(folder)
+        fresh = keys.join(known.select("path", "block", "echo"), ["path", "block", "echo"], "left_anti")
+        placed = with_position(fresh.withColumn("_order", F.struct("path", "block", "echo")), [], "_order")
+        rows = settle(placed.select("path", "block", "echo", (F.col("k") + top + 1).cast("int").alias("volume")))
+        if rows.isEmpty() or log.append(rows, on=seen) is not None:
+            log.compact()
+            return log.current().drop("attempt")
 
 
 def quarantine(spark: SparkSession, path: str) -> DataFrame:

@@ -144,13 +144,13 @@ class Log:
         rows.write.option("compression", "lz4").parquet(f"{self.path}/{folder}")
         return Part(folder, attempt, self.spark.read.parquet(f"{self.path}/{folder}").count(), folded)
 
-    def append(self, rows: DataFrame, attempt: int | None = None, on: Snapshot | None = None) -> Snapshot:
-        """The rows of one attempt, seen whole or not at all; gives the snapshot that is newest then.
+    def append(self, rows: DataFrame, attempt: int | None = None, on: Snapshot | None = None) -> Snapshot | None:
+        """The rows of one attempt, seen whole or not at all; gives the snapshot that has them.
 
         An attempt may come late and may replace itself until it has been folded.  Without
         a number it gets the next one in the moment it counts.  Rows that rest on what a
         snapshot holds name it as ``on``: if it is not the newest any more, nothing is
-        appended, and the snapshot given back does not have the attempt.
+        appended and None comes back.
         """
         part = self._write(rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema)), attempt or 0)
 
@@ -163,7 +163,8 @@ class Log:
                 raise ValueError(f"attempt {attempt} is finished and folded; give the rows a new number")
             return *(p for p in parts if p.folded or p.attempt != attempt), part
 
-        return self.commit(change)
+        new = self.commit(change)
+        return new if any(p.folder == part.folder for p in new.parts) else None
 
     def read(self, parts: tuple[Part, ...] | None = None) -> DataFrame:
         """All live rows of a snapshot's parts with their attempts; old versions of a key are still among them."""

@@ -51,8 +51,7 @@ def admit(requests: DataFrame, finished: DataFrame | None, log: Log, limit: int,
         fresh = waiting.join(held, "run", "left").where(F.col("place") <= limit - F.coalesce("held", F.lit(0)))
         rows = settle(done.withColumn("event", F.lit(FINISHED)).union(
             fresh.select("run", "volume", F.lit(ADMITTED).alias("event"))))
-        new = log.append(rows, attempt, on=seen)
-        if any(p.attempt == attempt and p not in seen.parts for p in new.parts):
+        if log.append(rows, attempt, on=seen) is not None:
             return rows.where(F.col("event") == ADMITTED).select("run", "volume")
 
 

@@ -50,7 +50,7 @@ def test_run_end_to_end_and_resume(spark, tmp_path):
     assert first.max() == 65535 and second[0].max() >= 60000
     assert errors(second)[0] < errors(first)[0] and errors(second)[0] < 0.25
     assert 0.4 < second[1].mean() / second[0].mean() < 0.7  # one study scale for all volumes
-    state = spark.read.parquet(out + "/state").groupBy("attempt").count().collect()
+    state = run.st.read_attempts(spark, out + "/state").groupBy("attempt").count().collect()
     assert sorted(r["attempt"] for r in state) == [1, 2]
 
 

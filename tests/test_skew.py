@@ -70,3 +70,38 @@ def test_attempts_match_the_walk_for_any_chunk(spark, codes, chunk):
     out = mo.number_attempts(df, ["slice"], "line_no", chunk=chunk).where("slice = 1").orderBy("line_no").collect()
     assert [r["attempt"] for r in out] == brute_attempts(names)
     assert [r["metric"] for r in out] == names
+
+
+def sparse_hot_rows(n=40_000):
+    key = np.where(rng.random(n) < 0.9, 0, rng.integers(1, 30, n))
+    return pd.DataFrame({"key": key, "line": rng.integers(-2**62, 2**62, n), "value": rng.random(n)})
+
+
+def test_ranges_are_of_equal_size_for_a_hot_key_with_a_sparse_order(spark):
+    df = spark.createDataFrame(sparse_hot_rows()).repartition(8)
+    sizes = sorted(r["count"] for r in skew.in_ranges(df, ["key"], "line").groupBy(F.shiftright("_at", 33)).count().collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert skew.in_ranges(df, ["key"], "line", 500).groupBy("key", "_chunk").count().agg(F.max("count")).first()[0] <= 500
+
+
+@pytest.mark.parametrize("order", ["line", "name", "pair"])
+def test_positions_by_any_order_column(spark, order):
+    pdf = sparse_hot_rows(3000)
+    df = spark.createDataFrame(pdf).withColumns({"name": F.col("line").cast("string"), "pair": F.struct("value", "line")})
+    pdf["name"] = pdf["line"].astype(str)
+    pdf = pdf.sort_values(["key", "value" if order == "pair" else order])
+    want = list(zip(pdf["key"], pdf["line"], pdf.groupby("key").cumcount(), strict=True))
+    got = [(r.key, r.line, r.k) for r in skew.with_position(df, ["key"], order, chunk=100).collect()]
+    assert sorted(got) == sorted(want)
+    alone = skew.with_position(df.where("key > 20"), [], order).orderBy("k").collect()
+    assert [r.k for r in alone] == list(range(len(alone)))
+    assert [r[order] for r in alone] == sorted(r[order] for r in alone)
+
+
+def test_attempts_of_a_sparse_order(spark):
+    codes = rng.integers(0, 4, 2000).tolist()
+    lines = np.sort(rng.choice(2**60, 2000, replace=False)).tolist()
+    df = spark.createDataFrame([(1, n, mo.METRICS[c], 0.0) for n, c in zip(lines, codes, strict=True)],
+                               "slice long, line_no long, metric string, value double").repartition(5)
+    out = mo.number_attempts(df, ["slice"], "line_no", chunk=50).orderBy("line_no").collect()
+    assert [r["attempt"] for r in out] == brute_attempts([mo.METRICS[c] for c in codes])
