@@ -47,4 +47,4 @@ def reduction_markers(spark: SparkSession, folder: str) -> DataFrame:
     slices = stacked(spark, folder)
     ex.export_reductions(slices, SHAPE, REDUCTIONS[:1], out)
     ex.export_reductions(slices, SHAPE, REDUCTIONS[:2], out)
-    return ex.export_reductions(slices, SHAPE, REDUCTIONS[:2], out)
+    return ex.export_reductions(slices, SHAPE, REDUCTIONS[:2], out).drop("part")

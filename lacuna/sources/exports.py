@@ -1,8 +1,9 @@
 """Volumes written again at several resolutions, one output after the other; a run that stops goes on.
 
-Every output has its folder and, in one log, a marker for each volume that is whole.  A
-marker is committed after the rows are there, so a run that dies between the two writes
-those volumes again, and marked ones are never touched.
+Every output is a log of rows, one part a job, and another log has a marker for each volume
+that is whole, with the part that holds it.  A marker is committed after the rows are
+there, so a run that dies between the two writes those volumes again, and what it left is
+never read; marked volumes are never touched.
 """
 
 from __future__ import annotations
@@ -35,7 +36,11 @@ class Reduction:
 
 def markers(spark: SparkSession, out: str) -> Log:
     return Log(spark, f"{out}/_done", "name string, volume bigint, volume_id string, factor double, nx int, ny int, nz int, "
-                                      "samples bigint", ("name", "volume"))
+                                      "part int, samples bigint", ("name", "volume"))
+
+
+def output(spark: SparkSession, out: str, name: str) -> Log:
+    return Log(spark, f"{out}/{name}", "volume int, x int, pos int, magnitude double", ("volume", "x", "pos"))
 
 
 def pending(volumes: DataFrame, out: str, reduction: Reduction) -> DataFrame:
@@ -44,25 +49,27 @@ def pending(volumes: DataFrame, out: str, reduction: Reduction) -> DataFrame:
     return volumes.select("volume").distinct().join(done, "volume", "left_anti")
 
 
-def write_reduction(slices: DataFrame, shape: tuple[int, int, int], out: str, reduction: Reduction) -> None:
-    """Magnitudes (x, pos, magnitude) of the volumes in ``slices``, by volume; what they had before is replaced."""
+def write_reduction(slices: DataFrame, shape: tuple[int, int, int], out: str, reduction: Reduction) -> int:
+    """Magnitudes of the volumes in ``slices`` as a part of the output, sorted by volume; gives the part's number."""
     small = tf.downsample(slices, shape, reduction.dims(shape))
     rows = small.select("volume", "x", "pos", F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("magnitude"))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("volume")
-     .parquet(f"{out}/{reduction.name}"))
+    rows = rows.repartitionByRange("volume", "x").sortWithinPartitions("volume", "x", "pos")
+    return output(slices.sparkSession, out, reduction.name).append(rows).parts[-1].attempt
 
 
-def mark(volumes: DataFrame, shape: tuple[int, int, int], out: str, reduction: Reduction, digits: int = 2) -> None:
-    """Markers for those of ``volumes`` whose rows are all there, with what a header needs; the others stay pending."""
+def mark(spark: SparkSession, shape: tuple[int, int, int], out: str, reduction: Reduction, part: int, digits: int = 2) -> None:
+    """Markers for the volumes whose rows are all in a part, with what a header needs; others stay pending."""
     nx, ny, nz = reduction.dims(shape)
-    there = volumes.sparkSession.read.parquet(f"{out}/{reduction.name}").join(volumes.select("volume"), "volume", "left_semi")
+    rows = output(spark, out, reduction.name)
+    there = rows.read(tuple(p for p in rows.snapshot().parts if p.attempt == part))
     whole = there.groupBy("volume").agg(F.count("*").alias("samples")).where(F.col("samples") == nx * ny * nz)
     number = F.col("volume").cast("string")
     rows = whole.select(
         F.lit(reduction.name).alias("name"), "volume",
         F.concat(F.lit(f"{reduction.name}_m"), F.lpad(number, F.greatest(F.lit(digits), F.length(number)), F.lit("0"))).alias("volume_id"),
-        F.lit(float(reduction.factor)).alias("factor"), F.lit(nx).alias("nx"), F.lit(ny).alias("ny"), F.lit(nz).alias("nz"), "samples")
-    log = markers(volumes.sparkSession, out)
+        F.lit(float(reduction.factor)).alias("factor"), F.lit(nx).alias("nx"), F.lit(ny).alias("ny"), F.lit(nz).alias("nz"), F.lit(part).alias("part"),
+        "samples")
+    log = markers(spark, out)
     log.append(rows)
     log.compact()
 
@@ -82,12 +89,11 @@ def export_reductions(slices: DataFrame, shape: tuple[int, int, int], reductions
         todo = settle(pending(volumes, out, reduction))
         if todo.isEmpty():
             continue
-        write_reduction(slices.join(todo, "volume", "left_semi"), shape, out, reduction)
-        mark(todo, shape, out, reduction)
+        mark(spark, shape, out, reduction, write_reduction(slices.join(todo, "volume", "left_semi"), shape, out, reduction))
     return markers(spark, out).current().drop("attempt")
 
 
 def read_reduction(spark: SparkSession, out: str, name: str) -> DataFrame:
-    """The marked volumes of one output; rows of a volume that is not whole yet are left out."""
-    done = markers(spark, out).read().where(F.col("name") == name).select("volume")
-    return spark.read.parquet(f"{out}/{name}").join(done, "volume", "left_semi")
+    """The marked volumes of one output, each from the part its marker names."""
+    done = markers(spark, out).current().where(F.col("name") == name).select("volume", F.col("part").alias("attempt"))
+    return output(spark, out, name).read().join(done, ["volume", "attempt"], "left_semi").drop("attempt")

@@ -18,6 +18,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 WAIT, READY, ACQUIRED = "wait", "ready", "acquired"
 
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 ANSWER = "source bigint, run bigint, volume bigint, ts_us bigint, decided_us bigint, outcome string, newer_run bigint"
 
 
@@ -139,6 +141,8 @@ def gate(events: DataFrame, limit: str, *, delay: str = "10 minutes", shares: in
     ``shares`` deals the waiters of one source to so many tasks; acquisitions, which are
     few, go to all of them.  The state of a share is its open waiters.
     """
+    # keyed state with timers exists in this store only
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     span = events.sparkSession.range(1).select(
         F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {limit}"))).first()[0]
     mine = F.array(F.pmod(F.xxhash64("run", "volume"), F.lit(shares)).cast("int"))
