@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacuna.functions.joins import measured_join
@@ -190,55 +190,79 @@ def _whole(rows: DataFrame, shingle: int) -> DataFrame:
     return map_batches(rows.select("node", "text"), run, "node bigint, size bigint, hashes array<bigint>").dropDuplicates(["node"])
 
 
-def _shared(filed: DataFrame) -> DataFrame:
-    """The rows whose ``token`` stands in two or more sets."""
-    return filed.withColumn("_n", F.expr("count(*) over (partition by token)")).where("_n > 1").drop("_n")
+def _filed(sets: DataFrame) -> DataFrame:
+    """(token, node, size, common, pos): the hashes of each set under which it can meet a partner.
+
+    Hashes are ordered by the number of sets that hold them, rarest first, the same way in
+    all sets.  Two sets at Jaccard 4/5 or more share one of the first ``size - 4/5 size + 1``
+    of each; those that stand in one set only come first and lead nowhere.  ``common`` is
+    how many hashes of a set others hold, ``pos`` the place among them.  A hash that stands
+    in a third of all sets comes last, and is counted by an aggregation, not in one task.
+    """
+    tokens = sets.select("node", "size", F.explode("hashes").alias("token"))
+    often = tokens.groupBy("token").agg(F.count("*").alias("often")).where("often > 1")
+    held = tokens.join(often, "token")
+    order = Window.partitionBy("node").orderBy("often", "token")
+    placed = held.withColumns({"pos": F.row_number().over(order), "common": F.count("*").over(Window.partitionBy("node"))})
+    return placed.where("pos <= common - (4 * size + 4) div 5 + 1").select("token", "node", "size", "common", "pos")
+
+
+#: What two sets that meet under a hash can have in common at most, against what they need.
+FITS = "9 * least(x.common - x.pos, y.common - y.pos) + 9 >= 4 * (x.size + y.size)"
+#: Sets each set is compared with, one a round, before all that are left are.
+CENTRES = ("common / size", "xxhash64(node)", "xxhash64(node, 1)", "xxhash64(node, 2)")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): the pairs with an exact Jaccard similarity of 4/5 or more."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, near, apart): whether two sets are at an exact Jaccard similarity of 4/5 or more, and their distance."""
     x, y = (sets.select(F.col("node").alias(k), F.col("hashes").alias(f"{k}_hashes")) for k in "ab")
-    return (pairs.select("a", "b").distinct().join(x, "a").join(y, "b")
-            .where("9 * size(array_intersect(a_hashes, b_hashes)) >= 4 * (size(a_hashes) + size(b_hashes))").select("a", "b"))
+    met = pairs.join(x, "a").join(y, "b").selectExpr(
+        "a", "b", "size(array_intersect(a_hashes, b_hashes)) as both", "size(a_hashes) + size(b_hashes) as total")
+    return met.selectExpr("a", "b", "9 * both >= 4 * total as near", "1 - both / (total - both) as apart")
 
 
 def similar(rows: DataFrame, *, shingle: int) -> DataFrame:
     """(id, key, h, root) for every row of (id, text, key, h): ``root`` names its group of near-duplicates.
 
     Rows link when the Jaccard similarity of their shingle sets is 4/5 or more; equal
-    sets and empty texts link too.  No pair is missed: two such sets have many of their
-    first hashes in common, and no more of a set can be shared than stands in another
-    set at all.  Sets that share a first hash are compared with one of them first, that with the
-    least of its own; after two rounds of that, sets still in different groups are all
-    compared.  A large group of near copies is so never expanded into its pairs.
+    sets and empty texts link too.  No pair is missed: two such sets meet under one of
+    their rarest hashes.  In each of a few rounds a set is compared with one other that it
+    meets, the centre of most of its hashes, and groups are joined; so a group of near
+    copies is never expanded into its pairs.  Sets that meet and are in different groups
+    still are compared in the end, but for those whose distances to a centre that both
+    were compared with differ by more than 1/5: no such two can link.
     """
     with blocks.short_lived_shuffles(rows.sparkSession):
         marks = settle(_marked(rows, shingle))
         sets = settle(_whole(measured_join(rows, _candidates(marks), ["key", "h"], limit=64 << 20), shingle))
-        common = _shared(sets.select("node", F.explode("hashes").alias("token"))).groupBy("node").agg(F.count("*").alias("common"))
-        sets = settle(sets.join(common, "node").where("5 * common >= 4 * size"))
-        first = F.expr("explode(slice(hashes, 1, cast(size - (4 * size + 4) div 5 + 1 as int)))").alias("token")
-        filed = settle(_shared(sets.select("node", "size", "common", first)))
-        fits = "9 * least(x.common, y.common) >= 4 * (x.size + y.size)"
-        links = filed.where("false").select(F.col("node").alias("a"), F.col("node").alias("b"))
-        tied = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-
-        def rooted() -> DataFrame:
-            return filed.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-        for weight in ("common / size", "xxhash64(node)"):
-            centre = f"max(struct({weight} as w, node, size, common, root)) over (partition by token)"
-            stars = (rooted().withColumn("x", F.expr(centre)).withColumn("y", F.struct("node", "size", "common", "root"))
-                     .where(f"x.root <> y.root and {fits}"))
-            found = _verified(stars.selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"), sets)
-            links = settle(links.union(found))
-            tied = settle(connected_components(links, "a", "b"))
-        sized = rooted().groupBy("token", "root").agg(F.count("*").alias("n"))
+        filed = settle(_filed(sets))
+        compared = settle(_compared(filed.where("false").selectExpr("node as a", "node as b"), sets))
+        tied = compared.selectExpr("a as node", "b as root")
+        for weight in CENTRES:
+            rooted = filed.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            centres = rooted.groupBy("token").agg(
+                F.max(F.struct(F.expr(weight).alias("w"), "node", "size", "common", "pos", "root")).alias("x"),
+                (F.min("root") < F.max("root")).alias("open")).where("open").drop("open")
+            met = rooted.join(centres, "token").withColumn("y", F.struct("size", "common", "pos")).where(f"x.root <> root and {FITS}")
+            one = met.groupBy("node", F.col("x.node").alias("b")).agg(F.count("*").alias("n")).groupBy("node").agg(
+                F.max_by("b", F.struct("n", "b")).alias("b")).withColumnRenamed("node", "a")
+            compared = settle(compared.union(_compared(one.join(compared, ["a", "b"], "left_anti"), sets)))
+            tied = settle(connected_components(compared.where("near"), "a", "b"))
+        # the centre's distance to itself is nothing
+        known = compared.select(F.col("a").alias("node"), F.col("b").alias("c"), "apart").union(
+            compared.selectExpr("b", "b", "0D")).distinct()
+        known = known.groupBy("node").agg(F.collect_list(F.struct("c", "apart")).alias("known"))
+        rooted = (filed.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node")).join(known, "node", "left")
+                  .withColumn("known", F.coalesce("known", F.expr("cast(array() as array<struct<c:bigint,apart:double>>)"))))
+        sized = rooted.groupBy("token", "root").agg(F.count("*").alias("n"))
         largest = sized.groupBy("token").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("roots")).where("roots > 1")
-        open_ = settle(rooted().join(largest.select("token", F.col("top.root").alias("top")), "token"))
-        across = (open_.where("root <> top").alias("x").join(open_.alias("y"), F.expr(f"x.token = y.token and x.root <> y.root and {fits}"))
-                  .selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b"))
-        tied = connected_components(links.union(_verified(across, sets)), "a", "b")
+        open_ = settle(rooted.join(largest.select("token", F.col("top.root").alias("top")), "token"))
+        far = "exists(x.known, s -> exists(y.known, t -> s.c = t.c and abs(s.apart - t.apart) > 0.2000001D))"
+        across = (open_.where("root <> top").alias("x").join(open_.alias("y"), F.expr(
+            f"x.token = y.token and x.root <> y.root and (y.root = y.top or x.node < y.node) and {FITS} and not {far}"))
+            .selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b").distinct())
+        last = _compared(across, sets)
+        tied = connected_components(compared.union(last).where("near"), "a", "b")
     return marks.join(tied, "node", "left").select("id", "key", "h", F.coalesce("root", "node").alias("root"))
 
 

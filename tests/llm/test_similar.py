@@ -89,3 +89,28 @@ def test_rows_are_kept_by_text_not_by_id(spark):
     assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted(
         [("None", text["b"]), ("None", text["c"]), ("1", text["a"]), ("2", text["d"]), ("2", text["e"]), ("None", "None"),
          ("None", text["f"])])
+
+
+def test_pairs_grow_with_the_rows(spark, monkeypatch):
+    """A large group of near copies, and a passage that stands in every row: far fewer pairs than all."""
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in rng.integers(0, 1000, 120)]
+    passage = " ".join(f"p{k}" for k in range(30))
+    texts = []
+    for i in range(800):
+        w = list(base)
+        for at in rng.integers(0, 120, 2):
+            w[at] = f"x{i}"
+        texts.append(f"{passage} {' '.join(w)}")
+    texts += [f"{passage} {' '.join(f'u{k}' for k in rng.integers(0, 10**9, 60))}" for _ in range(800)]
+    counted, compare = [], simhash._compared
+
+    def counting(pairs, sets):
+        pairs = simhash.settle(pairs)
+        counted.append(pairs.count())
+        return compare(pairs, sets)
+
+    monkeypatch.setattr(simhash, "_compared", counting)
+    kept = stage(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
+    assert [r.doc_id for r in kept] == [0, *range(800, 1600)]
+    assert sum(counted) <= 4 * len(texts)
