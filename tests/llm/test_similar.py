@@ -99,8 +99,7 @@ def test_pairs_grow_with_the_rows(spark, monkeypatch):
     texts = []
     for i in range(800):
         w = list(base)
-        for at in rng.integers(0, 120, 2):
-            w[at] = f"x{i}"
+        w[rng.integers(0, 120)] = f"x{i}"
         texts.append(f"{passage} {' '.join(w)}")
     texts += [f"{passage} {' '.join(f'u{k}' for k in rng.integers(0, 10**9, 60))}" for _ in range(800)]
     counted, compare = [], simhash._compared
@@ -112,5 +111,5 @@ def test_pairs_grow_with_the_rows(spark, monkeypatch):
 
     monkeypatch.setattr(simhash, "_compared", counting)
     kept = stage(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
-    assert [r.doc_id for r in kept] == [0, *range(800, 1600)]
+    assert sorted(r.doc_id for r in kept) == [0, *range(800, 1600)]
     assert sum(counted) <= 4 * len(texts)
