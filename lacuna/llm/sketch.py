@@ -22,6 +22,8 @@ LARGER = (96, 384, 1536)
 #: A paragraph is a line, or this many code points of a longer line.
 PIECE = 200
 ROUNDS = 40
+#: One in so many digests is in the stratum that tells how large a difference is about.
+STRATUM = 8
 
 _CELL = "struct<c:int,n:int,k:bigint,v:bigint>"
 _NONE = f"cast(array() as array<{_CELL}>)"
@@ -44,12 +46,12 @@ def _three(key: str, count: str, m: str) -> str:
 def _add(cells: str) -> str:
     """Cells with equal numbers added up, in order; cells that hold nothing are left out.
 
-    Finished cells gather in chunks of 256, so that adding one never copies them all.
+    Finished cells gather in chunks of 32, so that adding one never copies them all.
     """
     step = (
         "(s, x) -> if(s.cur.c = x.c, named_struct('done', s.done, 'part', s.part, 'cur', "
         "named_struct('c', x.c, 'n', s.cur.n + x.n, 'k', s.cur.k ^ x.k, 'v', s.cur.v ^ x.v)), "
-        f"if(size(s.part) >= 255, named_struct('done', concat(s.done, array(concat(s.part, array(s.cur)))), 'part', {_NONE}, 'cur', x), "
+        f"if(size(s.part) >= 31, named_struct('done', concat(s.done, array(concat(s.part, array(s.cur)))), 'part', {_NONE}, 'cur', x), "
         "named_struct('done', s.done, 'part', concat(s.part, array(s.cur)), 'cur', x)))")
     start = (f"named_struct('done', cast(array() as array<array<{_CELL}>>), 'part', {_NONE}, "
              "'cur', named_struct('c', -1, 'n', 0, 'k', 0L, 'v', 0L))")
@@ -99,14 +101,18 @@ def difference(a: str, b: str, cells_a: str, cells_b: str) -> Column:
     """Digests in only one of two digest sets, as (left, right), by sketches of growing size.
 
     The given fingerprints are tried first; with hardly an empty cell after subtraction
-    they hold too many digests to peel and count as failed.  The last sketch has eight
+    they hold too many digests to peel and count as failed.  A larger sketch is passed
+    over when the difference of one stratum of the digests says it must stick, too.  The last has eight
     cells for each digest of both sets; should even that one stick, which no data is
     known to cause, the sets themselves are compared.
     """
     first = (f"transform(array({_minus(cells_a, cells_b)}), held -> if(size(held) > {CELLS - 4}, null, "
              f"{_peeled(a, b, 'held', str(CELLS))}))[0]")
-    sizes = [*map(str, LARGER), f"(24 * (1 + size({a}) + size({b})) div 3)"]
-    tries = ", ".join([first, *(_peeled(a, b, _minus(_sketch(a, m), _sketch(b, m)), m) for m in sizes)])
+    one, two = (f"filter({x}, d -> d & {STRATUM - 1} = 0)" for x in (a, b))
+    about = f"{STRATUM} * (size(array_except({one}, {two})) + size(array_except({two}, {one})))"
+    larger = [f"if({about} > {m}, null, {_peeled(a, b, _minus(_sketch(a, m), _sketch(b, m)), m)})" for m in map(str, LARGER)]
+    last = f"(24 * (1 + size({a}) + size({b})) div 3)"
+    tries = ", ".join([first, *larger, _peeled(a, b, _minus(_sketch(a, last), _sketch(b, last)), last)])
     return F.expr(f"coalesce({tries}, named_struct('left', array_except({a}, {b}), 'right', array_except({b}, {a})))")
 
 
