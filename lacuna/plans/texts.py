@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacuna.functions import text
+from lacuna.functions import options, tables, text
 from lacuna.plans.monitoring import log_lines
 from lacuna.plans.registry import query, table
 from lacuna.sources import params as pr
@@ -186,3 +186,38 @@ def log_volume(spark: SparkSession, folder: str) -> DataFrame:
     return log_lines(spark, folder).groupBy(n.alias("user_id")).agg(
         F.count(F.lit(1)).alias("lines"), F.count_if(F.startswith("line", F.lit("ERROR"))).alias("errors"),
         F.sum(F.length("line").cast("bigint")).alias("characters"))
+
+
+@query("""SELECT o_orderkey, CAST(unnest(list_sort(list_distinct(list_concat(range(o_orderkey % 50, o_orderkey % 50 + o_custkey % 5 + 1), [o_orderkey % 50 + 3], range(60, 63))))) AS BIGINT) AS value
+  FROM orders WHERE o_orderstatus <> 'P'""")
+def lateral_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """Range texts expanded by a table function in SQL."""
+    tables.register(spark)
+    return spark.sql("""SELECT o_orderkey, r.value FROM {orders} o, LATERAL expand_ranges(concat(o_orderkey % 50, '_to_', o_orderkey % 50 + o_custkey % 5, '_',
+        o_orderkey % 50 + 3, '_60_to_62')) r WHERE o_orderstatus <> 'P'""", orders=table(spark, folder, "orders"))
+
+
+@query("""WITH k AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderkey % 4 = 0 AS planned, o_orderkey % 6 = 0 AS kept, o_orderkey % 5 = 0 AS listed, o_orderkey % 7 = 0 AS loose,
+    o_orderkey % 9 = 0 AS odd FROM orders),
+  b AS (SELECT *, CASE WHEN planned THEN 5 ELSE 1 + c % 3 END AS blocks, CASE WHEN planned THEN 10.0 WHEN loose THEN 60.0 / (1 + c % 3) ELSE 100.0 / (1 + c % 3) END AS per_block FROM k)
+SELECT k AS o_orderkey, CAST(blocks AS INTEGER) AS blocks, CAST(CASE WHEN planned THEN 50 WHEN loose THEN 60 ELSE 100 END AS INTEGER) AS limit_, CASE WHEN loose THEN 'CS256_8x_pa18_pb54' END AS mask,
+  CASE WHEN listed THEN 3 ELSE blocks END::INTEGER AS tv_n, CASE WHEN listed THEN 0.002::DOUBLE ELSE 0.0012::DOUBLE END AS tv_first, 0.006::DOUBLE AS l1_last, k % 3 <> 0 AS fermi_filter,
+  CAST(CASE WHEN odd THEN 30 ELSE c % 50 END AS INTEGER) AS chunk_size, CASE WHEN k % 8 = 0 THEN 'slice' WHEN k % 8 = 1 THEN 'volume' END AS preview,
+  CASE WHEN k % 10 = 1 THEN 'Haar' ELSE 'Daubechies' END AS wavelet, CASE WHEN k % 2 = 0 THEN 4.0::DOUBLE ELSE 12.0::DOUBLE END AS filter,
+  concat_ws('|', CASE WHEN odd THEN 'unknown colour' END, CASE WHEN odd THEN 'bad chunk_size' END, CASE WHEN k % 10 = 2 THEN 'bad wavelet_type' END,
+    CASE WHEN planned AND kept THEN 'keep_work with iteration_strategy' END, CASE WHEN NOT planned AND per_block <> floor(per_block) THEN 'Itnlim not divisible' END,
+    CASE WHEN listed AND blocks <> 3 THEN 'weights do not match the blocks' END) AS problems FROM b""")
+def option_grammar(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kind of option, loose tokens, plans and weights, and what cannot be run."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    flag = lambda test, token: F.when(test, F.lit(token) if isinstance(token, str) else token).otherwise("")
+    tokens = F.array(
+        flag(k % 7 == 0, "60"), flag(k % 7 == 0, "CS256_8x_pa18_pb54"), F.concat(F.lit("re_init_count="), c % 3), F.concat(F.lit("chunk_size="), c % 50),
+        flag(k % 4 == 0, "iteration_strategy=10x5"), flag(k % 6 == 0, "keep_work"), flag(k % 5 == 0, "TVWeight=[0.002, 0.001,0.0005]"), flag(k % 3 == 0, "skip_fermi_filter"),
+        flag(k % 9 == 0, "chunk_size=many"), flag(k % 9 == 0, "colour=blue"), flag(k % 8 == 0, "CS_preview_data"), flag(k % 8 == 1, "CS_preview_data=volume"),
+        flag(k % 10 == 1, "wavelet_type=Haar"), flag(k % 10 == 2, "wavelet_type=Best"), F.when(k % 2 == 0, "wavelet_dims=4,8").otherwise("wavelet_dims=7"), F.lit("xfmWeight"))
+    found = options.parse_options(table(spark, folder, "orders").select("o_orderkey", tokens.alias("tokens")), "tokens")
+    return found.select(
+        "o_orderkey", "blocks", F.col("Itnlim").alias("limit_"), F.col("CS_table").alias("mask"), F.size("TVWeight").alias("tv_n"), F.col("TVWeight")[0].alias("tv_first"),
+        F.element_at("xfmWeight", -1).alias("l1_last"), "fermi_filter", "chunk_size", F.col("CS_preview_data").alias("preview"), F.col("wavelet_type").alias("wavelet"),
+        F.col("wavelet_dims")[0].alias("filter"), F.array_join("problems", "|").alias("problems"))
