@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lacuna.plans.registry import query, table
 from lacuna.session import work_dir
-from lacuna.sources import commits, tags
+from lacuna.sources import commits, sinks, tags
 from lacuna.sources import state as st
 
 ATTEMPTS = 12
@@ -59,3 +59,55 @@ def tag_check(spark: SparkSession, folder: str) -> DataFrame:
     tags.check_tags(volumes.join(early, volumes["volume"] == early["page_id"], "left_semi"), path).select("tag_status").write.format(
         "noop").mode("overwrite").save()
     return tags.check_tags(volumes, path).select("run", "volume", "tag_volume", "tag_status")
+
+
+@query("""SELECT label AS volume, vec_id AS slice, CAST(list_sum([CAST(floor(abs(v) * 1000) AS BIGINT) * CASE WHEN label % 2 = 0 THEN 2 ELSE 1 END FOR v IN embedding]) AS BIGINT) AS total
+  FROM embeddings""")
+def image_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Images by volume, read back; the even volumes were written twice and have their second value."""
+    path = work_dir(spark, "images")
+    value = lambda times: F.transform("embedding", lambda v: (F.floor(F.abs(v.cast("double")) * 1000) * times).cast("int"))
+    rows = table(spark, folder, "embeddings")
+    sinks.write_images(rows.select(F.col("label").alias("volume"), F.col("vec_id").alias("slice"), value(1).alias("value")), path)
+    even = rows.where("label % 2 = 0")
+    sinks.write_images(even.select(F.col("label").alias("volume"), F.col("vec_id").alias("slice"), value(2).alias("value")), path)
+    return spark.read.parquet(path).select("volume", "slice", F.aggregate("value", F.lit(0).cast("bigint"), lambda a, v: a + v).alias("total"))
+
+
+@query("""SELECT CAST(label AS INTEGER) AS volume, count(*) AS slices, sum(list_sum([round(CAST(v AS DOUBLE) * 1000000) FOR v IN embedding])) AS re,
+  sum(list_sum([round(CAST(embedding[i] AS DOUBLE) * 1000000) * i FOR i IN range(1, 65)])) AS moment FROM embeddings GROUP BY 1""")
+def complex_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Complex volumes in single precision, read back as doubles."""
+    path = work_dir(spark, "complex")
+    rows = table(spark, folder, "embeddings")
+    double = F.transform("embedding", lambda v: v.cast("double"))
+    sinks.write_complex(rows.select(F.col("label").alias("volume"), F.col("vec_id").alias("slice"), double.alias("re"), double.alias("im")), path)
+    add = lambda c, f: F.sum(F.aggregate(F.transform(c, f), F.lit(0.0), lambda a, v: a + v))
+    return sinks.read_complex(spark, path).groupBy("volume").agg(
+        F.count("*").alias("slices"), add("re", lambda v: F.round(v * 1000000)).alias("re"),
+        add("im", lambda v, i: F.round(v * 1000000) * (i + 1)).alias("moment"))
+
+
+@query("""SELECT user_id AS slice, round(sum(value) FILTER (WHERE event_type = 'view'), 2) AS load, round(sum(value) FILTER (WHERE event_type = 'purchase' AND value > 95), 2) AS recon
+  FROM events GROUP BY 1""")
+def timing_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """The timing report as tab separated text, missing values empty, read back."""
+    path = work_dir(spark, "timing")
+    total = lambda test: F.round(F.sum(F.when(F.expr(test), F.col("value"))), 2)
+    sinks.write_timing(table(spark, folder, "events").groupBy(F.col("user_id").alias("slice")).agg(
+        total("event_type = 'view'").alias("load"), total("event_type = 'purchase' and value > 95").alias("recon")), path)
+    return spark.read.schema("slice bigint, load double, recon double").option("sep", "\t").option("header", "true").csv(path)
+
+
+@query("""SELECT CAST(o_custkey % 20 AS INTEGER) AS project, CAST(count(*) AS BIGINT) AS lines, md5(string_agg(concat(o_orderkey, ',', o_orderstatus), '/' ORDER BY o_orderkey)) AS digest
+  FROM orders GROUP BY 1""")
+def manifest_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Manifest lines, a folder a project, read back in order."""
+    path = work_dir(spark, "manifest")
+    lines = table(spark, folder, "orders").select((F.col("o_custkey") % 20).alias("project"), F.col("o_orderkey").alias("line_no"),
+                                                  F.concat_ws(",", "o_orderkey", "o_orderstatus").alias("line"))
+    sinks.write_manifest(lines, path, "project")
+    number = F.substring_index("value", ",", 1).cast("bigint")
+    rows = F.transform(F.array_sort(F.collect_list(F.struct(number.alias("n"), "value"))), lambda r: r["value"])
+    return spark.read.option("basePath", path).text(path).groupBy("project").agg(
+        F.count("*").alias("lines"), F.md5(F.array_join(rows, "/")).alias("digest"))
