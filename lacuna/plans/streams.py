@@ -145,3 +145,12 @@ def stream_admission(spark: SparkSession, folder: str) -> DataFrame:
     log = admission.admissions(spark, work_dir(spark, "admitted"))
     admission.admit_stream(requests, finished.withColumn("n", F.lit(1)), log, PLACES, work_dir(spark, "checkpoint"))
     return admission.load(log.read())
+
+
+@query(f"SELECT user_id AS volume, arg_max({STAGE}, ts)::INTEGER AS stage, max(ts) AS ts FROM events GROUP BY 1")
+def stream_stage_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest stage of every volume in a table that is as large as its keys, however long the stream."""
+    facts = event_stream(spark, folder).select(F.col("user_id").alias("volume"), F.expr(STAGE).alias("stage"), "ts")
+    table_ = sinks.LatestValues(spark, work_dir(spark, "stages"), "volume bigint, stage int, ts timestamp", ["volume"])
+    sinks.run_available(status.latest_stage(facts, ["volume"]), work_dir(spark, "checkpoint"), table_.write, "update")
+    return _local_times(table_.read())

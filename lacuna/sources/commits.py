@@ -14,6 +14,7 @@ import os
 import uuid
 from collections.abc import Callable
 from dataclasses import astuple, dataclass, replace
+from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -186,7 +187,9 @@ class Log:
         """
         rows = self.read(parts)
         best = rows.groupBy(*self.keys).agg((F.min if self.first_wins else F.max)("attempt").alias("attempt"))
-        return rows.join(best, [*self.keys, "attempt"])
+        named = best.select(*(F.col(c).alias(f"_{c}") for c in best.columns))  # a null is a key like any other
+        same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in best.columns))
+        return rows.join(named, same, "left_semi")
 
     def compact(self) -> Snapshot:
         """Fold the newest folders into one when there are too many.

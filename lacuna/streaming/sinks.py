@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lacuna.sources.commits import Log
+
 
 def _other_batches(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
     """What other batches wrote; a replay must not see its own first try."""
@@ -68,6 +71,36 @@ def changed_only(path: str, keys: Sequence[str], content: Sequence[str]):
     return write
 
 
+class LatestValues:
+    """The newest published row of every key, as a sink and as a table.
+
+    What a trigger publishes is one attempt of a log that folds itself, so a trigger reads
+    the current rows of the keys, never all that was ever published, and a batch that runs
+    again replaces its own first try.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], most: int = 8) -> None:
+        self.keys = tuple(keys)
+        self.log = Log(spark, path, schema, self.keys, most)
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        """Publish the rows that differ from the current row of their key, or have a new key."""
+        attempt, parts = batch_id + 1, self.log.snapshot().parts
+        if all(p.attempt < attempt for p in parts):
+            parts = self.log.compact().parts  # the newest batch may still run again, those before it not
+        others = [c for c in self.log.schema.names if c not in self.keys]
+        last = self.log.current(tuple(p for p in parts if p.attempt != attempt)).select(
+            *(F.col(k).alias(f"_{k}") for k in self.keys), F.struct(*others).alias("_last"))
+        same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in self.keys))
+        joined = batch.join(last, same, "left").where(F.col("_last").isNull() | ~F.struct(
+            *(F.col(c).cast(self.log.schema[c].dataType) for c in others)).eqNullSafe(F.col("_last")))
+        self.log.append(joined.select(*self.log.schema.names), attempt)
+
+    def read(self) -> DataFrame:
+        """The current row of every key."""
+        return self.log.current().drop("attempt")
+
+
 def run_available(stream: DataFrame, checkpoint: str, write, mode: str = "append") -> StreamingQuery:
     """Process everything that is there now and stop."""
     query = (stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)

@@ -121,3 +121,18 @@ def test_any_cut_into_files_gives_the_same_rows(spark, tmp_path, monkeypatch, na
         df = catalog.QUERIES[name](spark, str(folder))
         answers.append(sorted(map(str, df.select(sorted(df.columns)).collect())))
     assert answers[0] == answers[1] == answers[2] and answers[0]
+
+
+def test_latest_values_stay_as_large_as_their_keys(spark, tmp_path):
+    table = sinks.LatestValues(spark, str(tmp_path / "t"), "run string, part int, total int, note string", ["run", "part"], most=2)
+    frame = lambda rows: spark.createDataFrame(rows, "run string, part int, total int, note string")
+    table.write(frame([("a", 1, 10, None), ("a", 2, 5, "x"), (None, None, 1, "n")]), 0)
+    want = {("a", 1): (10, None), ("a", 2): (5, "x"), (None, None): (1, "n")}
+    for i in range(1, 9):
+        rows = [("a", 1, 10, None), ("a", 2, i, "x"), ("b", i % 2, i, None)]
+        table.write(frame(rows), i)
+        table.write(frame(rows), i)  # the batch runs again
+        want |= {("a", 2): (i, "x"), ("b", i % 2): (i, None)}
+        parts = table.log.snapshot().parts
+        assert len(parts) <= 3 and parts[-1].rows == 2  # what did not change is not published again
+    assert {(r.run, r.part): (r.total, r.note) for r in table.read().collect()} == want
