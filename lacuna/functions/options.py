@@ -53,9 +53,9 @@ def _named(tokens: Column, options: tuple[Option, ...]) -> Column:
             found = F.when(given, F.lit(f"?{o.name}")).otherwise(F.concat(F.lit(f"{o.name}="), token))
             out = F.when(token.rlike(o.loose), found).otherwise(out)
         early = ~F.exists(F.slice(tokens, F.lit(1), at + 1), lambda t: F.contains(t, F.lit("=")))
-        return F.when((at < 2) & early, out).otherwise(token)
+        return F.when(early, out).otherwise(token)
 
-    return F.transform(tokens, key)
+    return F.concat(F.transform(F.slice(tokens, 1, 2), key), F.slice(tokens, F.lit(3), F.greatest(F.size(tokens), F.lit(1))))
 
 
 def _typed(o: Option) -> Column:
