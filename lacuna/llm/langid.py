@@ -3,7 +3,8 @@
 Each language is a smoothed distribution over hashed letter trigrams (with word ends),
 counted over all labelled training rows.  A word's likelihood in a language is the
 product over its trigrams; a document is a mixture whose proportions are found by
-expectation-maximisation over its words.  The set of languages is the one with the best
+expectation-maximisation over its words, with extrapolated steps, until the log-likelihood
+is proven to be within ``TOLERANCE`` of its maximum.  The set of languages is the one with the best
 likelihood after a BIC penalty for each proportion.  Sets are nested, in order of the
 proportions over all languages, and may be of any size: a text's larger sets are left
 out only when a bound shows that the penalty outweighs any gain they could have.
@@ -27,7 +28,10 @@ from lacuna.session import ship
 BUCKETS = 1 << 16
 #: Most languages a model may have (its size bound: 256 x 65,536 x 4 bytes).
 MAX_LANGUAGES = 256
-STEPS = 8
+#: A text's proportions are done when its log-likelihood lacks at most this much of the maximum.
+TOLERANCE = 1e-4
+#: Characters that are looked at side by side; a longer text is taken alone.
+CHARACTERS = 1 << 21
 
 
 @cache
@@ -99,21 +103,69 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
 
 
 def _mixture(like: np.ndarray, base: np.ndarray, owner: np.ndarray, starts: np.ndarray, allowed: np.ndarray,
-             words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions and log-likelihood of each text over its ``allowed`` languages."""
-    share = allowed / allowed.sum(axis=1, keepdims=True)
-    for _ in range(STEPS):
-        part = like * share[owner]
-        part /= part.sum(axis=1, keepdims=True)
-        share = np.add.reduceat(part, starts, axis=0) / words[:, None]
-    total = np.log((like * share[owner]).sum(axis=1)) + base
-    return share, np.add.reduceat(total, starts)
+             words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Proportions, log-likelihood and its slopes of each text over its ``allowed`` languages.
+
+    The log-likelihood is concave in the proportions, so it is nowhere more than
+    words * log(largest slope) above a point; each text is worked on until that is at most
+    ``TOLERANCE``.  Two steps of expectation-maximisation are extrapolated (SQUAREM); an
+    extrapolation that lowers the likelihood is taken back.
+    """
+    final = allowed / allowed.sum(axis=1, keepdims=True)
+    total, slopes = np.empty(len(words)), np.empty_like(final)
+    constant = np.add.reduceat(base, starts)
+    ids = np.arange(len(words))
+    share, back, reached = final.copy(), final.copy(), np.full(len(words), -np.inf)
+
+    def look(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        whole = (like * at[owner]).sum(axis=1)
+        return np.add.reduceat(like / whole[:, None], starts, axis=0) / words[:, None], np.add.reduceat(np.log(whole), starts)
+
+    while len(ids):
+        slope, value = look(share)
+        worse = value < reached
+        if worse.any():
+            share[worse] = back[worse]
+            slope, value = look(share)
+        done = words * np.log(np.maximum((slope * allowed).max(axis=1), 1.0)) <= TOLERANCE
+        if done.any():
+            at = ids[done]
+            final[at], total[at], slopes[at] = share[done], value[done] + constant[done], slope[done]
+            left = ~done
+            rows = left[owner]
+            like, owner = like[rows], (np.cumsum(left) - 1)[owner[rows]]
+            share, slope, value, back, allowed, constant, words, ids = (
+                x[left] for x in (share, slope, value, back, allowed, constant, words, ids))
+            starts = np.cumsum(words) - words
+            if not len(ids):
+                break
+        one = share * slope
+        two = one * look(one)[0]
+        step, bend = one - share, two - 2 * one + share
+        length = np.sqrt((step ** 2).sum(axis=1) / np.maximum((bend ** 2).sum(axis=1), 1e-300))[:, None]
+        ahead = share + 2 * length * step + length ** 2 * bend
+        ahead = np.where(ahead > 0, ahead, two * 1e-3)
+        ahead, two = np.maximum(ahead, 1e-30 * allowed), np.maximum(two, 1e-30 * allowed)  # never 0, so that it can come back
+        ahead /= ahead.sum(axis=1, keepdims=True)
+        share, back, reached = np.where(length > 1, ahead, two), two, value
+    return final, total, slopes
 
 
 def _penalty(k: int, words: np.ndarray) -> np.ndarray:
     return 0.5 * (k - 1) * np.log(words + 1.0) + 2.0 * (k - 1)
 
 
+def stretches(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours with at most ``CHARACTERS`` together, or of one."""
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and held + size > CHARACTERS:
+            yield start, i
+            start, held = i, 0
+        held += size
+    yield start, len(sizes)
+
+
 def mixtures(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Chosen proportions [texts, languages]; a row of zeros where there is no letter."""
     count = table.shape[1]
@@ -126,9 +178,8 @@ def mixtures(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarra
     like = np.exp(np.maximum(word - base[:, None], -200))
     present, starts, words = np.unique(owner, return_index=True, return_counts=True)
     row = np.searchsorted(present, owner)
-    share, top = _mixture(like, base, row, starts, np.ones((len(present), count)), words)
+    share, top, slope = _mixture(like, base, row, starts, np.ones((len(present), count)), words)
     # The log-likelihood is concave in the proportions, so its slopes here bound it everywhere.
-    slope = np.add.reduceat(like / (like * share[row]).sum(axis=1)[:, None], starts, axis=0) / words[:, None]
     bound = top + words * np.log(slope.max(axis=1))
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1, kind="stable")
     best, gain = np.zeros_like(share), np.full(len(present), -np.inf)
@@ -137,7 +188,7 @@ def mixtures(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarra
         if not open_.any():
             break
         at, some = np.flatnonzero(open_[row]), words[open_]
-        share, score = _mixture(like[at], base[at], np.repeat(np.arange(len(some)), some), np.cumsum(some) - some,
+        share, score, _ = _mixture(like[at], base[at], np.repeat(np.arange(len(some)), some), np.cumsum(some) - some,
                                 (rank[open_] < k).astype(np.float64), some)
         score = score - _penalty(k, some)
         better = score > gain[open_]
@@ -153,7 +204,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
 
     ``lang`` has the largest proportion and ``score`` is that proportion; ``languages``
     and ``shares`` are the chosen set.  A null text, a text without a letter, or a model
-    without languages gives ``und``, 0 and empty lists.  Ties go to the first name.
+    without languages gives ``und``, 0 and empty lists.  Ties go to the first name.  A very
+    long text is read whole, by itself.
     Only the text is looked at; repeated rows get equal answers.
     """
     names, table = model
@@ -161,7 +213,8 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], *, id_col: str
 
     def run(batch: dict[str, list]) -> dict[str, list]:
         given = [t or "" for t in (batch["text"] if not with_row else [r[text_col] for r in batch["row"]])]
-        shares, top = mixtures(given, shared.value)
+        parts = [mixtures(given[a:b], shared.value) for a, b in stretches([len(t) for t in given])]
+        shares, top = (np.concatenate(x) for x in zip(*parts, strict=True))
         best = shares.argmax(axis=1) if names else [0] * len(given)
         sets = [np.flatnonzero(s > 0) for s in shares]
         return batch | {

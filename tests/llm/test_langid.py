@@ -1,4 +1,7 @@
+import itertools
+
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from lacuna.llm import langid
@@ -75,3 +78,67 @@ def test_small_part_is_listed_by_predict(spark):
     df = spark.createDataFrame([(1, words(0, 1000) + " " + words(2, 4))], "doc_id long, text string")
     row = langid.predict(df, (["a", "b", "c", "d"], table)).first()
     assert row.languages == ["a", "c"] and row.shares[1] < 0.005
+
+
+def plain_em(like, steps=20_000):
+    share = np.full(like.shape[1], 1 / like.shape[1])
+    for _ in range(steps):
+        part = like * share
+        share = (part / part.sum(axis=1, keepdims=True)).mean(axis=0)
+    return share, float(np.log(like @ share).sum())
+
+
+def mixture(likes):
+    words = np.array([len(x) for x in likes])
+    like = np.concatenate(likes)
+    return langid._mixture(like, np.zeros(len(like)), np.repeat(np.arange(len(words)), words), np.cumsum(words) - words,
+                           np.ones((len(words), like.shape[1])), words)
+
+
+def test_proportions_of_related_languages():
+    """Two languages that agree on most: few steps of expectation-maximisation stay near one half."""
+    like = np.array([[1, 0.8]] * 600 + [[0.75, 1]] * 400)
+    share, total, _ = mixture([like, like[:1], like[::-1][:400]])
+    want, best = plain_em(like)
+    assert share[0] == pytest.approx(want, abs=2e-3) and share[0, 0] == pytest.approx(0.80, abs=5e-3)
+    assert best - 1e-4 <= total[0] <= best + 1e-9
+    assert share[1, 0] > 0.999 and share[2, 1] > 0.999
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_proportions_match_plain_em(seed):
+    rng = np.random.default_rng(seed)
+    likes = [np.exp(rng.normal(0, rng.uniform(0.05, 2), (int(rng.integers(1, 300)), 5))) for _ in range(8)]
+    share, total, slope = mixture(likes)
+    assert share.sum(axis=1) == pytest.approx(np.ones(8)) and (share >= 0).all()
+    for k, like in enumerate(likes):
+        best = plain_em(like)[1]
+        assert total[k] >= best - 1e-4 and total[k] + len(like) * np.log(slope[k].max()) >= best - 1e-9
+
+
+def test_equal_languages_share_alike():
+    share, total, _ = mixture([np.ones((50, 3))])
+    assert share[0] == pytest.approx([1 / 3] * 3) and total[0] == pytest.approx(0)
+
+
+def test_set_matches_a_search_of_all_sets():
+    table, words = made_up(4, 5)
+    rng = np.random.default_rng(8)
+    texts = [" ".join(words(i, int(n)) for i, n in enumerate(rng.integers(0, 60, 4) * rng.integers(0, 2, 4)) if n) or words(0, 3)
+             for _ in range(12)]
+    shares, _ = langid.mixtures(texts, table)
+    for text, got in zip(texts, shares, strict=True):
+        bucket, first, _ = langid.trigrams([text])
+        like = np.exp(np.add.reduceat(table[bucket], first, axis=0).astype(float))
+        scores = {s: plain_em(like[:, s], 300)[1] - float(langid._penalty(len(s), np.array([len(like)]))[0])
+                  for k in range(1, 5) for s in itertools.combinations(range(4), k)}
+        assert tuple(np.flatnonzero(got).tolist()) == max(scores, key=scores.get)
+
+
+def test_long_texts_are_read_whole_and_alone():
+    assert list(langid.stretches([])) == [(0, 0)]
+    assert list(langid.stretches([langid.CHARACTERS + 1, 5, langid.CHARACTERS, 1])) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    table, words = made_up(3, 4)
+    text = words(0, 100_000) + " " + words(1, 100_000)
+    shares, _ = langid.mixtures([text], table)
+    assert shares[0] == pytest.approx([0.5, 0.5, 0], abs=0.01)
