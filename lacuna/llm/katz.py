@@ -93,6 +93,7 @@ class Tokens:
         self.history[last - per] = _START
         self.doc = np.repeat(np.arange(count), self.n_tokens)
         self.train = ~block.flags[self.doc]
+        self.copies = np.bincount([block.row_doc[k] for k in block.keys], minlength=count)[self.doc]
 
 
 def pair_hash(history: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -109,9 +110,10 @@ def ask_counts(rows: pa.Table, given: pa.Table, buckets: int) -> pa.Table:
     block = Block(rows, given)
     t = Tokens(block)
     words, at = np.unique(t.token, return_inverse=True)
-    counts = np.bincount(at[t.train], minlength=len(words))
+    copies = t.copies[t.train]
+    counts = np.bincount(at[t.train], weights=copies, minlength=len(words)).astype(np.int64)
     pairs, _, pair = pairs_of(t)
-    seen = np.bincount(pair[t.train], minlength=len(pairs))
+    seen = np.bincount(pair[t.train], weights=copies, minlength=len(pairs)).astype(np.int64)
     out = []
     for flag, keys, n in ((False, words, counts), (True, pairs, seen)):
         out += [{"block": block.number, "bucket": k, "flag": flag, "data": pack(rises(keys[a:b]), small(n[a:b]))}
@@ -263,9 +265,9 @@ def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col
     The model is learned from the rows for which ``held_out``, over the columns of
     ``docs``, is false (null: true).  ``score`` is the model's log10 probability of the
     whole text, ``base_score`` that of add-one word counts; ``n_known`` counts the tokens
-    that training texts hold.  A null or empty text is one end sign.  Rows equal in id
-    and text are one document, learned once and answered alike; ``held_out`` must not
-    tell them apart.  Without a training row every token has probability one.
+    that training texts hold.  A null or empty text is one end sign.  Every row is learned
+    from, a repeated one as often as it stands there; rows equal in id and text are answered
+    alike, and ``held_out`` must not tell them apart.  Without a training row every token has probability one.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),

@@ -95,3 +95,18 @@ def test_a_frequent_history_is_dealt_over_the_buckets(spark):
     totals = katz.Totals.of(katz.unpack(told[-1]["data"])[0])
     asked = katz.ask_histories(rows, blocks.note_table([*given.to_pylist(), *told[:-1]]), 1, totals).to_pylist()
     assert len(asked) == 1 and len(katz.unpack(asked[0]["data"])[0]) == 3003  # words as histories, "the", "same", start sign
+
+
+def test_a_repeated_row_is_learned_each_time(spark):
+    """Rows equal in id and text count as often as they stand there, over several blocks too."""
+    rows = [(1, "the cat sat"), (1, "the cat sat"), (1, "the cat sat"), (2, "the dog sat"), (2, "a bird"), (7, "the cat ran"), (None, "")]
+    rows += [(k, f"w{k % 7} the w{k % 3}") for k in range(10, 60)] * 2
+    model = Brute([t for _, t in rows])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = katz.score(df, F.lit(False), block_bytes=200).collect()
+    assert len(got) == len(rows) and {r.train_tokens for r in got} == {model.n}
+    want = {(i, len(Brute.tokens(t)), round(sum(model.log(h, w) for h, w in zip(["<s>", *Brute.tokens(t)], Brute.tokens(t), strict=False)), 6))
+            for i, t in rows}
+    assert {(r.id, r.n_tokens, round(r.score, 6)) for r in got} == want
+    bases = {(i, round(sum(math.log10((model.one[w] + 1) / (model.n + len(model.one) + 1)) for w in Brute.tokens(t)), 6)) for i, t in rows}
+    assert {(r.id, round(r.base_score, 6)) for r in got} == bases
