@@ -124,9 +124,9 @@ def base_spans(text: str) -> list[Span]:
 
 
 def shape(word: str) -> str:
-    """Letters to A and a, digits to 9 with their number up to four, other signs kept."""
+    """The whole word with letters to A and a, digits to 9 with their number up to four, other signs kept."""
     out: list[str] = []
-    for c in word[:40]:
+    for c in word:
         k = "9" if "0" <= c <= "9" else "a" if c.islower() else "A" if c.isalpha() else c
         if k != "9" and out and out[-1] == k:
             continue
@@ -134,13 +134,20 @@ def shape(word: str) -> str:
     return re.sub("9{5,}", "9+", "".join(out))
 
 
-@lru_cache(200_000)
 def _features(word: str) -> tuple[str, ...]:
+    """Long words are rare; they are not kept, so the cache stays small."""
+    return _short_features(word) if len(word) <= 64 else _read_features(word)
+
+
+def _read_features(word: str) -> tuple[str, ...]:
     body = word.strip(_TRIM)
     return ("s=" + shape(body), "t=" + shape(word), "n=" + str(min(len(word), 9)),
             "w=" + (word.lower() if word.isalpha() or word[:1] in "([" else "-"))
 
 
+_short_features = lru_cache(200_000)(_read_features)
+
+
 class Crf:
     """Labels O, B-kind, I-kind over the words of a sequence."""
 

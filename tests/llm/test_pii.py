@@ -58,3 +58,10 @@ def test_long_texts_take_linear_time():
     for t in ("a" * 300_000, "1" * 300_000, "+1" + "." * 300_000, "a@" * 100_000, "1.2." * 50_000):
         pii.base_spans(t)
     pii.crf_spans(["a1" * 100_000, "1 " * 20_000], pii.Crf(rounds=1))
+
+
+def test_a_shape_reads_the_whole_word():
+    assert pii.shape("A-" * 25 + "x1") != pii.shape("A-" * 25 + "x%")
+    assert pii.shape("abc" * 30 + "12") == "a99" and pii.shape("Ab" + "7" * 100) == "Aa9+"
+    assert pii._features("1" * 70 + "-x") != pii._features("1" * 70 + "-%")
+    assert pii._features("a" * 63 + "1") == pii._features("a" * 64 + "1")
