@@ -262,11 +262,12 @@ def cut_words(text: str, spans: list[list[int]]) -> str:
 
 def decontaminate(docs: DataFrame, bench: DataFrame, *, text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = 10,
-                  max_span: int = 9, max_coverage: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
+                  max_span: int = 0, max_coverage: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with the same columns, the text without hit spans of more than ``max_span`` words.
 
-    A row whose hit words are more than ``max_coverage`` of its words goes.  Short items
-    count towards coverage, but their spans stay unless longer than ``max_span``.  Null
+    A row whose hit words are more than ``max_coverage`` of its words goes.  A span of
+    under ``window`` words is made of short items that stand there whole, so by default
+    they are cut too; a ``max_span`` above 0 leaves spans of so many words in.  Null
     texts stay null.  Other columns are untouched.
     """
     def finish(row: dict, n_words: int, spans: list[list[int]], items: list[str]) -> dict | None:

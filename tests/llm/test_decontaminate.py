@@ -52,3 +52,12 @@ def test_cuts_spans_and_keeps_clean_rows(spark, odd):
     kept = {r.doc_id: r.text for r in out.collect()}
     assert kept[1] == "The quick  the forest again" and kept[4] is None and kept[7].startswith("Été à la mer")
     assert decontaminate.decontaminate(odd, bench, max_coverage=0.5).where("doc_id in (1, 2)").count() == 0
+
+
+def test_short_items_that_stand_whole_are_cut(spark, odd):
+    bench = spark.createDataFrame([(1, "Lazy dog"), (2, "quick fox"), (3, "again"), (4, None), (5, "")], "item_id long, text string")
+    kept = {r.doc_id: r.text for r in decontaminate.decontaminate(odd, bench).collect()}
+    assert kept[1] == "The quick brown fox jumps over the  and runs away into the forest "
+    assert kept[4] is None and kept[7].startswith("Été à la mer")
+    stay = {r.doc_id: r.text for r in decontaminate.decontaminate(odd, bench, max_span=1).collect()}
+    assert stay[1] == "The quick brown fox jumps over the  and runs away into the forest again"
