@@ -178,8 +178,14 @@ def drawn(start: int, redraw: int, p: np.ndarray) -> np.ndarray:
     return scrambled(cell & np.uint64(0xFFFFFFFF)) / 4294967296.0 < p
 
 
-#: Draws for one mask before its tolerance is called out of reach.
-MAX_REDRAWS = 100_000
+def reachable(p: np.ndarray, tolerance: float) -> bool:
+    """Whether some draw has a count within ``tolerance`` of the sum of ``p`` (rounded to 6 digits).
+
+    Cells of density 1 or more are always hit and cells of 0 never, so every count from the
+    number of the first to the number of all others has a chance.
+    """
+    want, low, high = round(float(np.sum(p)), 6), int(np.sum(p >= 1)), int(np.sum(p > 0))
+    return max(low, math.ceil(want - tolerance)) <= min(high, math.floor(want + tolerance))
 
 
 def draw_masks(density: DataFrame, keys: Sequence[str], ny: int, nz: int, tries: int, seed: int = 0,
@@ -187,8 +193,9 @@ def draw_masks(density: DataFrame, keys: Sequence[str], ny: int, nz: int, tries:
     """Density-weighted draws per mask with their peak side lobe: one row per (key, try).
 
     Each try is redrawn until its count is within ``tolerance`` of the sum of the
-    density, so every mask comes back; a sum that no count can reach fails the job.  The
-    row has the mask text, the count, the redraw, and the largest off-centre value of
+    density, however often that takes, so every mask comes back; a sum that no count can
+    reach fails the job before its first draw.  A count of independent cells is likeliest
+    next to its mean, so n cells take some sqrt(n) draws.  The row has the mask text, the count, the redraw, and the largest off-centre value of
     the inverse FFT of mask/p.
     """
     cells = F.transform(F.array_sort(F.collect_list(F.struct("pos", "p"))), lambda c: c.p)
@@ -200,12 +207,11 @@ def draw_masks(density: DataFrame, keys: Sequence[str], ny: int, nz: int, tries:
         out = {"mask": [], "count": [], "redraw": [], "side_lobe": []}
         for start, p in zip(block["start"].tolist(), block["p"], strict=True):
             want = round(float(np.sum(p)), 6)
-            for redraw in range(MAX_REDRAWS):
-                hit = drawn(start, redraw, p)
-                if abs(int(hit.sum()) - want) <= tolerance:
-                    break
-            else:
-                raise ValueError(f"no count within {tolerance} of {want} in {MAX_REDRAWS} draws")
+            if not reachable(p, tolerance):
+                raise ValueError(f"no draw has a count within {tolerance} of {want}")
+            redraw = 0
+            while abs(int((hit := drawn(start, redraw, p)).sum()) - want) > tolerance:
+                redraw += 1
             image = abs(np.fft.ifft2(planes((hit / p)[None], ny, nz))).ravel()
             out["mask"].append("".join("01"[int(h)] for h in hit))
             out["count"].append(int(hit.sum()))
