@@ -81,14 +81,19 @@ def volume_fft(slices: DataFrame, nx: int, ny: int, nz: int, inverse: bool = Fal
     Returns long rows (volume, x, pos, re, im).  Same shift on both sides, no
     normalisation forward, 1/N back.
     """
+    lines = _volume_lines(slices, nx, ny, nz, inverse, axis)
+    return lines.select("volume", "pos", F.posexplode(F.arrays_zip("re", "im")).alias(axis, "_p")).select(
+        "volume", axis, "pos", "_p.re", "_p.im")
+
+
+def _volume_lines(slices: DataFrame, nx: int, ny: int, nz: int, inverse: bool, axis: str) -> DataFrame:
+    """The transform of ``volume_fft`` as one row of arrays along ``axis`` for each position."""
     ax = (-2, -1)
     plane = ((lambda a: kernels.shift(np.fft.ifft2(kernels.shift(a, ax)), ax)) if inverse
              else (lambda a: kernels.shift(np.fft.fft2(kernels.shift(a, ax)), ax)))
     flat = per_slice(slices, plane, ny, nz, ("volume", axis))
     columns = traces_to_slices(flat, nx, ("volume",), axis, "pos")
-    lines = per_row(columns, kernels.readout_ifft if inverse else kernels.readout_fft, ("volume", "pos"))
-    return lines.select("volume", "pos", F.posexplode(F.arrays_zip("re", "im")).alias(axis, "_p")).select(
-        "volume", axis, "pos", "_p.re", "_p.im")
+    return per_row(columns, kernels.readout_ifft if inverse else kernels.readout_fft, ("volume", "pos"))
 
 
 def phase_ramp(samples: DataFrame, dy: Column, dz: Column, ny: int, nz: int) -> DataFrame:
@@ -204,21 +209,30 @@ def block_cosine(slices: DataFrame, ny: int, nz: int, block: int = 8, overlap: i
         *keep, "shift", F.slice("planes", F.col("shift") * cells + 1, cells).alias("coef"))
 
 
-def centre_planes(voxels: DataFrame, nx: int, ny: int, nz: int) -> DataFrame:
-    """Rows of the three centre planes of a long volume."""
-    y, z = F.col("pos") % ny, F.floor(F.col("pos") / ny)
-    return voxels.where((F.col("x") == nx // 2) | (y == ny // 2) | (z == nz // 2))
+def _entries(df: DataFrame, keys: Sequence[str], index: str, wanted: Column) -> DataFrame:
+    """Long rows of only the ``wanted`` entries of (re, im)."""
+    entry = lambda i: F.struct(i.alias(index), F.get("re", i).alias("re"), F.get("im", i).alias("im"))
+    return df.select(*keys, F.inline(F.transform(wanted, entry)))
 
 
 def preview(kspace: DataFrame, nx: int, ny: int, nz: int, whole: bool = False) -> DataFrame:
-    """K-space, image and fully populated k-space of a volume: centre planes or everything."""
+    """K-space, image and fully populated k-space of a volume: centre planes or everything.
+
+    Off the planes nothing becomes a row: a slice beside the middle one gives its two centre
+    lines, a column of the inverse that lies in neither plane its middle voxel.
+    """
     ax = (-2, -1)
     image = per_slice(kspace, lambda a: kernels.shift(np.fft.ifft2(kernels.shift(a, ax)), ax), ny, nz, ("volume", "x"))
-    rows = lambda df: df.select("volume", "x", F.posexplode(F.arrays_zip("re", "im")).alias("pos", "_p")).select(
-        "volume", "x", "pos", "_p.re", "_p.im")
-    parts = {"kspace": rows(kspace), "image": rows(image), "inverse": volume_fft(image, nx, ny, nz, inverse=True)}
-    keep = (lambda df: df) if whole else (lambda df: centre_planes(df, nx, ny, nz))
-    tagged = [keep(df).select(F.lit(kind).alias("kind"), "volume", "x", "pos", "re", "im") for kind, df in parts.items()]
+    lines = _volume_lines(image, nx, ny, nz, True, "x")
+    on_lines = lambda pos: (pos % ny == ny // 2) | (F.floor(pos / ny) == nz // 2)
+    cells, xs = F.sequence(F.lit(0), F.lit(ny * nz - 1)), F.sequence(F.lit(0), F.lit(nx - 1))
+    in_slice, in_line = cells, xs
+    if not whole:
+        in_slice = F.when(F.col("x") == nx // 2, cells).otherwise(F.filter(cells, on_lines))
+        in_line = F.when(on_lines(F.col("pos")), xs).otherwise(F.array(F.lit(nx // 2)))
+    parts = {"kspace": _entries(kspace, ("volume", "x"), "pos", in_slice), "image": _entries(image, ("volume", "x"), "pos", in_slice),
+             "inverse": _entries(lines, ("volume", "pos"), "x", in_line)}
+    tagged = [df.select(F.lit(kind).alias("kind"), "volume", "x", "pos", "re", "im") for kind, df in parts.items()]
     return tagged[0].union(tagged[1]).union(tagged[2])
 
 

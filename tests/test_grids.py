@@ -207,3 +207,28 @@ def test_decay_fit_recovers_the_constant(spark):
     rows = [(v, t, float(a * np.exp(-t / t2))) for v, (a, t2) in enumerate([(100, 0.02), (30, 0.05)]) for t in te]
     out = ec.decay_fit(spark.createDataFrame(rows, "v int, te double, s double"), ["v"], "s", "te").orderBy("v").collect()
     assert [r["t2"] for r in out] == pytest.approx([0.02, 0.05]) and [r["amplitude"] for r in out] == pytest.approx([100, 30])
+
+
+def test_a_sum_that_no_count_reaches_is_told_from_a_rare_one():
+    assert mk.reachable(np.array([0.5, 0.5]), 0) and not mk.reachable(np.array([0.5, 0.25]), 0.2)
+    assert not mk.reachable(np.array([1.0, 0.3]), 0.2) and mk.reachable(np.array([1.0, 0.3]), 0.3)
+    assert mk.reachable(np.array([2.0, 0.0]), 1) and not mk.reachable(np.array([2.0, 0.0]), 0.5)
+
+
+def test_preview_makes_rows_of_the_planes_only(spark):
+    from lacuna.operators import transforms as tf
+
+    nx, ny, nz = 4, 6, 8
+    a = rng.normal(size=(nx, ny * nz)) + 1j * rng.normal(size=(nx, ny * nz))
+    df = spark.createDataFrame([(1, x, [float(v) for v in a[x].real], [float(v) for v in a[x].imag]) for x in range(nx)],
+                               "volume int, x int, re array<double>, im array<double>")
+    key = lambda d: {(r.kind, r.x, r.pos): (r.re, r.im) for r in d.collect()}
+    every, some = tf.preview(df, nx, ny, nz, whole=True), tf.preview(df, nx, ny, nz)
+    everything, planes = key(every), key(some)
+    assert len(everything) == every.count() == 3 * nx * ny * nz
+    want = {k for k in everything if k[1] == nx // 2 or k[2] % ny == ny // 2 or k[2] // ny == nz // 2}
+    assert set(planes) == want and some.count() == len(want)
+    for k in want:
+        assert planes[k] == pytest.approx(everything[k])
+    before = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in [line.strip(" :+-").split(" ")[0] for line in before.split("\n")]  # nothing is thrown away after it became a row
