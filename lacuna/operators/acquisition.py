@@ -23,11 +23,12 @@ def extract_blocks(traces: DataFrame, requests: DataFrame) -> DataFrame:
     return traces.join(requests.select("volume"), "volume", "left_semi")
 
 
-def split_echoes(traces: DataFrame, nechoes: int) -> DataFrame:
+def split_echoes(traces: DataFrame, nechoes: int | Column) -> DataFrame:
     """Echo is the fast index of the trace number; each echo becomes a volume."""
+    n = nechoes if isinstance(nechoes, Column) else F.lit(nechoes)
     return traces.withColumns({
-        "echo": F.pmod(F.col("trace"), F.lit(nechoes)).cast("int"),
-        "echo_trace": F.floor(F.col("trace") / nechoes).cast("int"),
+        "echo": F.pmod(F.col("trace"), n).cast("int"),
+        "echo_trace": F.floor(F.col("trace") / n).cast("int"),
     })
 
 
@@ -36,6 +37,11 @@ def volume_count(nblocks: Column, ntraces: Column, sampled_lines: Column) -> Col
     return F.when(nblocks == 1, F.round(F.try_divide(ntraces, sampled_lines))).otherwise(nblocks).cast("bigint")
 
 
+def echo_count(nblocks: Column, ntraces: Column, sampled_lines: Column) -> Column:
+    """Echoes in a block of a file: all volumes of a single block, else one; at least one."""
+    return F.when(nblocks == 1, F.greatest(F.lit(1), volume_count(nblocks, ntraces, sampled_lines))).otherwise(1).cast("int")
+
+
 def expected_bytes(nblocks: Column, bytes_per_block: Column) -> Column:
     return F.lit(FILE_HEADER_BYTES) + nblocks * bytes_per_block
 

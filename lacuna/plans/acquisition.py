@@ -101,6 +101,14 @@ def volume_counts(spark: SparkSession, folder: str) -> DataFrame:
         F.col("nblocks"), F.col("ntraces"), F.col("sampled_lines")).alias("volumes"))
 
 
+@query(f"""SELECT file, CAST(CASE WHEN nblocks = 1 AND round(ntraces / sampled_lines) > 1 THEN round(ntraces / sampled_lines) ELSE 1 END AS INTEGER) AS echoes
+  FROM {FILE_SQL}""")
+def echo_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Echoes in a block of every file, which is what a run splits its traces by."""
+    return _files(spark, folder).select("file", acq.echo_count(
+        F.col("nblocks"), F.col("ntraces"), F.col("sampled_lines")).alias("echoes"))
+
+
 @query("""SELECT location, count(*) AS runs, min(o_orderkey) AS first_run FROM (SELECT o_orderkey,
   CASE WHEN o_orderstatus = 'O' AND o_totalprice > 1000 * 60 THEN 1 WHEN o_orderstatus <> 'P' THEN 3 ELSE 2 END AS location
   FROM orders) GROUP BY location""")

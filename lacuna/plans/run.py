@@ -18,7 +18,7 @@ from lacuna.functions.skew import with_position
 from lacuna.operators import recovery as rc
 from lacuna.operators import scaling as sc
 from lacuna.operators import transforms as tf
-from lacuna.operators.acquisition import check_sizes, expected_bytes, split_echoes
+from lacuna.operators.acquisition import check_sizes, echo_count, expected_bytes, split_echoes
 from lacuna.session import ship
 from lacuna.sources import sinks
 from lacuna.sources import state as st
@@ -57,14 +57,16 @@ def volume_scales(slices: DataFrame, masks: DataFrame, options: rc.RecoveryOptio
 
 
 def recover_run(spark: SparkSession, path: str, masks: DataFrame, options: rc.RecoveryOptions, out: str,
-                acquired: int, slices: int | None = None, echoes: int = 1) -> DataFrame:
+                acquired: int, slices: int | None = None, echoes: int | None = None) -> DataFrame:
     """Recover every ready volume of ``path`` with the run's one mask; returns the images.
 
     ``path`` may name many files: a volume is one echo of one block of one file, and
     ``<out>/volumes`` lists its number (volume, path, block, echo); numbers stay when a
     resumed run finds more files.  Blocks that are short or have no data yet are listed
     in ``<out>/quarantine`` with the reason.  ``acquired`` is the number of sampled
-    lines of an echo, ``slices`` the total slice count if known (it sets the number of
+    lines of an echo.  Without ``echoes`` each file's header tells how many echoes a block
+    has: a single block holds its traces divided by ``acquired``, one of several blocks
+    holds one.  ``slices`` is the total slice count if known (it sets the number of
     tasks of the solver).
     """
     ship(spark)
@@ -72,8 +74,9 @@ def recover_run(spark: SparkSession, path: str, masks: DataFrame, options: rc.Re
     folders = RunFolders(out)
     raw = spark.read.format("lacuna_blocks").option("path", path).load()
     quarantine(spark, path).write.mode("overwrite").parquet(folders.quarantine)
-    volumes = number_volumes(spark, path, echoes, folders.volumes)
-    split = split_echoes(raw, echoes).drop("trace").withColumnRenamed("echo_trace", "trace")
+    counts = echo_counts(spark, path, acquired, echoes)
+    volumes = number_volumes(spark, path, counts, folders.volumes)
+    split = split_echoes(measured_join(raw, counts, ["path"]), F.col("echoes")).drop("trace").withColumnRenamed("echo_trace", "trace")
     traces = measured_join(split, volumes, ["path", "block", "echo"]).select("volume", "trace", "re", "im")
     work = workspace(traces, acquired).withColumn("mask_id", F.lit(0))
     work.write.mode("overwrite").parquet(folders.workspace)
@@ -102,14 +105,22 @@ def _headers(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.format("lacuna_blocks").option("path", path).option("table", table).load()
 
 
-def number_volumes(spark: SparkSession, path: str, echoes: int, folder: str) -> DataFrame:
+def echo_counts(spark: SparkSession, path: str, acquired: int, echoes: int | None = None) -> DataFrame:
+    """(path, echoes) of every file: the given number, or what its header says."""
+    files = _headers(spark, path, "file_header")
+    told = echo_count(F.col("nblocks"), F.col("ntraces"), F.lit(acquired)) if echoes is None else F.lit(echoes)
+    return files.select("path", told.alias("echoes"))
+
+
+def number_volumes(spark: SparkSession, path: str, echoes: int | DataFrame, folder: str) -> DataFrame:
     """(path, block, echo, volume): earlier numbers as they are, new volumes after them, in order of file and block.
 
-    Only block headers are read.  New numbers are one attempt of a log, given on the newest
+    ``echoes`` is the number for every block, or (path, echoes).  Only headers are read.  New numbers are one attempt of a log, given on the newest
     snapshot: runs that find the same files at a time do not number them twice.
     """
     ready = _headers(spark, path, "block_header").where("has_data").select("path", "block").distinct()
-    keys = ready.withColumn("echo", F.explode(F.sequence(F.lit(0), F.lit(echoes - 1))))
+    counts = echoes if isinstance(echoes, DataFrame) else echo_counts(spark, path, 0, echoes)
+    keys = ready.join(counts, "path").select("path", "block", F.explode(F.sequence(F.lit(0), F.col("echoes") - 1)).alias("echo"))
     log = Log(spark, folder, "path string, block int, echo int, volume int", ("path", "block", "echo"), first_wins=True)
     while True:
         seen = log.snapshot()

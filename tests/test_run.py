@@ -86,3 +86,26 @@ def test_two_files_are_two_volumes_each(spark, tmp_path):
     got = {(r["volume"], r["slice"]): r["value"] for r in rows}
     assert len(got) == 4 * NX and all(got[1, x] == got[3, x] and got[2, x] == got[4, x] for x in range(NX))
     assert spark.read.parquet(out + "/quarantine").count() == 0
+
+
+def test_echoes_come_from_the_header(spark, tmp_path):
+    """A single block of interleaved volumes is recovered as if its echoes were named, beside a file of two blocks."""
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    _, positions, density = acquisition(folder / "blocks.fid")
+    data = (folder / "blocks.fid").read_bytes()
+    size = (len(data) - 32) // 2
+    traces = [np.frombuffer(data[32 + k * size + 28:32 + (k + 1) * size], dtype=np.uint8).reshape(len(positions), -1) for k in range(2)]
+    blank = np.zeros((1, 2 * len(positions), NX), dtype=complex)
+    block_file(folder / "single.fid", blank)
+    made = bytearray((folder / "single.fid").read_bytes())
+    made[60:] = np.stack(traces, axis=1).tobytes()  # trace numbers run echo by echo
+    (folder / "single.fid").write_bytes(bytes(made))
+    counts = {r.path.rsplit("/", 1)[1]: r.echoes for r in run.echo_counts(spark, str(folder), len(positions)).collect()}
+    assert counts == {"blocks.fid": 1, "single.fid": 2}
+    masks = spark.createDataFrame([(0, [int(i) for i in positions], [float(v) for v in density])],
+                                  "mask_id int, positions array<int>, density array<double>")
+    opts = rc.RecoveryOptions(N, N, passes=((3, 0.002, 0.002),), window=8, transform=linops.Wavelet("Haar", 0, 2))
+    rows = run.recover_run(spark, str(folder), masks, opts, str(tmp_path / "out"), len(positions)).collect()
+    got = {(r["volume"], r["slice"]): r["value"] for r in rows}
+    assert len(got) == 4 * NX and all(got[1, x] == got[3, x] and got[2, x] == got[4, x] for x in range(NX))
