@@ -7,8 +7,10 @@ each; every fingerprint is therefore filed under its own cell and the cells one
 away, and only fingerprints that meet in a cell are compared exactly.
 
 A radius is fixed for three-word shingles only.  For other sizes documents link at an
-exact Jaccard similarity of their shingle sets (``similar``), found without a
-fingerprint: sets that similar have many of their first hashes in common.
+exact Jaccard similarity of their shingle sets (``similar``).  There too the sets that
+meet in the grid are compared first.  Fingerprints of sets that similar may differ in
+more bits than any grid reaches, so an exact way for the rest follows: such sets have
+many of their first hashes in common.
 """
 
 from __future__ import annotations
@@ -41,11 +43,11 @@ def shingle_hashes(data: bytes, size: int) -> list[int]:
     return [h(flat[a:b], 42) for a, b in zip(starts.tolist(), ends[last:].tolist(), strict=False)]
 
 
-def fingerprint(hashes: list[int]) -> int:
+def fingerprint(hashes: list[int] | np.ndarray) -> int:
     """Majority bits as a signed 64-bit number; 0 for no shingle."""
-    if not hashes:
+    if not len(hashes):
         return 0
-    bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(np.asarray(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     ones = bits.sum(axis=0, dtype=np.int32) * 2 > len(hashes)
     return int(np.packbits(ones, bitorder="little").view("<i8")[0])
 
@@ -181,13 +183,30 @@ def _candidates(marks: DataFrame) -> DataFrame:
 
 
 def _whole(rows: DataFrame, shingle: int) -> DataFrame:
-    """(node, size, hashes) of the given rows."""
+    """(node, size, hashes, fp, cell) of the given rows; SimHash and grid cell are those of the set."""
 
     def run(batch: dict[str, list]) -> dict[str, list]:
         sets = [_set(t, shingle) for t in batch["text"]]
-        return {"node": batch["node"], "size": [len(x) for x in sets], "hashes": [x.view("<i8") for x in sets]}
+        fps = [fingerprint(x) for x in sets]
+        return {"node": batch["node"], "size": [len(x) for x in sets], "hashes": [x.view("<i8") for x in sets],
+                "fp": fps, "cell": [cell_of(x) for x in fps]}
 
-    return map_batches(rows.select("node", "text"), run, "node bigint, size bigint, hashes array<bigint>").dropDuplicates(["node"])
+    return map_batches(rows.select("node", "text"), run,
+                       "node bigint, size bigint, hashes array<bigint>, fp bigint, cell bigint").dropDuplicates(["node"])
+
+
+def _met_in_grid(sets: DataFrame) -> DataFrame:
+    """(a, b): every set beside one whose fingerprint is its own or, by the grid, 2 or fewer bits from it.
+
+    One set stands for all with its fingerprint, and that one meets the least of its
+    neighbours; so there are fewer pairs than sets, however large a group is.
+    """
+    nodes = settle(sets.groupBy("fp", "cell").agg(F.min("node").alias("first")))
+    near = links(nodes).groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("beside"))
+    beside = nodes.select(F.col("fp").alias("beside"), F.col("first").alias("b"))
+    across = near.join(nodes, "fp").join(beside, "beside").select(F.col("first").alias("a"), "b")
+    same = sets.select("node", "fp").join(nodes, "fp").where("node <> first")
+    return across.union(same.select(F.col("node").alias("a"), F.col("first").alias("b")))
 
 
 def _filed(sets: DataFrame) -> DataFrame:
@@ -209,7 +228,7 @@ def _filed(sets: DataFrame) -> DataFrame:
 
 #: What two sets that meet under a hash can have in common at most, against what they need.
 FITS = "9 * least(x.common - x.pos, y.common - y.pos) + 9 >= 4 * (x.size + y.size)"
-#: Sets each set is compared with, one a round, before all that are left are.
+#: Sets each set is compared with, one a round, after the grid and before all that are left are.
 CENTRES = ("common / size", "xxhash64(node)", "xxhash64(node, 1)", "xxhash64(node, 2)")
 
 
@@ -225,19 +244,20 @@ def similar(rows: DataFrame, *, shingle: int) -> DataFrame:
     """(id, key, h, root) for every row of (id, text, key, h): ``root`` names its group of near-duplicates.
 
     Rows link when the Jaccard similarity of their shingle sets is 4/5 or more; equal
-    sets and empty texts link too.  No pair is missed: two such sets meet under one of
-    their rarest hashes.  In each of a few rounds a set is compared with one other that it
-    meets, the centre of most of its hashes, and groups are joined; so a group of near
-    copies is never expanded into its pairs.  Sets that meet and are in different groups
-    still are compared in the end, but for those whose distances to a centre that both
-    were compared with differ by more than 1/5: no such two can link.
+    sets and empty texts link too.  First the sets that meet in the grid of fingerprints
+    are compared exactly, and groups are joined.  No other pair is missed: two such sets
+    meet under one of their rarest hashes.  In each of a few rounds a set is compared with
+    one other that it meets, the centre of most of its hashes, and groups are joined; so a
+    group of near copies is never expanded into its pairs.  Sets that meet and are in
+    different groups still are compared in the end, but for those whose distances to a
+    centre that both were compared with differ by more than 1/5: no such two can link.
     """
     with blocks.short_lived_shuffles(rows.sparkSession):
         marks = settle(_marked(rows, shingle))
         sets = settle(_whole(measured_join(rows, _candidates(marks), ["key", "h"], limit=64 << 20), shingle))
         filed = settle(_filed(sets))
-        compared = settle(_compared(filed.where("false").selectExpr("node as a", "node as b"), sets))
-        tied = compared.selectExpr("a as node", "b as root")
+        compared = settle(_compared(_met_in_grid(sets), sets))
+        tied = compared.where("near").selectExpr("a as node", "b as root")
         for weight in CENTRES:
             rooted = filed.join(tied, "node", "left").withColumn("root", F.coalesce("root", "node"))
             centres = rooted.groupBy("token").agg(
@@ -246,8 +266,9 @@ def similar(rows: DataFrame, *, shingle: int) -> DataFrame:
             met = rooted.join(centres, "token").withColumn("y", F.struct("size", "common", "pos")).where(f"x.root <> root and {FITS}")
             one = met.groupBy("node", F.col("x.node").alias("b")).agg(F.count("*").alias("n")).groupBy("node").agg(
                 F.max_by("b", F.struct("n", "b")).alias("b")).withColumnRenamed("node", "a")
-            compared = settle(compared.union(_compared(one.join(compared, ["a", "b"], "left_anti"), sets)))
-            tied = settle(connected_components(compared.where("near"), "a", "b"))
+            found = settle(_compared(one.join(compared, ["a", "b"], "left_anti"), sets))
+            compared = compared.union(found)
+            tied = settle(connected_components(tied.union(found.where("near").select("a", "b")), "node", "root"))
         # the centre's distance to itself is nothing
         known = compared.select(F.col("a").alias("node"), F.col("b").alias("c"), "apart").union(
             compared.selectExpr("b", "b", "0D")).distinct()
@@ -262,7 +283,7 @@ def similar(rows: DataFrame, *, shingle: int) -> DataFrame:
             f"x.token = y.token and x.root <> y.root and (y.root = y.top or x.node < y.node) and {FITS} and not {far}"))
             .selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b").distinct())
         last = _compared(across, sets)
-        tied = connected_components(compared.union(last).where("near"), "a", "b")
+        tied = connected_components(tied.union(last.where("near").select("a", "b")), "node", "root")
     return marks.join(tied, "node", "left").select("id", "key", "h", F.coalesce("root", "node").alias("root"))
 
 

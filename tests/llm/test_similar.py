@@ -113,3 +113,24 @@ def test_pairs_grow_with_the_rows(spark, monkeypatch):
     kept = stage(spark, [(i, t, "en", "s", 0) for i, t in enumerate(texts)])
     assert sorted(r.doc_id for r in kept) == [0, *range(800, 1600)]
     assert sum(counted) <= 4 * len(texts)
+
+
+def test_sets_that_meet_in_the_grid_are_compared_first(spark, copies, monkeypatch):
+    """The stage takes its first pairs from the fingerprints: one for every set that has another within 2 bits."""
+    asked, compare = [], simhash._compared
+
+    def noting(pairs, sets):
+        pairs = simhash.settle(pairs)
+        asked.append(({(r.a, r.b) for r in pairs.collect()}, {r.node: r for r in sets.collect()}))
+        return compare(pairs, sets)
+
+    monkeypatch.setattr(simhash, "_compared", noting)
+    kept = stage(spark, [(i, t, "en", "s", 0) for i, t in enumerate(copies)])
+    assert sorted(r.doc_id for r in kept) == sorted(set(brute_groups(copies)))
+    pairs, sets = asked[0]
+    assert all(r.fp == simhash.fingerprint([x % 2**64 for x in r.hashes]) for r in sets.values())
+    apart = lambda a, b: ((sets[a].fp ^ sets[b].fp) % 2**64).bit_count()
+    assert pairs and all(a != b and apart(a, b) <= 2 for a, b in pairs)
+    linked = {n for p in pairs for n in p}
+    assert linked == {a for a in sets if any(a != b and apart(a, b) <= 2 for b in sets)}
+    assert len({a for a, _ in pairs}) == len(pairs)
