@@ -165,9 +165,13 @@ def work_estimate(summary: DataFrame, keys: Sequence[str], slice_count: str) ->
 
 def convergence(objective: DataFrame, keys: Sequence[str], order: str, value: str, width: int = 10,
                 chunk: int = skew.CHUNK) -> DataFrame:
-    """Moving mean of the objective over its first value, with first and second difference."""
+    """Moving mean of the objective over its first value, with first and second difference.
+
+    A first value of 0 gives infinity or NaN, as floating point does, and no NULL.
+    """
     placed = skew.with_position(objective, keys, order, "k", first_of=value, chunk=chunk)
-    placed = placed.withColumn("_f", F.try_divide(F.col(value), F.col(f"first_{value}")))
+    first = F.col(f"first_{value}")
+    placed = placed.withColumn("_f", F.when(first == 0, F.col(value) * float("inf")).otherwise(F.try_divide(F.col(value), first)))
 
     def build(w):
         mean = F.avg("_f").over(w.rowsBetween(1 - width, 0))

@@ -37,6 +37,14 @@ def test_halo_window_equals_the_whole_window(spark):
         assert np.allclose(small[c], whole[c], equal_nan=True)
 
 
+def test_first_value_of_zero_divides_as_floating_point_does(spark):
+    df = spark.createDataFrame([(1, k, v) for k, v in enumerate([0.0, *[2.0] * 11, None])], "key long, line long, value double")
+    rows = mo.convergence(df, ["key"], "line", "value").orderBy("line").collect()
+    assert [str(r.mean_window) for r in rows] == ["None"] * 9 + ["nan", "inf", "inf", "inf"]
+    assert [str(r.delta) for r in rows] == ["None"] * 10 + ["nan"] * 3
+    assert [str(r.metric) for r in rows] == ["None"] * 11 + ["nan"] * 2
+
+
 @pytest.mark.parametrize("share", [0.0001, 0.37, 0.9995, 1.0])
 def test_order_statistic_on_heavy_tails_ties_and_zeros(spark, share):
     pdf = hot_rows()
