@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,21 @@ from pyspark.sql import functions as F
 KEY_LINE = r"(?m)(?=^[ \t]*[^\s0-9\"])"
 NUMBER = r"(?i)^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
 
+#: Files parsed by one task.
+FILES_A_TASK = 1 << 13
+
+
+def spread(files: DataFrame) -> DataFrame:
+    """The same rows in tasks of about ``FILES_A_TASK``, dealt by a hash of all columns.
+
+    Parsing costs far more than reading: small files come in a split or two, and a task
+    would parse and sort the more of them the larger the table is.
+    """
+    if files.isStreaming:
+        return files
+    parts = math.ceil(files.count() / FILES_A_TASK)
+    return files.repartition(parts, *files.columns) if parts > 1 else files
+
 
 def parse_params(files: DataFrame, run: str = "run", text: str = "text") -> DataFrame:
     """(run, key, declared, nums, strs, complete): one row per key of each file.
@@ -20,7 +37,8 @@ def parse_params(files: DataFrame, run: str = "run", text: str = "text") -> Data
     ``complete`` is false where the count is wrong or missing.  Empty and null texts have
     no keys.
     """
-    records = files.select(F.col(run).cast("string").alias("run"), F.explode(F.split(text, KEY_LINE)).alias("_r"))
+    given = spread(files.select(F.col(run).cast("string").alias("run"), F.col(text).alias("text")))
+    records = given.select("run", F.explode(F.split("text", KEY_LINE)).alias("_r"))
     lines = records.select("run", F.split("_r", r"\r?\n").alias("_l")).withColumns({
         "key": F.regexp_extract(F.col("_l")[0], r"^\s*([^\s0-9\"]\S*)", 1),
         "_count": F.coalesce(F.get("_l", 1), F.lit(""))}).where("key <> ''")

@@ -92,3 +92,13 @@ def test_parameter_records_stay_in_the_jvm_and_may_be_many(spark):
     rows = {r["key"]: r for r in out.collect()}
     assert len(rows) == 4000 and all(r["complete"] for r in rows.values())
     assert rows["key3"]["nums"] == [3.0, 4.0, 5.0] and rows["key2"]["strs"] == ["a2", 'it"s'] and rows["key1"]["declared"] == 1
+
+
+def test_parameter_files_of_one_split_are_parsed_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(pr, "FILES_A_TASK", 10)
+    rows = [(i, f"te\n2 {i} 1\nname\n1 \"n{i}\"\n") for i in range(200)] + [(None, None), (7, "te\n2 7 1\n"), (7, "te\n2 7 1\n")]
+    out = pr.parse_params(spark.createDataFrame(rows, "run long, text string").coalesce(1))
+    per_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) > 10 and max(per_task) < 100 and sum(per_task) == 402
+    found = sorted((r.run, r.key, r.nums, r.strs) for r in out.collect())
+    assert found == sorted([(str(i), "te", [float(i), 1.0], []) for i in [*range(200), 7, 7]] + [(str(i), "name", [], [f"n{i}"]) for i in range(200)])
