@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 KEY_LINE = r"(?m)(?=^[ \t]*[^\s0-9\"])"
 NUMBER = r"(?i)^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)$"
 
+#: Keys whose first number ``derive`` uses.
+NUMBER_KEYS = ("nseg", "accfactor", "tSenseAccfactor", "numshots", "navecho")
+
 #: Files parsed by one task.
 FILES_A_TASK = 1 << 13
 
@@ -65,11 +68,16 @@ def derive(params: DataFrame) -> DataFrame:
 
     The table name ``epi<lines>alt<shots>k[<factor>r|t]`` supplies shots and the
     acceleration; ``nseg`` overrides the shots.
+    Rows are cut to the first values of the keys in use before they are grouped, since
+    Spark sorts them for that and would hold all values of all keys.
     """
-    number = lambda key: F.max(F.when(F.col("key") == key, F.get("nums", 0)))
-    name = F.max(F.when(F.col("key") == "petable", F.get("strs", 0)))
-    wide = params.groupBy("run").agg(
-        name.alias("petable"), number("nseg").alias("_nseg"), number("accfactor").alias("_acc"),
+    used = F.col("key").isin(*NUMBER_KEYS)
+    first = params.select(
+        "run", F.when(used, F.col("key")).alias("key"), F.when(used, F.get("nums", 0)).alias("num"),
+        F.when(F.col("key") == "petable", F.get("strs", 0)).alias("petable"))
+    number = lambda key: F.max(F.when(F.col("key") == key, F.col("num")))
+    wide = first.groupBy("run").agg(
+        F.max("petable").alias("petable"), number("nseg").alias("_nseg"), number("accfactor").alias("_acc"),
         number("tSenseAccfactor").alias("_tacc"), number("numshots").alias("_shots"), number("navecho").alias("_nav"))
     epi = r"^epi[^0-9]*[0-9]+[^0-9]+([0-9]+)(?:[^0-9]+([0-9]+)([rt])?)?"
     part = lambda i: F.regexp_extract(F.coalesce("petable", F.lit("")), epi, i)

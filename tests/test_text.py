@@ -102,3 +102,21 @@ def test_parameter_files_of_one_split_are_parsed_in_many_tasks(spark, monkeypatc
     assert len(per_task) > 10 and max(per_task) < 100 and sum(per_task) == 402
     found = sorted((r.run, r.key, r.nums, r.strs) for r in out.collect())
     assert found == sorted([(str(i), "te", [float(i), 1.0], []) for i in [*range(200), 7, 7]] + [(str(i), "name", [], [f"n{i}"]) for i in range(200)])
+
+
+def test_grouping_of_parameters_sorts_first_values_only(spark):
+    body = "".join(f"key{i}\n9 {' '.join(str(i * j) for j in range(9))}\nsaid{i}\n2 \"a{i}\"\n\"b\"\n" for i in range(50))
+    rows = [("a", body + 'petable\n1 "epi132alt8k2r"\nnavecho\n2 3 9\n'), ("b", body), ("c", "nseg\n1 6\n"), ("c", 'petable\n1 "epi132alt4k"\nnumshots\n0\n'),
+            ("d", "nseg\n1 x\naccfactor\n1 0\n"), ("none", None), ("empty", "")]
+    out = pr.derive(pr.parse_params(spark.createDataFrame(rows, "run string, text string")))
+    found = sorted(tuple(r) for r in out.collect())
+    assert found == [("a", "epi132alt8k2r", 8.0, 2.0, 1.0, 3.0, 12.0), ("b", None, 1.0, 1.0, 1.0, 0.0, 0.0),
+                     ("c", "epi132alt4k", 6.0, 1.0, 1.0, 1.0, 6.0), ("d", None, 1.0, 0.0, 1.0, 0.0, None)]
+    todo, sorted_types = [out._jdf.queryExecution().sparkPlan()], []
+    while todo:
+        node = todo.pop()
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "SortAggregate":
+            sorted_types += [children[0].output().apply(i).dataType().simpleString() for i in range(children[0].output().size())]
+        todo += children
+    assert sorted_types and not [t for t in sorted_types if t.startswith("array")]
